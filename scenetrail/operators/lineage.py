@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,58 +17,85 @@ from scenetrail.functions.names import artifact_fqn, recorded_at, recorded_path,
 from scenetrail.session import cut
 
 
+LEVELS_PER_ROUND = 4
+_INPUTS = "array<map<string, variant>>"
+
+
 def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id", doc: str = "doc") -> DataFrame:
-    """All node occurrences of the documents, one level of nesting per round.
+    """All node occurrences of the documents.
 
     The result has doc_id, artifact, fqn, script, step_id (null for a raw artifact), recorded, depth, and
-    the parent's artifact and step. The children of a node with an empty script are not visited. Each
-    round unnests in place without a shuffle; the remaining subdocuments are written out, so a round
-    does not repeat the ones before, and the loop ends when none is left.
+    the parent's artifact and step. The children of a node with an empty script are not visited.
+
+    A round unnests several levels of every document in place, without a shuffle, and writes the nodes
+    it found. Documents that go deeper pass their remaining inputs on to the next round; the loop ends
+    when none does, so no depth is too great.
     """
-    level = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(doc).alias("_doc"),
-        F.lit(0).alias("depth"),
-        F.lit(None).cast("string").alias("parent_artifact"),
-        F.lit(None).cast("string").alias("parent_step"),
-    )
+    nothing = F.lit(None).cast("string")
+    top = _entries(F.variant_get(F.col(doc), "$", "map<string, variant>"), F.lit(0), nothing, nothing)
+    todo = docs.select(F.col(doc_id).alias("doc_id"), _unnest(top, LEVELS_PER_ROUND).alias("_nodes"))
     found: list[DataFrame] = []
-    kept = [
-        "doc_id", "depth", "parent_artifact", "parent_step",
-        "artifact", "fqn", "script", "step_id", "recorded",
-    ]
     while True:
-        level = cut(_visit(level, fqn_prefix), "provenance")
-        if level.select("depth").isEmpty():
-            break
-        found.append(level.select(*kept))
-        level = level.filter(F.col("step_id").isNotNull()).select(
-            "doc_id",
-            F.explode(F.expr("variant_get(_inputs, '$', 'array<variant>')")).alias("_doc"),
-            (F.col("depth") + 1).alias("depth"),
-            F.col("artifact").alias("parent_artifact"),
-            F.col("step_id").alias("parent_step"),
+        nodes = cut(_named(todo, fqn_prefix), "provenance")
+        found.append(nodes.drop("_inputs"))
+        rest = nodes.filter(F.col("_inputs").isNotNull())
+        if rest.select("depth").isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        below = _children(F.col("_inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"))
+        todo = rest.select("doc_id", _unnest(below, LEVELS_PER_ROUND).alias("_nodes"))
+
+
+def _entries(level: Column, depth: Column, parent: Column, parent_script: Column) -> Column:
+    """The keys of a document as an array of nodes; a node without a script has no inputs."""
+
+    def node(entry: Column) -> Column:
+        script = F.coalesce(F.variant_get(entry["value"], "$.metadata.script", "string"), F.lit(""))
+        inputs = F.when(script != "", F.variant_get(entry["value"], "$.input", _INPUTS))
+        return F.struct(
+            entry["key"].alias("artifact"),
+            script.alias("script"),
+            F.variant_get(entry["value"], "$.filename", "string").alias("recorded"),
+            F.coalesce(inputs, F.array().cast(_INPUTS)).alias("inputs"),
+            depth.alias("depth"),
+            parent.alias("parent_artifact"),
+            parent_script.alias("parent_script"),
         )
-    return reduce(DataFrame.unionByName, found) if found else level.select(*kept)
-
-
-def _visit(level: DataFrame, fqn_prefix: str) -> DataFrame:
-    """One row per key of each document in ``_doc``."""
-    view = level.select("*", F.expr("variant_get(_doc, '$', 'map<string, variant>')").alias("_map"))
-    nodes = view.select(
-        "doc_id", "depth", "parent_artifact", "parent_step", F.explode("_map").alias("artifact", "_node")
-    ).select(
-        "*",
-        F.coalesce(F.expr("variant_get(_node, '$.metadata.script', 'string')"), F.lit("")).alias("script"),
-        F.expr("variant_get(_node, '$.filename', 'string')").alias("recorded"),
-        F.expr("variant_get(_node, '$.input')").alias("_inputs"),
-    )
-    is_step = F.length("script") > 0
-    return nodes.select(
-        "*",
+
+    return F.transform(F.map_entries(level), node)
+
+
+def _children(inputs: Column, depth: Column, parent: Column, parent_script: Column) -> Column:
+    return F.flatten(F.transform(inputs, lambda item: _entries(item, depth, parent, parent_script)))
+
+
+def _unnest(level: Column, levels: int) -> Column:
+    """Nodes of this and the next levels as one array; those of the last level keep their inputs."""
+    if levels == 1:
+        return F.transform(level, lambda n: n.withField("inputs", F.when(F.size(n["inputs"]) > 0, n["inputs"])))
+
+    def with_descendants(n: Column) -> Column:
+        own = F.array(n.withField("inputs", F.lit(None).cast(_INPUTS)))
+        below = _children(n["inputs"], n["depth"] + 1, n["artifact"], n["script"])
+        return F.concat(own, _unnest(below, levels - 1))
+
+    return F.flatten(F.transform(level, with_descendants))
+
+
+def _named(todo: DataFrame, fqn_prefix: str) -> DataFrame:
+    # The outer form keeps Spark from unnesting twice, once for a filter on the array's size.
+    rows = todo.select("doc_id", F.explode_outer("_nodes").alias("_n")).select("doc_id", "_n.*")
+    return rows.filter(F.col("artifact").isNotNull()).select(
+        "doc_id",
+        "depth",
+        "artifact",
         artifact_fqn(fqn_prefix, "artifact").alias("fqn"),
-        F.when(is_step, step_id("script", "artifact")).alias("step_id"),
-    ).drop("_node")
+        "script",
+        F.when(F.col("script") != "", step_id("script", "artifact")).alias("step_id"),
+        "recorded",
+        "parent_artifact",
+        F.when(F.col("parent_artifact").isNotNull(), step_id("parent_script", "parent_artifact")).alias("parent_step"),
+        F.col("inputs").alias("_inputs"),
+    )
 
 
 def provenance_edges(nodes: DataFrame) -> DataFrame:

@@ -87,8 +87,8 @@ def previous_value(
     boxed = df.withColumn("_v", F.struct((F.col(value) if isinstance(value, str) else value).alias("x")))
     rows = _sliced(boxed, [*keys, *order_by])
     inner = F.lag("_v").over(W.partitionBy("_slice", *keys).orderBy("_row"))
-    out = _fill(rows, keys, "_v", inner, "_prev")
-    return out.withColumn(name, F.col("_prev.x")).drop("_v", "_prev")
+    out = _fill(rows, keys, "_v", inner, "_box").drop("_v")
+    return out.withColumn(name, F.col("_box.x")).drop("_box")
 
 
 def last_known(

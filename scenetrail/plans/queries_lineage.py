@@ -19,28 +19,17 @@ def history_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The ``history`` view as nested documents (doc_id, product, body), one JSON text per row."""
 
     def node(path, script, stamp, *inputs):
-        parts = [
-            F.concat(path, F.lit(" "), stamp).alias("filename"),
-            F.struct(script.alias("script")).alias("metadata"),
-            (F.array(*inputs) if inputs else F.array().cast("array<string>")).alias("input"),
-        ]
-        return F.concat(F.lit('{"'), path, F.lit('": '), F.to_json(F.struct(*parts)), F.lit("}"))
-
-    def inner(path, script, stamp, *inputs):
-        head = F.to_json(
-            F.struct(
-                F.concat(path, F.lit(" "), stamp).alias("filename"), F.struct(script.alias("script")).alias("metadata")
-            )
-        )
-        body = F.concat(F.left(head, F.length(head) - 1), F.lit(', "input": ['), F.concat_ws(", ", *inputs), F.lit("]}"))
-        return F.concat(F.lit('{"'), path, F.lit('": '), body, F.lit("}"))
+        return F.concat(
+            F.lit('{"'), path, F.lit('": {"filename": "'), path, F.lit(" "), stamp,
+            F.lit('", "metadata": {"script": "'), script, F.lit('"}, "input": ['), F.concat_ws(", ", *inputs), F.lit("]}}"),
+        )
 
     written, later = F.col("written"), F.col("later")
     raw = node(F.col("raw_file"), F.lit(""), written)
     angles = F.lit("qv_sentinel2angles.py")
-    ref = inner(F.col("ref"), F.col("ref_script"), written, inner(F.col("angle"), angles, written, raw), raw)
-    top = inner(
-        F.col("product"), F.col("product_script"), later, ref, inner(F.col("angle"), angles, later, raw), raw
+    ref = node(F.col("ref"), F.col("ref_script"), written, node(F.col("angle"), angles, written, raw), raw)
+    top = node(
+        F.col("product"), F.col("product_script"), later, ref, node(F.col("angle"), angles, later, raw), raw
     )
     return view(spark, sf, "history").select("doc_id", "product", top.alias("body"))
 

@@ -158,9 +158,7 @@ def keyed_state(spark, sf):
     customers = table(spark, sf, "customer")
     kept = customers.filter("c_acctbal > 0").select("c_custkey", F.split("c_name", "#").alias("items"))
     tables.state_put(kept, "c_custkey", "items", path)
-    return tables.state_get(customers.select(F.col("c_custkey").cast("string").alias("c_custkey")), "c_custkey", path).select(
-        F.col("c_custkey").cast("long").alias("c_custkey"), "value"
-    )
+    return tables.state_get(customers.select("c_custkey"), "c_custkey", path)
 
 
 @query("q_items", "SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer")

@@ -15,7 +15,7 @@ from scenetrail.streaming import trackers
 def _events(spark, sf):
     """The events table as a stream of its files."""
     schema = table(spark, sf, "events").schema
-    return trackers.watch_files(spark, f"{sf}/events.parquet", schema)
+    return trackers.watch_files(spark, f"{sf}/events.parquet*", schema)
 
 
 @query("q_stream_files", "SELECT event_id, event_type, user_id FROM events")

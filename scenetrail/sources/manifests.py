@@ -58,21 +58,18 @@ def read_tagged_output(
     out of its lines in place and nothing is shuffled.
     """
     split = lines(body)
-    picked = []
-    for tag, kind in tags.items():
+
+    def last_value(tag: str):
         mark = F.lit(f"{tag}:")
-        last = F.try_element_at(F.filter(split, lambda x, m=mark: F.startswith(x, m)), F.lit(-1))
-        text = strip(F.replace(last, mark, F.lit("")))
-        picked.append((text if kind == "string" else text.try_cast(kind)).alias(tag.lower()))
+        last = F.try_element_at(F.filter(split, lambda line: F.startswith(line, mark)), F.lit(-1))
+        return strip(F.replace(last, mark, F.lit("")))
+
+    picked = [last_value(tag).try_cast(kind).alias(tag.lower()) for tag, kind in tags.items()]
     out = df.select(run, *picked)
-    missing = F.array_compact(
-        F.array(
-            *[
-                F.when(F.coalesce(F.col(t.lower()).cast("string"), F.lit("")) == "", F.lit(t.lower()))
-                for t in required
-            ]
-        )
-    ) if required else F.array().cast("array<string>")
+    absent = [
+        F.when(F.coalesce(F.col(t.lower()).cast("string"), F.lit("")) == "", F.lit(t.lower())) for t in required
+    ]
+    missing = F.array_compact(F.array(*absent)) if absent else F.array().cast("array<string>")
     return out.withColumn(
         "error", F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
     )

@@ -35,12 +35,14 @@ def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
 
 def state_put(df: DataFrame, key: str, items: str, path: str) -> None:
     """Replace the stored value of every key; ``items`` is an array column, kept as JSON."""
-    df.select(F.col(key).alias("key"), F.to_json(items).alias("value")).write.mode("overwrite").parquet(path)
+    df.select(F.col(key).cast("string").alias("key"), F.to_json(items).alias("value")).write.mode("overwrite").parquet(path)
 
 
 def state_get(keys: DataFrame, key: str, path: str, default: str = "[]") -> DataFrame:
     """Stored JSON of each wanted key, or the default."""
     stored = keys.sparkSession.read.schema("key string, value string").parquet(path)
-    return keys.join(stored.withColumnRenamed("key", key), key, "left").withColumn(
-        "value", F.coalesce("value", F.lit(default))
+    return (
+        keys.join(stored, F.col(key).cast("string") == F.col("key"), "left")
+        .drop("key")
+        .withColumn("value", F.coalesce("value", F.lit(default)))
     )
