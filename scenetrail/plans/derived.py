@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scenetrail.session import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
@@ -272,10 +274,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, spread_scans: bool = False) -> DataFrame:
     """A derived view as a DataFrame."""
     used = set(re.findall(r"\{(\w+)\}", VIEWS[name]))
-    frames = {u: view(spark, sf_dir, u) if u in VIEWS else table(spark, sf_dir, u) for u in used}
+    scan = (lambda t: spread(table(spark, sf_dir, t))) if spread_scans else (lambda t: table(spark, sf_dir, t))
+    frames = {u: view(spark, sf_dir, u, spread_scans) if u in VIEWS else scan(u) for u in used}
     return spark.sql(VIEWS[name], **frames)
 
 

@@ -31,7 +31,7 @@ def history_documents(spark: SparkSession, sf: str) -> DataFrame:
     top = node(
         F.col("product"), F.col("product_script"), later, ref, node(F.col("angle"), angles, later, raw), raw
     )
-    return view(spark, sf, "history").select("doc_id", "product", top.alias("body"))
+    return view(spark, sf, "history", spread_scans=True).select("doc_id", "product", top.alias("body"))
 
 
 def _nodes(spark, sf) -> DataFrame:
