@@ -120,68 +120,67 @@ def levels(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the least node that each node is connected to, direction ignored.
+def components(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, node, component): the least node that each node is connected to, direction ignored.
 
     Rounds of large-star and small-star steps shrink the edges to stars. Their number grows with the
-    logarithm of the longest path, and a round moves each edge a constant number of times.
+    logarithm of the longest path, and a round moves each edge a constant number of times. Number nodes
+    by integers where possible: their minimum is hash-aggregated.
     """
+    keys = keys or []
     current = cut(
-        edges.select(F.greatest("parent", "child").alias("u"), F.least("parent", "child").alias("v"))
+        edges.select(*keys, F.greatest("parent", "child").alias("u"), F.least("parent", "child").alias("v"))
         .filter(F.col("u") != F.col("v"))
         .distinct(),
         "components",
     )
-    signature = None
-    while True:
-        current = cut(_small_star(_large_star(current)), "components")
-        row = current.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if (row["n"], row["h"]) == signature:
-            break
-        signature = (row["n"], row["h"])
-    centres = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
-
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("u").alias("a"), F.col("v").alias("b")),
-                F.struct(F.col("v").alias("a"), F.col("u").alias("b")),
-            )
-        )
+    while not _are_stars(current, keys):
+        twice = current
+        for _ in range(2):
+            twice = _small_star(_large_star(twice, keys), keys)
+        current = cut(twice, "components")
+    centres = current.select(*keys, F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return current.select(*keys, F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
+
+
+def _are_stars(edges: DataFrame, keys: list[str]) -> bool:
+    """Whether each node either is a centre or hangs on exactly one."""
+    roles = F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("leaf")), F.struct(F.col("v").alias("node"), F.lit(0).alias("leaf"))
+    )
+    mixed = (
+        edges.select(*keys, F.inline(roles))
+        .groupBy(*keys, "node")
+        .agg(F.sum("leaf").alias("n"), F.min("leaf").alias("least"))
+        .filter((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("least") == 0)))
     )
+    return mixed.isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, keys: list[str]) -> DataFrame:
     """Link the larger neighbours of each node to the least node around it."""
-    around = _both_ways(edges)
-    least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    ends = F.array(
+        F.struct(F.col("u").alias("a"), F.col("v").alias("b")), F.struct(F.col("v").alias("a"), F.col("u").alias("b"))
+    )
+    around = edges.select(*keys, F.inline(ends))
+    least = around.groupBy(*keys, "a").agg(F.min("b").alias("m")).select(*keys, "a", F.least("a", "m").alias("m"))
     return (
         around.filter(F.col("b") > F.col("a"))
-        .join(least, "a")
-        .select(F.col("b").alias("u"), F.col("m").alias("v"))
-        .filter(F.col("u") != F.col("v"))
+        .join(least, [*keys, "a"])
+        .select(*keys, F.col("b").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, keys: list[str]) -> DataFrame:
     """Link each node and its smaller neighbours to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = edges.groupBy(*keys, "u").agg(F.min("v").alias("m"))
+    links = F.array(
+        F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
+    )
     return (
-        edges.join(least, "u")
-        .select(
-            F.inline(
-                F.array(
-                    F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                    F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
-                )
-            )
-        )
+        edges.join(least, [*keys, "u"])
+        .select(*keys, F.inline(links))
         .filter(F.col("u") != F.col("v"))
         .distinct()
     )

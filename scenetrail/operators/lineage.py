@@ -36,15 +36,34 @@ def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id",
     todo = docs.select(F.col(doc_id).alias("doc_id"), _unnest(top, LEVELS_PER_ROUND).alias("_nodes"))
     found: list[DataFrame] = []
     while True:
-        nodes = cut(_named(todo, fqn_prefix), "provenance")
-        found.append(nodes.drop("_inputs"))
-        rest = nodes.filter(F.col("_inputs").isNotNull())
+        # The outer form keeps Spark from unnesting twice, once for a filter on the array's size.
+        rows = todo.select("doc_id", F.explode_outer("_nodes").alias("_n")).select("doc_id", "_n.*")
+        nodes = cut(rows.filter(F.col("artifact").isNotNull()), "provenance")
+        found.append(nodes.drop("inputs"))
+        rest = nodes.filter(F.col("inputs").isNotNull())
         if rest.select("depth").isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        below = _children(F.col("_inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"))
+            return _named(reduce(DataFrame.unionByName, found), fqn_prefix)
+        below = _children(F.col("inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"))
         todo = rest.select("doc_id", _unnest(below, LEVELS_PER_ROUND).alias("_nodes"))
 
 
+def _named(nodes: DataFrame, fqn_prefix: str) -> DataFrame:
+    """Add the names that follow from paths and scripts; they are cheaper to work out than to store."""
+    own = F.when(F.col("script") != "", step_id("script", "artifact"))
+    parent = F.when(F.col("parent_artifact").isNotNull(), step_id("parent_script", "parent_artifact"))
+    return nodes.select(
+        "doc_id",
+        "depth",
+        "artifact",
+        artifact_fqn(fqn_prefix, "artifact").alias("fqn"),
+        "script",
+        own.alias("step_id"),
+        "recorded",
+        "parent_artifact",
+        parent.alias("parent_step"),
+    )
+
+
 def _entries(level: Column, depth: Column, parent: Column, parent_script: Column) -> Column:
     """The keys of a document as an array of nodes; a node without a script has no inputs."""
 
@@ -81,23 +100,6 @@ def _unnest(level: Column, levels: int) -> Column:
     return F.flatten(F.transform(level, with_descendants))
 
 
-def _named(todo: DataFrame, fqn_prefix: str) -> DataFrame:
-    # The outer form keeps Spark from unnesting twice, once for a filter on the array's size.
-    rows = todo.select("doc_id", F.explode_outer("_nodes").alias("_n")).select("doc_id", "_n.*")
-    return rows.filter(F.col("artifact").isNotNull()).select(
-        "doc_id",
-        "depth",
-        "artifact",
-        artifact_fqn(fqn_prefix, "artifact").alias("fqn"),
-        "script",
-        F.when(F.col("script") != "", step_id("script", "artifact")).alias("step_id"),
-        "recorded",
-        "parent_artifact",
-        F.when(F.col("parent_artifact").isNotNull(), step_id("parent_script", "parent_artifact")).alias("parent_step"),
-        F.col("inputs").alias("_inputs"),
-    )
-
-
 def provenance_edges(nodes: DataFrame) -> DataFrame:
     """Edge occurrences (doc_id, parent_input, child_output): an output and one artifact it was made from."""
     return nodes.filter(F.col("parent_artifact").isNotNull()).select(

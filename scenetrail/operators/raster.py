@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scenetrail.operators.graph import components
+from scenetrail.session import cut
 
 # Bands taken, source and target range of the rescale, and the tile size.
 BANDS = (3, 2, 1)
@@ -49,43 +51,57 @@ def mosaic(tiles: DataFrame, keys: tuple[str, ...] = ("row", "col")) -> DataFram
     return tiles.groupBy(*keys).agg(F.max_by("value", "tile_name").alias("value"))
 
 
+_ROW_SHIFT = 31  # a place is packed as row * 2**31 + col, so rows and columns stay below 2**31
+_STRIP = 4096
+
+
+def _place(row: Column, col: Column) -> Column:
+    return F.shiftleft(row.cast("long"), _ROW_SHIFT) + col
+
+
 def segments(pixels: DataFrame) -> DataFrame:
     """8-connected regions of equal value, one row each.
 
     ``pixels`` is (scene, band, row, col, value) with each place once. A region is named by its first
-    pixel in row and column order. Touching pixels of equal value are the edges of a graph, at most four
-    per pixel, and the components of that graph are the regions; a region of any size stays spread out.
+    pixel in row and column order. Pixels next to each other in a row are first merged to runs, inside
+    strips of fixed width; runs that touch are the edges of a graph, and its components are the regions.
+    A region of any size stays spread out.
     """
-    place = F.struct("scene", "band", "row", "col")
-    pixels = pixels.select("scene", "band", "row", "col", "value", place.alias("node"))
-    # Each pixel names the places after it in reading order; one equi join finds the pairs that touch.
-    offsets = F.array(*[F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r, c in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    reach = pixels.select("scene", "band", "row", "col", "value", "node", F.inline(offsets)).select(
-        "scene",
-        "band",
-        (F.col("row") + F.col("dr")).alias("row"),
-        (F.col("col") + F.col("dc")).alias("col"),
+    keys = ["scene", "band"]
+    strip = W.partitionBy(*keys, "row", F.floor(F.col("col") / _STRIP)).orderBy("col")
+    follows = (F.lag("col").over(strip) == F.col("col") - 1) & F.lag("value").over(strip).eqNullSafe(F.col("value"))
+    marked = pixels.select(*keys, "row", "col", "value").withColumn("_start", F.when(~F.coalesce(follows, F.lit(False)), F.col("col")))
+    so_far = strip.rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = cut(
+        marked.withColumn("run", _place(F.col("row"), F.last("_start", ignorenulls=True).over(so_far))).drop("_start"),
+        "runs",
+    )
+    # Each pixel names the places below it, and the one to its right where a strip ends.
+    below = [F.struct(F.lit(1).alias("dr"), F.lit(c).alias("dc")) for c in (-1, 0, 1)]
+    right = F.when(F.col("col") % _STRIP == _STRIP - 1, F.struct(F.lit(0).alias("dr"), F.lit(1).alias("dc")))
+    reach = placed.select(*keys, "row", "col", "value", "run", F.inline(F.array_compact(F.array(*below, right)))).select(
+        *keys,
         "value",
-        F.col("node").alias("parent"),
+        _place(F.col("row") + F.col("dr"), F.col("col") + F.col("dc")).alias("place"),
+        F.col("run").alias("parent"),
+    )
+    there = placed.select(*keys, "value", _place(F.col("row"), F.col("col")).alias("place"), F.col("run").alias("child"))
+    edges = reach.join(there, [*keys, "place", "value"]).select(*keys, "parent", "child").distinct()
+    runs = placed.groupBy(*keys, "run", "row", "value").agg(
+        F.count("*").alias("n"), F.min("col").alias("c0"), F.max("col").alias("c1")
     )
-    edges = reach.join(
-        pixels.select("scene", "band", "row", "col", "value", F.col("node").alias("child")),
-        ["scene", "band", "row", "col", "value"],
-    ).select("parent", "child")
-    labels = components(edges)
+    labels = components(edges, keys).withColumnRenamed("node", "run")
     return (
-        pixels.join(labels, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .groupBy("component")
+        runs.join(labels, [*keys, "run"], "left")
+        .groupBy(*keys, F.coalesce("component", "run").alias("seed"), "value")
         .agg(
-            F.min("value").alias("value"),
-            F.count("*").alias("n_pixels"),
+            F.sum("n").alias("n_pixels"),
             F.min("row").alias("min_row"),
             F.max("row").alias("max_row"),
-            F.min("col").alias("min_col"),
-            F.max("col").alias("max_col"),
+            F.min("c0").alias("min_col"),
+            F.max("c1").alias("max_col"),
         )
-        .select("component.scene", "component.band", F.col("component.row").alias("seed_row"),
-                F.col("component.col").alias("seed_col"), "value", "n_pixels",
-                "min_row", "max_row", "min_col", "max_col")
-    )
+        .withColumn("seed_row", F.shiftright("seed", _ROW_SHIFT))
+        .withColumn("seed_col", F.col("seed") - F.shiftleft("seed_row", _ROW_SHIFT))
+        .drop("seed")
+    )

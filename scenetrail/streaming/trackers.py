@@ -74,66 +74,59 @@ def windowed_counts(events: DataFrame, ts: str, value: str, width: str = "5 minu
     )
 
 
-_SEEN = "job_id string, first_seen timestamp, last_seen timestamp, final_at timestamp, final_state string"
-_OUTCOME = "job_id string, submitted_at timestamp, outcome string"
-_STATE = "submitted_ms long, done boolean"
+_SEEN = "job_id string, first_us long, last_us long, final_us long, final_state string, last_seen timestamp"
+_OUTCOME = "job_id string, submitted_us long, outcome string"
+_OUTCOME_COLUMNS = ["job_id", "submitted_us", "outcome"]
+_STATE = "submitted_us long, done boolean"
+_SECOND = 1_000_000
 
 
 def _reduce_polls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Polls of a batch to one row per job: first and last time, and the first final state."""
     for pdf in batches:
-        pdf = pdf.sort_values("observed_at")
-        seen = pdf.groupby("job_id", sort=False)["observed_at"].agg(["min", "max"])
-        final = pdf[pdf["state"].isin(FINAL_STATES)].groupby("job_id", sort=False).first()
+        pdf = pdf.sort_values("observed_us", kind="stable")
+        seen = pdf.groupby("job_id", sort=False)["observed_us"].agg(["min", "max"])
+        final = pdf[pdf["state"].isin(FINAL_STATES)].groupby("job_id", sort=False).first().reindex(seen.index)
         yield pd.DataFrame(
             {
                 "job_id": seen.index,
-                "first_seen": seen["min"].to_numpy(),
-                "last_seen": seen["max"].to_numpy(),
-                "final_at": final["observed_at"].reindex(seen.index).to_numpy(),
-                "final_state": final["state"].reindex(seen.index).to_numpy(),
+                "first_us": seen["min"].to_numpy(),
+                "last_us": seen["max"].to_numpy(),
+                "final_us": final["observed_us"].astype("Int64").to_numpy(),
+                "final_state": final["state"].to_numpy(),
+                "last_seen": pd.to_datetime(seen["max"].to_numpy(), unit="us"),
             }
         )
 
 
-def _track(limit_ms: int) -> Callable:
+def _track(limit_us: int) -> Callable:
     def follow(key: tuple, polls: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def outcome(submitted: int, what: str) -> pd.DataFrame:
-            return pd.DataFrame(
-                {"job_id": [key[0]], "submitted_at": [pd.Timestamp(submitted, unit="us")], "outcome": [what]}
-            )
-
         if state.hasTimedOut:
-            (submitted, done) = state.get
+            submitted, done = state.get
             state.remove()
             if not done:
-                yield outcome(submitted, "TIMEOUT")
+                yield pd.DataFrame([(key[0], submitted, "TIMEOUT")], columns=_OUTCOME_COLUMNS)
             return
-        submitted, done = state.get if state.exists else (None, False)
-        last, final_at, final_state = None, None, None
-        for pdf in polls:
-            first = int(pdf["first_seen"].min().value // 1000)
-            submitted = first if submitted is None else min(first, submitted)
-            newest = int(pdf["last_seen"].max().value // 1000)
-            last = newest if last is None else max(last, newest)
-            ended = pdf.dropna(subset=["final_at"]).sort_values("final_at")
-            if len(ended):
-                at = int(ended["final_at"].iloc[0].value // 1000)
-                if final_at is None or at < final_at:
-                    final_at, final_state = at, ended["final_state"].iloc[0]
-        limit_us = limit_ms * 1000
+        seen = [row for pdf in polls for row in pdf[["first_us", "last_us", "final_us", "final_state"]].to_numpy()]
+        submitted, done = state.get if state.exists else (seen[0][0], False)
+        submitted = min(submitted, min(int(r[0]) for r in seen))
+        watermark = state.getCurrentWatermarkMs()
+        deadline = (submitted + limit_us) // 1000
         if not done:
-            if final_at is not None and (final_at - submitted) // 1_000_000 * 1_000_000 <= limit_us:
-                done = True
-                yield outcome(submitted, final_state)
-            elif (last - submitted) // 1_000_000 * 1_000_000 > limit_us or (
-                submitted // 1000 + limit_ms <= state.getCurrentWatermarkMs()
-            ):
+            # Ages count in whole seconds, as in the table form of this operator.
+            age = (max(int(r[1]) for r in seen) - submitted) // _SECOND
+            final = min(((int(r[2]), r[3]) for r in seen if r[3] is not None), default=None)
+            outcome = None
+            if final is not None and (final[0] - submitted) // _SECOND <= limit_us // _SECOND:
+                outcome = final[1]
+            elif age > limit_us // _SECOND or deadline <= watermark:
+                outcome = "TIMEOUT"
+            if outcome is not None:
                 done = True
-                yield outcome(submitted, "TIMEOUT")
+                yield pd.DataFrame([(key[0], submitted, outcome)], columns=_OUTCOME_COLUMNS)
         state.update((submitted, done))
         # An ended job is remembered until its limit is past, so that late polls do not start it anew.
-        state.setTimeoutTimestamp(max(submitted // 1000 + limit_ms, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(deadline, watermark + 1))
 
     return follow
 
@@ -145,15 +138,16 @@ def job_tracker(status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS, late:
     passed in event time. Polls are reduced per job before the shuffle, and the state of a job is one
     small row.
     """
-    return (
-        status.select("job_id", "observed_at", "state")
+    tracked = (
+        status.select("job_id", F.unix_micros("observed_at").alias("observed_us"), "state")
         .mapInPandas(_reduce_polls, _SEEN)
         .withWatermark("last_seen", late)
         .groupBy("job_id")
         .applyInPandasWithState(
-            _track(limit_seconds * 1000), _OUTCOME, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+            _track(limit_seconds * _SECOND), _OUTCOME, _STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
+    return tracked.select("job_id", F.timestamp_micros("submitted_us").alias("submitted_at"), "outcome")
 
 
 def on_dataset_update(producer: DataFrame, fn: Callable[[DataFrame, int], None]) -> None:
