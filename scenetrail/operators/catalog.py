@@ -28,8 +28,8 @@ def register_missing(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """Entities to create, with ``create_order`` so that parents come before children."""
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     return (
-        candidates.dropDuplicates(["fqn"])
-        .join(catalog.select("fqn"), "fqn", "left_anti")
+        candidates.join(catalog.select("fqn"), "fqn", "left_anti")
+        .dropDuplicates(["fqn"])
         .withColumn("create_order", order)
     )
 

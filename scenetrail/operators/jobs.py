@@ -34,19 +34,21 @@ def timeouts(status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS) -> DataF
 
     A job that is neither final nor past the limit is ``OPEN``.
     """
-    start = submissions(status)
     final = F.col("state").isin(*FINAL_STATES)
-    in_time = F.timestamp_diff("SECOND", F.col("submitted_at"), F.col("observed_at")) <= limit_seconds
-    per_job = (
-        status.join(start, "job_id")
-        .groupBy("job_id", "submitted_at")
-        .agg(
-            F.min(F.when(final & in_time, F.struct("observed_at", "state")))["state"].alias("_state"),
-            F.max("observed_at").alias("last_seen"),
-        )
+    per_job = status.groupBy("job_id").agg(
+        F.min("observed_at").alias("submitted_at"),
+        F.max("observed_at").alias("last_seen"),
+        F.min(F.when(final, F.struct("observed_at", "state"))).alias("_first"),
+    )
+
+    def age(at: str) -> Column:
+        return F.timestamp_diff("SECOND", F.col("submitted_at"), F.col(at))
+
+    outcome = (
+        F.when(age("_first.observed_at") <= limit_seconds, F.col("_first.state"))
+        .when(age("last_seen") > limit_seconds, F.lit("TIMEOUT"))
+        .otherwise(F.lit("OPEN"))
     )
-    late = F.timestamp_diff("SECOND", F.col("submitted_at"), F.col("last_seen")) > limit_seconds
-    outcome = F.when(F.col("_state").isNotNull(), F.col("_state")).when(late, F.lit("TIMEOUT")).otherwise(F.lit("OPEN"))
     return per_job.select("job_id", "submitted_at", "last_seen", outcome.alias("outcome"))
 
 

@@ -7,8 +7,10 @@ concatenation and CASE only. Table names stand in braces.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scenetrail.session import spread
 
@@ -274,12 +276,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _pairs(*pairs: tuple[Column, Column]) -> Column:
+    return F.inline(F.array(*[F.struct(a.alias("parent"), b.alias("child")) for a, b in pairs]))
+
+
+def _key(prefix: str, *columns: str) -> Column:
+    return F.concat(F.lit(f"{prefix}/"), F.concat_ws("-", *[F.col(c).cast("string") for c in columns]))
+
+
+def line_nodes() -> Column:
+    return _key("lines", "l_orderkey", "l_partkey", "l_suppkey")
+
+
+def _edges(t) -> DataFrame:
+    line = line_nodes()
+    parts = [
+        t("lineitem").select(
+            _pairs(
+                (_key("orders", "l_orderkey"), line),
+                (_key("part", "l_partkey"), line),
+                (_key("supplier", "l_suppkey"), line),
+            )
+        ),
+        t("orders").select(_pairs((_key("customer", "o_custkey"), _key("orders", "o_orderkey")))),
+        t("customer").select(_pairs((_key("nation", "c_nationkey"), _key("customer", "c_custkey")))),
+        t("supplier").select(_pairs((_key("nation", "s_nationkey"), _key("supplier", "s_suppkey")))),
+        t("nation").select(_pairs((_key("region", "n_regionkey"), _key("nation", "n_nationkey")))),
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _task_edges(t) -> DataFrame:
+    links = [(F.lit(a), F.lit(b)) for a, b in (("t1", "t2"), ("t1", "t3"), ("t2", "t4"), ("t3", "t4"))]
+    return t("dags").select("dag", _pairs(*links))
+
+
+def _declared(t) -> DataFrame:
+    side = F.when(F.col("l_suppkey") % 10 == 0, F.lit("inlet")).otherwise(F.lit("outlet"))
+    rows = F.array(
+        F.struct(F.lit("inlet").alias("direction"), _key("part", "l_partkey").alias("fqn")),
+        F.struct(side.alias("direction"), line_nodes().alias("fqn")),
+    )
+    return t("lineitem").select(
+        F.concat(F.lit("dag-"), "l_orderkey").alias("dag"),
+        F.concat(F.lit("step-"), "l_linenumber").alias("key"),
+        F.inline(rows),
+    )
+
+
+# Views that Spark makes from one scan per table, where the text unites several.
+ONE_SCAN = {"edges": _edges, "task_edges": _task_edges, "declared": _declared}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str, spread_scans: bool = False) -> DataFrame:
     """A derived view as a DataFrame."""
-    used = set(re.findall(r"\{(\w+)\}", VIEWS[name]))
-    scan = (lambda t: spread(table(spark, sf_dir, t))) if spread_scans else (lambda t: table(spark, sf_dir, t))
-    frames = {u: view(spark, sf_dir, u, spread_scans) if u in VIEWS else scan(u) for u in used}
-    return spark.sql(VIEWS[name], **frames)
+
+    def source(used: str) -> DataFrame:
+        if used in VIEWS:
+            return view(spark, sf_dir, used, spread_scans)
+        scan = table(spark, sf_dir, used)
+        return spread(scan) if spread_scans else scan
+
+    if name in ONE_SCAN:
+        return ONE_SCAN[name](source)
+    return spark.sql(VIEWS[name], **{u: source(u) for u in set(re.findall(r"\{(\w+)\}", VIEWS[name]))})
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenetrail.operators import catalog, graph, lineage
-from scenetrail.plans.derived import table, view
+from scenetrail.plans.derived import line_nodes, table, view
 from scenetrail.plans.registry import query
-from scenetrail.session import scratch_path
+from scenetrail.session import cut, scratch_path
 from scenetrail.sources import documents
 
 PREFIX = "store.scenes.public"
@@ -285,7 +285,7 @@ _WALK = """
 @query("q_ancestors", _WALK.format("lines"), ("edges",))
 def ancestors(spark, sf):
     edges = view(spark, sf, "edges")
-    start = edges.filter(F.startswith("child", F.lit("lines/"))).select(F.col("child").alias("node")).distinct()
+    start = table(spark, sf, "lineitem").select(line_nodes().alias("node"))
     return graph.ancestors(edges, start)
 
 
@@ -301,7 +301,7 @@ def ancestors(spark, sf):
 )
 def descendants(spark, sf):
     edges = view(spark, sf, "edges")
-    start = edges.filter(F.startswith("parent", F.lit("customer/"))).select(F.col("parent").alias("node")).distinct()
+    start = table(spark, sf, "orders").select(F.concat(F.lit("customer/"), "o_custkey").alias("node"))
     return graph.descendants(edges, start)
 
 
@@ -372,7 +372,8 @@ def registered(spark, sf):
     ("customer_fqns",),
 )
 def catalog_path(spark, sf):
-    return catalog.catalog_path(catalog.with_parents(view(spark, sf, "customer_fqns")))
+    stored = cut(catalog.with_parents(view(spark, sf, "customer_fqns")), "catalog")
+    return catalog.catalog_path(stored)
 
 
 @query(
@@ -416,9 +417,7 @@ _PROVEN = """
     ("declared",),
 )
 def orphans(spark, sf):
-    made = F.struct(
-        F.lit("outlet").alias("direction"), F.concat_ws("-", F.concat(F.lit("lines/"), "l_orderkey"), "l_partkey", "l_suppkey").alias("fqn")
-    )
+    made = F.struct(F.lit("outlet").alias("direction"), line_nodes().alias("fqn"))
     used = F.when(
         F.col("l_returnflag") != "R",
         F.struct(F.lit("inlet").alias("direction"), F.concat(F.lit("part/"), "l_partkey").alias("fqn")),
