@@ -10,10 +10,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scenetrail.functions.names import artifact_fqn, recorded_at, recorded_path, step_id
+from scenetrail.operators.ordered import number_in_key
 from scenetrail.session import cut
 
 
@@ -274,5 +274,4 @@ def named_inlets(references: DataFrame, reach: DataFrame, outlets: DataFrame) ->
 
 def numbered_inlets(inlets: DataFrame) -> DataFrame:
     """Inlets of each task in sorted order, for comparison."""
-    order = W.partitionBy("dag", "task").orderBy("url")
-    return inlets.withColumn("inlet_no", F.row_number().over(order))
+    return number_in_key(inlets, ["dag", "task"], ["url"], "inlet_no")

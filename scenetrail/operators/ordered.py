@@ -50,6 +50,15 @@ def enumerate_rows(df: DataFrame, order_by: list[str | Column], name: str = "idx
     )
 
 
+def number_in_key(
+    df: DataFrame, keys: list[str], order_by: list[str | Column], name: str = "number"
+) -> DataFrame:
+    """Add the 1-based position of each row among the rows of its key."""
+    placed = enumerate_rows(df, [*keys, *order_by], "_idx")
+    first = placed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
+    return placed.join(first, keys).withColumn(name, F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first")
+
+
 def _carried(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per slice: the newest non-null value of the key that the slice begins with, from earlier slices."""
     own_key = F.struct(*keys)

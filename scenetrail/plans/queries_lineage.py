@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenetrail.operators import catalog, graph, lineage
+from scenetrail.plans import flows
 from scenetrail.plans.derived import line_nodes, table, view
 from scenetrail.plans.registry import query
 from scenetrail.session import cut, scratch_path
@@ -211,8 +212,8 @@ def all_inputs(spark, sf):
     _V,
 )
 def step_levels(spark, sf):
-    deps = lineage.step_dependencies(lineage.step_members(_nodes(spark, sf)))
-    return graph.levels(deps.select("doc_id", F.col("up_step").alias("parent"), F.col("down_step").alias("child")), ["doc_id"])
+    docs = history_documents(spark, sf).select("doc_id", F.parse_json("body").alias("doc"))
+    return flows.lineage_tables(docs, PREFIX)["levels"]
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scenetrail.functions import names as N
 from scenetrail.functions import text as X
 from scenetrail.operators import ordered, slots, stages
-from scenetrail.plans import stage_data
+from scenetrail.plans import flows, stage_data
 from scenetrail.plans.derived import table, view
 from scenetrail.plans.registry import query
 from scenetrail.session import scratch_path
@@ -386,3 +386,43 @@ def setup_failures(spark, sf):
 def failure_summary(spark, sf):
     failed = stages.failures(view(spark, sf, "log_lines"), "body", "o_orderkey")
     return stages.failure_summary(failed, "landsat")
+
+
+_LS_STAGES = _rows([(n, name, fatal) for s, n, name, fatal in stage_data.STAGES if s == "landsat"])
+
+
+@query(
+    "q_landsat_batch",
+    f"""
+    SELECT scene_key, stage_no, stage_name, fatal, stage_no - 1 AS after_stage
+    FROM (SELECT DISTINCT 'l' || substr(regexp_extract(file_name, '{_LANDSAT}', 1), 2) || 'olre_p'
+                 || regexp_extract(file_name, '{_LANDSAT}', 2) || 'r' || regexp_extract(file_name, '{_LANDSAT}', 3) || '_'
+                 || regexp_extract(file_name, '{_LANDSAT}', 4) AS scene_key
+          FROM landsat_names WHERE regexp_matches(file_name, '{_LANDSAT}')) s
+    CROSS JOIN (VALUES {_LS_STAGES}) t(stage_no, stage_name, fatal)
+    """,
+    ("landsat_names",),
+)
+def landsat_batch(spark, sf):
+    text = F.concat(F.lit("['readme.txt', '"), "file_name", F.lit("']"))
+    lists = view(spark, sf, "landsat_names").select(F.base64(text).alias("payload"))
+    return flows.landsat_batch(lists, "payload").withColumn("after_stage", F.coalesce("after_stage", F.lit(0)))
+
+
+@query(
+    "q_sentinel_ingest",
+    f"""
+    SELECT o_custkey, slot, scene_key, stage_no, stage_name, fatal, stage_no - 1 AS after_stage
+    FROM (SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY n.o_orderkey) - 1 AS slot,
+                 CASE substr(file_name, 1, 3) {_PREFIX} {_C} END
+                 || nullif(lower(regexp_extract(file_name, '{_TILE}')), '') AS scene_key
+          FROM s2_names n JOIN orders o ON o.o_orderkey = n.o_orderkey) x
+    CROSS JOIN (VALUES {_S2_STAGES}) t(stage_no, stage_name, fatal) WHERE slot < 5 AND scene_key IS NOT NULL
+    """,
+    ("s2_names",),
+)
+def sentinel_ingest(spark, sf):
+    runs = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    found = view(spark, sf, "s2_names").join(runs, "o_orderkey")
+    planned = flows.sentinel_ingest(found, "o_custkey", "file_name", ["o_orderkey"])
+    return planned.withColumn("after_stage", F.coalesce("after_stage", F.lit(0)))

@@ -32,7 +32,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(configure(spark, sf_dir), sf_dir)
 
         _queries[name] = run
         if sql is not None:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that every operator relies on; all can be changed on a running session.
 RUNTIME_CONF = {
@@ -20,19 +21,42 @@ RUNTIME_CONF = {
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+def configure(spark: SparkSession, data: str | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    With the folder of the input data, also raise the shuffle partitions to fit its size.
+    """
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if data is not None:
+        fitting = shuffle_partitions(stored_bytes(spark, data), spark.sparkContext.defaultParallelism)
+        if fitting > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
     return spark
 
 
+_sizes: dict[tuple[str, str], int] = {}
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a folder; their content is not read. Asked once per application."""
+    asked = (spark.sparkContext.applicationId, path)
+    if asked not in _sizes:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        _sizes[asked] = files.agg(F.sum("length")).first()[0] or 0
+    return _sizes[asked]
+
+
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions so that each holds about 128 MB, and never fewer than the cores."""
-    return max(cores, math.ceil(input_bytes / TARGET_PARTITION_BYTES))
+    """Shuffle partitions of about 128 MB, not fewer than the cores.
+
+    Above 50,000 the partitions grow instead and spill, because the blocks of a shuffle multiply with them.
+    """
+    return min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(input_bytes / TARGET_PARTITION_BYTES)))
 
 
 def local_session(app: str = "scenetrail", cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -76,9 +100,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[sc.applicationId]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/scenetrail-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; its earlier results become unreadable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(scan: DataFrame) -> DataFrame:

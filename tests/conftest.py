@@ -9,10 +9,11 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 @pytest.fixture(scope="session")
 def spark():
-    from scenetrail.session import local_session
+    from scenetrail.session import local_session, release
 
     session = local_session("scenetrail-tests", 8, 8)
     yield session
+    release(session)
     session.stop()
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scenetrail.operators import catalog, graph, jobs, lineage, nested, ordered, raster, reports, rowfns, runs, slots, stages
+from scenetrail import session
 from scenetrail.plans import stage_data
 from scenetrail.session import scratch_path
 from scenetrail.sources import documents, manifests, tables
@@ -155,6 +156,28 @@ def test_enumerate_with_equal_keys(spark):
     assert all((r.x == 0) == (r.idx < 2500) for r in got)
 
 
+def test_number_in_key_with_a_hot_key(spark):
+    rows_in = _hot(3000)
+    df = spark.createDataFrame(rows_in, "k int, t int, v int").repartition(8)
+    got = {r.v: r.number for r in ordered.number_in_key(df, ["k"], ["t", "v"]).collect()}
+    want, seen = {}, collections.Counter()
+    for k, _, v in sorted(rows_in):
+        seen[k] += 1
+        want[v] = seen[k]
+    assert got == want
+
+
+def test_shuffle_partitions_follow_the_data(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.bin").write_bytes(b"0" * 1000)
+    assert session.stored_bytes(spark, str(tmp_path)) == 1000
+    assert session.shuffle_partitions(1000, 8) == 8
+    assert session.shuffle_partitions(10 * 2**30, 8) == 80
+    assert session.shuffle_partitions(100 * 2**40, 8) == 50_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert session.configure(spark, str(tmp_path)).conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_last_known_with_a_hot_key(spark):
     left, right = _hot(4000, 1), [(k, t, v) for k, t, v in _hot(900, 2) if k != 5]
     a = spark.createDataFrame(left, "k int, t int, id int").repartition(8)
