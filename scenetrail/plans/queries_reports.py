@@ -13,8 +13,8 @@ from scenetrail.plans.registry import query
 from scenetrail.session import scratch_path
 from scenetrail.sources import documents, tables
 
-_CENTRE_1 = "SELECT cast(o_orderdate AS date) AS day, o_orderstatus AS type, o_orderpriority AS name FROM orders"
-_CENTRE_2 = "SELECT cast(l_shipdate AS date), l_linestatus, l_returnflag FROM lineitem"
+_CENTRE_1 = "SELECT cast(cast(o_orderdate AS date) AS varchar) AS day, o_orderstatus AS type, o_orderpriority AS name FROM orders"
+_CENTRE_2 = "SELECT cast(cast(l_shipdate AS date) AS varchar), l_linestatus, l_returnflag FROM lineitem"
 
 
 @query("q_combine", f"{_CENTRE_1} UNION {_CENTRE_2}")
@@ -25,18 +25,18 @@ def combined(spark, sf):
     b = table(spark, sf, "lineitem").select(
         F.to_date("l_shipdate").alias("day"), F.col("l_linestatus").alias("type"), F.col("l_returnflag").alias("name")
     )
-    return reports.combine(a, b)
+    return reports.combine(a, b).withColumn("day", F.col("day").cast("string"))
 
 
 @query(
     "q_report",
-    "SELECT cast(ts AS date) AS day, nullif(event_type, 'signup') AS type, count(nullif(event_type, 'signup')) AS number FROM events GROUP BY 1, 2",  # noqa: E501
+    "SELECT cast(cast(ts AS date) AS varchar) AS day, nullif(event_type, 'signup') AS type, count(nullif(event_type, 'signup')) AS number FROM events GROUP BY 1, 2",  # noqa: E501
 )
 def report(spark, sf):
     events = table(spark, sf, "events").select(
         F.to_date("ts").alias("day"), F.nullif("event_type", F.lit("signup")).alias("type")
     )
-    return reports.count_by(events, ["day", "type"], "type")
+    return reports.count_by(events, ["day", "type"], "type").withColumn("day", F.col("day").cast("string"))
 
 
 @query("q_total", "SELECT cast(sum(cast(value AS decimal(18,2))) AS double) AS total FROM events")
@@ -136,7 +136,7 @@ def ddl(spark, sf):
 @query(
     "q_values",
     """
-    SELECT since, label, count(*) AS orders FROM orders JOIN (VALUES ('1-URGENT', DATE '1995-01-01', 'fast'),
+    SELECT cast(since AS varchar) AS since, label, count(*) AS orders FROM orders JOIN (VALUES ('1-URGENT', DATE '1995-01-01', 'fast'),
       ('2-HIGH', DATE '1996-01-01', 'fast'), ('5-LOW', DATE '1997-01-01', 'slow')) v(priority, since, label)
     ON o_orderpriority = priority AND cast(o_orderdate AS date) >= since GROUP BY 1, 2
     """,
@@ -149,7 +149,8 @@ def literal_rows(spark, sf):
     )
     joined = table(spark, sf, "orders").join(F.broadcast(labels), F.col("o_orderpriority") == F.col("priority"))
     dated = joined.filter(F.to_date("o_orderdate") >= F.col("since"))
-    return dated.groupBy("since", "label").agg(F.count("*").alias("orders"))
+    counted = dated.groupBy("since", "label").agg(F.count("*").alias("orders"))
+    return counted.withColumn("since", F.col("since").cast("string"))
 
 
 @query("q_state", "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN '[\"' || replace(c_name, '#', '\",\"') || '\"]' ELSE '[]' END AS value FROM customer")

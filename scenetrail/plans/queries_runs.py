@@ -159,7 +159,7 @@ def lookback(spark, sf):
 @query(
     "q_same_run",
     """
-    SELECT DISTINCT r.event_id, r.day, cast(m.value AS varchar) AS value
+    SELECT DISTINCT r.event_id, cast(r.day AS varchar) AS day, cast(m.value AS varchar) AS value
     FROM (SELECT event_id, event_type, cast(ts AS date) AS day FROM events) r
     LEFT JOIN (SELECT event_type, cast(ts AS date) AS day, max(value) AS value FROM events WHERE value > 200 GROUP BY 1, 2) m
     ON r.event_type = m.event_type AND r.day = m.day
@@ -169,7 +169,7 @@ def same_run(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     pushed = events.filter("value > 200").select("event_type", "day", "value")
     found = runs.same_run(events.select("event_id", "event_type", "day"), pushed, ["event_type"], "day")
-    return found.select("event_id", "day", F.col("value").cast("string").alias("value"))
+    return found.select("event_id", F.col("day").cast("string").alias("day"), F.col("value").cast("string").alias("value"))
 
 
 @query(
