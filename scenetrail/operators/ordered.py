@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scenetrail.session import cut
 
@@ -20,12 +21,16 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partitio
 def _sliced(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     """Sort globally and keep the place of each row as ``_slice`` and ``_row``.
 
-    The tie column lets range partitioning split rows that agree in every sort column.
+    Rows that agree in every sort column are told apart by a hash of their values, so that range
+    partitioning can split them and a task that is run again places them alike. Only equal rows, which can
+    stand for each other, are told apart by number.
     """
+    hashed = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
     placed = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .orderBy(*order_by, "_tie")
-        .drop("_tie")
+        df.withColumn("_hash", F.xxhash64(*hashed))
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .orderBy(*order_by, "_hash", "_tie")
+        .drop("_hash", "_tie")
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_slice", F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
@@ -34,6 +39,15 @@ def _sliced(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     return cut(placed, "slices")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether a type cannot be hashed because it is or holds a map or variant."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def enumerate_rows(df: DataFrame, order_by: list[str | Column], name: str = "idx") -> DataFrame:
     """Add the 0-based position of each row in the given order."""
     rows = _sliced(df, order_by)

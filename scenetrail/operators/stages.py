@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenetrail.functions.names import derive_output
 from scenetrail.functions.text import module_failures, stage_failures
 from scenetrail.plans import stage_data
 
@@ -92,6 +93,15 @@ def resolve_stage_inputs(products: DataFrame, sensor: str) -> DataFrame:
     )
 
 
+def stage_output_files(inputs: DataFrame) -> DataFrame:
+    """Names of the files that the Landsat stages write, from the ``stage_input_files`` they are named after."""
+    names = [
+        F.when((F.col("stage_no") == n) & (F.col("code") == swaps[0][0]), derive_output("file_name", swaps))
+        for n, swaps in stage_data.OUTPUT_SWAPS
+    ]
+    return inputs.select("scene_key", "stage_no", F.explode(F.array_compact(F.array(*names))).alias("output_name"))
+
+
 def plan_edges(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
     """A stage depends on the stages that write a code it reads."""
     up = outputs.select("sensor", "code", F.col("stage_no").alias("up_stage"))

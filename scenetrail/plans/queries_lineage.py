@@ -251,6 +251,11 @@ def fqn_collisions(spark, sf):
     return lineage.fqn_collisions(lineage.distinct_artifacts(both))
 
 
+@query("q_artifacts", f"SELECT DISTINCT artifact, {_fqn('artifact')} AS fqn FROM history_nodes", _V)
+def artifacts(spark, sf):
+    return lineage.distinct_artifacts(_nodes(spark, sf))
+
+
 @query("q_edges_roots", "SELECT parent AS node FROM edges EXCEPT SELECT child FROM edges", ("edges",))
 def edge_roots(spark, sf):
     return graph.roots(view(spark, sf, "edges"))

@@ -118,7 +118,7 @@ def derived_outputs(spark, sf):
         .select(
             "file_name",
             N.derive_output("file_name", [("da1", "ddh"), ("n", "N")]).alias("stage_7"),
-            N.derive_output("file_name", stage_data.OUTPUT_SWAPS[12]).alias("stage_12"),
+            N.derive_output("file_name", [("dbg", "dil")]).alias("stage_12"),
             N.swap_extension("file_name", ".img", ".tif").alias("tif"),
         )
     )
@@ -322,6 +322,23 @@ def stage_inputs(spark, sf):
     return stages.stage_input_files(view(spark, sf, "products"), "landsat")
 
 
+_LS_SWAPS = _rows([(n, swaps[0][0], swaps[0][1]) for n, swaps in stage_data.OUTPUT_SWAPS])
+
+
+@query(
+    "q_stage_outputs",
+    f"""
+    SELECT scene_key, r.stage_no, regexp_replace(regexp_replace(file_name, old, new),
+           CASE WHEN r.stage_no = 7 THEN 'th' ELSE '$^' END, 're') AS output_name
+    FROM ({_READY}) r JOIN (VALUES {_LS_SWAPS}) o(stage_no, old, new) ON o.stage_no = r.stage_no AND o.old = r.code
+    WHERE file_name IS NOT NULL
+    """,
+    ("products",),
+)
+def stage_outputs(spark, sf):
+    return stages.stage_output_files(stages.stage_input_files(view(spark, sf, "products"), "landsat"))
+
+
 @query(
     "q_stage_ready",
     f"""

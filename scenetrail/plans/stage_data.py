@@ -70,15 +70,16 @@ STAGE_OUTPUTS = [
     ("sentinel", 5, ["ac0"]),
 ]
 
-# Output name of a Landsat stage, as swaps of the first occurrence in an input name.
-OUTPUT_SWAPS = {
-    4: [("da3", "ddc")],
-    5: [("da2", "ddb")],
-    7: [("da1", "ddh"), ("th", "re")],
-    9: [("da1", "dbg")],
-    12: [("dbg", "dil")],
-    14: [("dbg", "ddi")],
-}
+# Fixed values: (Landsat stage, swaps of the first occurrence in the input's name that give an output's name).
+OUTPUT_SWAPS = [
+    (4, [("da3", "ddc")]),
+    (5, [("da2", "ddb")]),
+    (7, [("da1", "ddh"), ("th", "re")]),
+    (9, [("da1", "dbg")]),
+    (12, [("dbg", "dil")]),
+    (14, [("dbg", "ddi")]),
+    (14, [("dbg", "ddj")]),
+]
 
 
 def stages(spark: SparkSession) -> DataFrame:

@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     # Split hot join keys even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keep the state of streams on disk, so that it is not limited by executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024

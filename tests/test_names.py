@@ -68,7 +68,7 @@ def test_path_parts(spark):
         space=N.step_id(F.lit(" "), F.lit("short.img")),
         fqn=N.artifact_fqn("a.b.c", p),
         meta=N.metadata_name(p),
-        slurm=N.drop_suffix(F.lit("job_1.slurm"), 6),
+        script=N.drop_suffix(F.lit("job_1.batch"), 6),
         tiny=N.drop_suffix(F.lit("abc"), 6),
         slot=N.slot_of(F.lit("batch.download_12")),
     ).asDict()
@@ -86,7 +86,7 @@ def test_path_parts(spark):
         "space": "_",
         "fqn": "a.b.c.cgmsre_t54hvh_20250211_abam4_tar_gz",
         "meta": "cgmsre_t54hvh_20250211_abam4.tar_metadata.json",
-        "slurm": "job_1",
+        "script": "job_1",
         "tiny": "",
         "slot": 12,
     }
