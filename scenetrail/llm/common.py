@@ -30,6 +30,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def arrow_function(fn: Callable, kind: str) -> Callable[..., Column]:
+    """A column function over Arrow arrays that is run once a row.
+
+    Declared as not deterministic, because the optimizer runs a deterministic one again below every filter on its
+    result.
+    """
+    return F.arrow_udf(fn, kind).asNondeterministic()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import boxed, query, table, unboxed
+from scenetrail.llm.common import arrow_function, boxed, query, table, unboxed
 from scenetrail.session import cut
 
 WINDOW = 10
@@ -97,7 +97,7 @@ def _scanner(rows: list[tuple[tuple, tuple]]):
             ("items", pa.list_(pa.string())),
         ]
     )
-    return F.arrow_udf(scan, FOUND)
+    return arrow_function(scan, FOUND)
 
 
 FOUND = "struct<n_words:bigint,hits:array<struct<start:bigint,end:bigint>>,items:array<string>>"

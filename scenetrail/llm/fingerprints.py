@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scenetrail.llm.common import query, table
+from scenetrail.llm.common import arrow_function, query, table
 from scenetrail.llm.words import mixed, pieces, segment_hash, text_bytes, words_of
 
 _CUT = np.uint64(3)  # one word in four ends a piece, one paragraph in four a section
@@ -113,7 +113,7 @@ def fingerprint(text: Column | str) -> Column:
         for batch in batches:
             yield pa.array(fingerprints(batch), pa.string())
 
-    return F.arrow_udf(run, "string")(text)
+    return arrow_function(run, "string")(text)
 
 
 def _slices(docs: DataFrame, rows: int) -> list[tuple]:
@@ -145,7 +145,7 @@ def _placer(bounds: list[tuple]):
             [pa.array(at, pa.int32()), pa.array([firsts[i] == k for i, k in zip(at, keys)], pa.bool_())], ["slice", "first"]
         )
 
-    return F.arrow_udf(place, "struct<slice:int,first:boolean>")
+    return arrow_function(place, "struct<slice:int,first:boolean>")
 
 
 def edited_fingerprints(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import boxed, query, table, unboxed
+from scenetrail.llm.common import arrow_function, boxed, query, table, unboxed
 
 # HTML element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -190,7 +190,7 @@ def extract(html: Column | str) -> Column:
         for batch in batches:
             yield pa.array([main_text(page.as_py()) for page in batch], pa.string())
 
-    return F.arrow_udf(run, "string")(html)
+    return arrow_function(run, "string")(html)
 
 
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -150,7 +150,8 @@ def scan(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) ->
     words = words.filter(F.arrays_overlap("words", anchors))
     words = words.withColumn("words", F.filter("words", lambda w: w != ""))
     grams = words.withColumn("grams", _ngrams(F.col("words")))
-    found = grams.select("row", "paragraph", "doc_id", F.explode("grams").alias("gram")).join(weights, "gram")
+    # explode_outer: explode adds a filter on the n-grams, which the optimizer puts before the filter on anchors.
+    found = grams.select("row", "paragraph", "doc_id", F.explode_outer("grams").alias("gram")).join(weights, "gram")
     sums = found.groupBy("row", "paragraph").agg(
         F.first("doc_id").alias("doc_id"),
         F.collect_set("gram").alias("grams"),  # n-grams of the model only

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import boxed, query, table, unboxed
+from scenetrail.llm.common import arrow_function, boxed, query, table, unboxed
 from scenetrail.llm.words import Words, mixed, pieces, shingles, text_bytes, words_of
 
 TRAINING_DOCS = 4000  # bound of the sample that trains the scorer
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> Model:
 
     The sample holds the documents with the least hash of id and text, so that reruns agree.
     """
-    code = F.arrow_udf(_vote_codes, "int")
+    code = arrow_function(_vote_codes, "int")
     counted = docs.select(code("text").alias("code")).groupBy("code").count()
     patterns = {r["code"]: r["count"] for r in counted.collect()}  # at most 3 ** labellers rows
     posterior = fit_labellers(patterns, len(LABELLERS))
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> Model:
     hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
     share = min(1.0, 1.5 * training_docs / max(total, 1))
     near = hashed.filter(F.col("h") < F.lit(int(-(2**63) + share * (2**64 - 1)))).orderBy("h").limit(training_docs)
-    rows = near.select(F.arrow_udf(_features, "binary")("text").alias("x"), code("text").alias("code")).collect()
+    rows = near.select(arrow_function(_features, "binary")("text").alias("x"), code("text").alias("code")).collect()
     if not rows:
         return Model(posterior, np.zeros(DIMENSIONS + 1))
     features = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
@@ -242,7 +242,7 @@ def _scorer(model: Model):
             join = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0), pa.float64())
             yield pa.StructArray.from_arrays([join(post), join(scores)], ["posterior", "score"])
 
-    return F.arrow_udf(score, "struct<posterior:double,score:double>")
+    return arrow_function(score, "struct<posterior:double,score:double>")
 
 
 def classify(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:

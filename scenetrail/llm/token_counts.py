@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scenetrail.llm.common import query, table
+from scenetrail.llm.common import arrow_function, query, table
 from scenetrail.session import cut
 
 BLOCK_BYTES = 12 << 20  # texts of one block
@@ -183,7 +183,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
             yield pa.array(_sizes(tokenizer, batch.to_pylist()), pa.int32())
 
     used = blocks.filter(F.col("token").isNotNull()).select("block", "token", "postings")
-    sized = used.select("token").distinct().withColumn("pieces", F.arrow_udf(pieces, "int")("token"))
+    sized = used.select("token").distinct().withColumn("pieces", arrow_function(pieces, "int")("token"))
     joined = used.join(sized, "token").select("block", "pieces", "postings")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import boxed, query, table, unboxed
+from scenetrail.llm.common import arrow_function, boxed, query, table, unboxed
 from scenetrail.llm.words import text_bytes
 
 BORDER = "\x01"
@@ -122,7 +122,7 @@ def _judge(rules: tuple[Rule, ...], blocked: tuple[str, ...]):
             verdict = verdicts[np.where(best < len(ranked), best, len(ranked) + globs_fit)]
             yield pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(verdict, pa.string())], ["rule", "verdict"])
 
-    return F.arrow_udf(judge, "struct<rule:string,verdict:string>")
+    return arrow_function(judge, "struct<rule:string,verdict:string>")
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -128,7 +128,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def binary_keys(parts: list[np.ndarray]) -> pa.Array:
     """One binary value a row from the big-endian bytes of 64-bit columns."""
-    table = np.stack([p.astype(">u8") for p in parts], axis=1)
+    table = np.stack(parts, axis=1).astype(">u8")
     n, width = len(table), 8 * len(parts)
     return pa.Array.from_buffers(
         pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32)), pa.py_buffer(table.tobytes())]
