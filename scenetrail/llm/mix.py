@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import query, table
+from scenetrail.llm.common import boxed, query, table, unboxed
 from scenetrail.session import cut
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order, repeating
@@ -104,6 +104,21 @@ def mix(
     return queue.select("doc_id", "source", "mark", "size", "source_size", "target", taken.alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The documents that the mix takes, with size, source_size, target and taken (words, repeats counted).
+
+    Rows with equal id, source and text become one, with the words taken of all of them. Columns of ``docs`` with the
+    names of the results are replaced. ``how`` goes to ``mix``.
+    """
+    keys = ["doc_id", "source", "mark"]
+    chosen = mix(docs, **how).filter(F.col("taken") > 0).groupBy(*keys)
+    chosen = chosen.agg(*[F.first(c).alias(c) for c in ("size", "source_size", "target")], F.sum("taken").alias("taken"))
+    mark = F.md5(F.coalesce(F.col("_row.text"), F.lit("")).cast("binary"))
+    rows = boxed(docs).select("_row", F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").alias("source"), mark.alias("mark"))
+    joined = _join(rows, chosen, keys).dropDuplicates(keys)
+    return unboxed(joined, docs.columns, **{c: F.col(c) for c in ("size", "source_size", "target", "taken")})
+
+
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """An inner join in which a null key equals a null key."""
     renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
