@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines similar to an earlier line; those that lose all their lines go."""
-    return drop_lines(docs)
+    return _only(drop_lines(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
