@@ -64,7 +64,7 @@ def mix(
     share: float = SHARE,
     repeats: int = REPEATS,
     seed: str = "mix",
-    slice_rows: int = 50_000,
+    slice_rows: int = 4_000,
 ) -> DataFrame:
     """doc_id, source, mark (md5 of the text), size, source_size, target, taken: one row for each row of ``docs``.
 
