@@ -214,7 +214,8 @@ def fit(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> Model:
     total = sum(patterns.values())
     hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
     share = min(1.0, 1.5 * training_docs / max(total, 1))
-    near = hashed.filter(F.col("h") < F.lit(int(-(2**63) + share * (2**64 - 1)))).orderBy("h").limit(training_docs)
+    most = min(2**63 - 1, int(-(2**63) + share * 2**64))
+    near = hashed.filter(F.col("h") <= F.lit(most)).orderBy("h").limit(training_docs)
     rows = near.select(arrow_function(_features, "binary")("text").alias("x"), code("text").alias("code")).collect()
     if not rows:
         return Model(posterior, np.zeros(DIMENSIONS + 1))
