@@ -7,6 +7,7 @@ Word hashes are 64-bit polynomials of the bytes, mixed; equal words have equal h
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,6 +55,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
+        gc.collect()  # a worker has these functions anew in each task; earlier tasks' tables wait for the collector
         size = max(n, PIECE_BYTES + 1)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, np.uint64)
