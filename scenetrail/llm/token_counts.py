@@ -24,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from scenetrail.llm.common import arrow_function, query, table
 from scenetrail.session import cut
 
-BLOCK_BYTES = 12 << 20  # texts of one block
+BLOCK_BYTES = 32 << 20  # texts of one block
 LIMIT = 1024
 _PLAIN_END = 0x530  # below this code point the classes here and in the tokenizer library are known to agree
 
