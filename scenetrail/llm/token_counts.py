@@ -183,7 +183,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
             yield pa.array(_sizes(tokenizer, batch.to_pylist()), pa.int32())
 
     used = blocks.filter(F.col("token").isNotNull()).select("block", "token", "postings")
-    sized = used.select("token").distinct().withColumn("pieces", arrow_function(pieces, "int")("token"))
+    sized = cut(used.select("token").distinct().withColumn("pieces", arrow_function(pieces, "int")("token")), "pieces")
     joined = used.join(sized, "token").select("block", "pieces", "postings")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
