@@ -6,9 +6,10 @@ coordinates are expected to be hit, so a signature costs about one step an eleme
 their (weighted) Jaccard similarity. Coordinates make bands, and texts that agree in a whole band share a bucket.
 
 Equal texts are one node. Every link is confirmed on the full sets of elements, and classes are the connected nodes.
-Pairs of a bucket are not all formed: nodes are first compared with one node of their bucket, round by round with
-other ones, and what a class already joins is not compared again; at the end, all pairs of a bucket whose nodes are
-still in different classes are.
+Pairs of a bucket are not all formed: nodes are first compared with one node of their bucket, then twice with another
+one, and what a class already joins is not compared again; at the end, all pairs of a bucket whose nodes are still in
+different classes are. Sizes and parity bits of the sets rule out most pairs that are not similar, before any
+set is fetched.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # at a similarity of 0.8, two texts share no band in 3 of 100,000 cases
 
+STAR_TURNS = 2  # rounds of comparing one node of each class in a bucket, before all that is left is compared
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,8 +98,35 @@ def _elements(part: np.ndarray, borders: np.ndarray, size: int):
     return words, gram, doc, np.searchsorted(doc, np.arange(len(borders))), times
 
 
+PARITY_WORDS = 4
+
+
+def parity(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts x 4) 64-bit words in which each element of a text flips one bit.
+
+    Two texts differ in no fewer elements than in bits, so few differing bits are needed for a high similarity.
+    """
+    out = np.zeros((len(first) - 1, PARITY_WORDS), np.uint64)
+    some = np.flatnonzero(np.diff(first))
+    h = mixed(gram ^ np.uint64(0x8E9D5A3C17F0B264))
+    bit = np.uint64(1) << (h >> np.uint64(58))
+    for w in range(PARITY_WORDS if len(some) else 0):
+        mine = np.where((h & np.uint64(PARITY_WORDS - 1)) == w, bit, np.uint64(0))
+        out[some, w] = np.bitwise_xor.reduceat(mine, first[:-1][some])
+    return out
+
+
+def _near(a: str, b: str, similarity: float) -> Column:
+    """Whether sizes and parity of the columns n_a, bits_a and n_b, bits_b allow the similarity; never wrongly no."""
+    n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
+    need = F.ceil((n + m) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))
+    differ = sum((F.bit_count(F.col(f"bits_{a}")[w].bitwiseXOR(F.col(f"bits_{b}")[w])) for w in range(1, PARITY_WORDS)),
+                 F.bit_count(F.col(f"bits_{a}")[0].bitwiseXOR(F.col(f"bits_{b}")[0])))
+    return (F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)) & (differ <= n + m - 2 * need)
+
+
 def signatures(text: Column | str, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> Column:
-    """key (16 bytes of the words), low (64 bits of it), n (elements) and bands; n is 0 for a text without words.
+    """key (16 bytes of the words), low (64 bits of it), n (elements), bits (parity) and bands; n is 0 without words.
 
     With ``weighted`` an element weighs as often as it occurs, else 1.
     """
@@ -105,7 +135,7 @@ def signatures(text: Column | str, size: int = SHINGLE, bands: int = BANDS, rows
         seeds = mixed(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             raw, ends = text_bytes(batch)
-            keys, counts, values = [], [], []
+            keys, counts, values, bits = [], [], [], [np.zeros((0, PARITY_WORDS), np.uint64)]
             for _, _, part, borders in pieces(raw, ends):
                 words, gram, doc, first, times = _elements(part, borders, size)
                 n = len(borders) - 1
@@ -115,6 +145,7 @@ def signatures(text: Column | str, size: int = SHINGLE, bands: int = BANDS, rows
                     band = mixed(band * _STEP + marks[:, :, r])
                 keys.append(np.stack(text_keys(words), axis=1))
                 counts.append(np.diff(first))
+                bits.append(parity(gram, first))
                 values.append(band.view(np.int64))
             key = np.concatenate(keys) if keys else np.zeros((0, 2), np.uint64)
             count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
@@ -124,12 +155,13 @@ def signatures(text: Column | str, size: int = SHINGLE, bands: int = BANDS, rows
                     binary_keys([key[:, 0], key[:, 1]]),
                     pa.array(key[:, 0].view(np.int64)),
                     pa.array(count, pa.int32()),
+                    list_column(np.concatenate(bits).view(np.int64).reshape(-1), np.full(len(band), PARITY_WORDS), pa.int64()),
                     list_column(band.reshape(-1), np.full(len(band), bands), pa.int64()),
                 ],
-                ["key", "low", "n", "bands"],
+                ["key", "low", "n", "bits", "bands"],
             )
 
-    return arrow_function(run, "struct<key:binary,low:bigint,n:int,bands:array<bigint>>")(text)
+    return arrow_function(run, "struct<key:binary,low:bigint,n:int,bits:array<bigint>,bands:array<bigint>>")(text)
 
 
 def _element_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -173,23 +205,33 @@ def _classes(links: DataFrame) -> DataFrame:
 
 
 def _open_posts(posts: DataFrame, classes: DataFrame) -> DataFrame:
-    """(band, key, n, comp) of the buckets that hold more than one class."""
+    """(band, key, n, bits, comp) of the buckets that hold more than one class."""
     placed = posts.join(classes, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     several = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most")
     return cut(placed.join(several.select("band"), "band"), "open")
 
 
-def _star_pairs(posts: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(posts: DataFrame, turn: int, similarity: float) -> DataFrame:
     """In each bucket, one node of every class with one node of the class that has most."""
     choice = F.xxhash64("key", "band", F.lit(turn))
-    parts = posts.groupBy("band", "comp").agg(F.count("*").alias("n"), F.min_by("key", choice).alias("key"))
-    centre = parts.groupBy("band").agg(F.max(F.struct("n", "comp", "key")).alias("c"))
-    return (
-        parts.join(centre, "band")
-        .filter(F.col("comp") != F.col("c.comp"))
-        .select(F.least("key", "c.key").alias("a"), F.greatest("key", "c.key").alias("b"))
-        .distinct()
+    parts = posts.groupBy("band", "comp").agg(F.count("*").alias("n"), F.min_by(F.struct("key", "n", "bits"), choice).alias("one"))
+    centre = parts.groupBy("band").agg(F.max(F.struct("n", "comp", "one")).alias("c"))
+    sides = parts.join(centre, "band").filter(F.col("comp") != F.col("c.comp")).select(
+        F.col("one.key").alias("a"), F.col("one.n").alias("n_a"), F.col("one.bits").alias("bits_a"),
+        F.col("c.one.key").alias("b"), F.col("c.one.n").alias("n_b"), F.col("c.one.bits").alias("bits_b"),
     )
+    return sides.filter(_near("a", "b", similarity)).select("a", "b").distinct()
+
+
+def _side(posts: DataFrame, name: str) -> DataFrame:
+    return posts.select("band", *[F.col(c).alias(f"{c}_{name}") for c in ("key", "n", "bits", "comp")])
+
+
+def _rest_pairs(posts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of a bucket whose nodes are in different classes and may be similar."""
+    on = (F.col("x.band") == F.col("y.band")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("key_a") < F.col("key_b"))
+    pairs = _side(posts, "a").alias("x").join(_side(posts, "b").alias("y"), on & _near("a", "b", similarity))
+    return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -206,29 +248,25 @@ def near_duplicates(
     docs = docs.select("doc_id", "text")
     signed = docs.select("doc_id", signatures("text", size, bands, rows).alias("s"))
     signed = cut(signed.select("doc_id", "s.*"), "signed")
-    nodes = signed.filter("n > 0").groupBy("key", "low", "n").agg(F.first("bands").alias("bands"))
-    posts = nodes.select("key", "low", "n", F.explode("bands").alias("band"))
-    shared = posts.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("most")).filter("centre != most")
-    posts = cut(posts.join(shared.select("band", "centre"), "band"), "posts")
-
-    active = posts.groupBy("key", "low").agg(F.min("centre").alias("centre"))
+    nodes = signed.filter("n > 0").groupBy("key", "low", "n").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    nodes = cut(nodes, "nodes")
+    bands_of = nodes.select("key", F.explode("bands").alias("band"))
+    shared = bands_of.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("most")).filter("centre != most")
+    posts = cut(bands_of.join(shared.select("band", "centre"), "band"), "posts")
+
+    active = cut(posts.groupBy("key").agg(F.min("centre").alias("centre")).join(nodes.select("key", "low", "n", "bits"), "key"), "active")
+    posts = cut(posts.select("band", "key").join(active.select("key", "n", "bits"), "key"), "posts")
     sets = _element_sets(docs, active, size)
-    first = active.filter("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    own_side = active.filter("key != centre").select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("centre").alias("b"))
+    centres = active.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    first = own_side.join(centres, "b").filter(_near("a", "b", similarity)).select("a", "b")
     links = cut(_confirmed(first, sets, similarity), "links")
     classes = _classes(links)
-    turn = 0
-    while True:
-        open_posts = _open_posts(posts.select("band", "key", "n"), classes)
-        turn += 1
-        new = cut(_confirmed(_star_pairs(open_posts, turn), sets, similarity), "links")
-        if new.isEmpty():
-            break
+    for turn in range(STAR_TURNS):
+        new = cut(_confirmed(_star_pairs(_open_posts(posts, classes), turn, similarity), sets, similarity), "links")
         links = links.unionByName(new)
-        classes = _classes(links)
-    left, right = _side(open_posts, "a"), _side(open_posts, "b")
-    fits = (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("a") < F.col("b"))
-    rest = left.join(right, "band").filter(fits).select("a", "b").distinct()
-    new = cut(_confirmed(rest, sets, similarity), "links")
+        classes = cut(_classes(links), "classes")
+    new = cut(_confirmed(_rest_pairs(_open_posts(posts, classes), similarity), sets, similarity), "links")
     if not new.isEmpty():
         classes = _classes(links.unionByName(new))
 
@@ -244,10 +282,6 @@ def near_duplicates(
     )
 
 
-def _side(posts: DataFrame, name: str) -> DataFrame:
-    return posts.select("band", F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("comp").alias(f"comp_{name}"))
-
-
 def deduplicate(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each class: the one with the least doc_id, null last, then the least key.
 
