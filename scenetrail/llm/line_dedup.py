@@ -6,9 +6,9 @@ smaller set the first n - ceil(2tn / (1 + t)) + 1 tokens, of the larger the firs
 joined; the sizes, the positions of the common token and the parity bits of both sets rule out most pairs, and the
 rest are verified on the whole sets. A line goes if an earlier line (by doc_id, then line number) is similar.
 
-Equal sets are one set. Before the join, each set is compared with the earliest set of the same least hash; where it
-is similar, its line goes, and the join leaves out pairs of two such sets, so that a group of many similar lines is
-not expanded into all pairs.
+Equal sets are one set. Before the join, each set is paired with the first set of the same least hash, if the filters
+allow; the join leaves out pairs of two such members, so that a group of many similar lines is not expanded into all
+pairs. Members that prove not to be similar to an earlier set are joined with the other members afterwards.
 """
 
 from __future__ import annotations
@@ -214,18 +214,14 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"))
 
 
-def _later_of_similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def _later_of_similar(tokens: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """(k1, k2) of the sets that are similar to an earlier one, of pairs (a, b) of k1."""
-    pairs = cut(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
-    tokens = _token_sets(docs, wanted).join(sets.select("k1", "k2", "first"), ["k1", "k2"])
-    tokens = cut(tokens, "line_sets")
     left = tokens.select(F.col("k1").alias("a"), F.struct("k1", "k2", "first", "tokens").alias("x"))
     right = tokens.select(F.col("k1").alias("b"), F.struct("k1", "k2", "first", "tokens").alias("y"))
     common = F.size(F.array_intersect("x.tokens", "y.tokens"))
     similar = pairs.join(left, "a").join(right, "b").filter(common / (F.size("x.tokens") + F.size("y.tokens") - common) >= similarity)
     later = F.when(F.col("x.first") < F.col("y.first"), F.struct("y.k1", "y.k2")).otherwise(F.struct("x.k1", "x.k2"))
-    return cut(similar.select(later.alias("l")).select("l.k1", "l.k2").distinct(), "later")
+    return similar.select(later.alias("l")).select("l.k1", "l.k2").distinct()
 
 
 def _fits(n_a: Column, n_b: Column, bits_a: Column, bits_b: Column, need: Column) -> Column:
@@ -238,37 +234,45 @@ def _need(n_a: Column, n_b: Column, similarity: float) -> Column:
 
 
 def _star_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    posts = sets.select("k1", "n", "bits", "first", F.explode("stars").alias("star"))
-    centre = posts.groupBy("star").agg(F.min(F.struct("first", "k1", "n", "bits")).alias("c"))
+    """(a, b): b may be similar to a, the set of its star that comes first by doc_id."""
+    posts = sets.select("k1", "n", "bits", F.col("first.doc_id").alias("id"), F.explode("stars").alias("star"))
+    centre = posts.groupBy("star").agg(F.min(F.struct("id", "k1", "n", "bits")).alias("c"))
     n, m = F.col("n"), F.col("c.n")
     sizes = F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)
     return (
         posts.join(centre, "star")
         .filter((F.col("k1") != F.col("c.k1")) & sizes & _fits(n, m, F.col("bits"), F.col("c.bits"), _need(n, m, similarity)))
         .select(F.col("c.k1").alias("a"), F.col("k1").alias("b"))
+        .distinct()
     )
 
 
 def _prefix_pairs(sets: DataFrame, gone: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of sets that the filters leave, without those of two sets whose lines go already."""
-    flagged = sets.join(gone.withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
-    flagged = flagged.select("k1", "n", "bits", "prefix", F.coalesce("gone", F.lit(False)).alias("gone"))
-    posts = flagged.select("k1", F.col("n").cast("int"), "bits", "gone", F.posexplode("prefix").alias("at", "token"))
-    ratio = 2 * similarity / (1 + similarity)
-    indexed = F.col("at") <= F.col("n") - F.ceil(F.col("n") * F.lit(ratio) - F.lit(1e-9))
-    x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "n", "bits", "gone", "at")])
-    y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "n", "bits", "gone", "at")])
-    n, m = F.col("x_n"), F.col("y_n")
+    """Pairs of sets that the filters leave, without those of two sets in ``gone`` (k1)."""
+    flagged = sets.join(gone.withColumn("gone", F.lit(1)), "k1", "left")
+    # Size, place of the token in the prefix, and whether the set is gone, in one number.
+    posts = flagged.select(
+        "k1", "bits", (F.col("n").cast("bigint") * 2 + F.coalesce("gone", F.lit(0))).alias("n"), F.posexplode("prefix").alias("at", "token")
+    ).select("token", "k1", "bits", (F.shiftleft("n", 31) + F.col("at")).alias("info"))
+    size, at, left = _unpacked(F.col("info"))
+    indexed = at <= size - F.ceil(size * F.lit(2 * similarity / (1 + similarity)) - F.lit(1e-9))
+    x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "bits", "info")])
+    y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "bits", "info")])
+    (n, x_at, x_gone), (m, y_at, y_gone) = _unpacked(F.col("x_info")), _unpacked(F.col("y_info"))
     need = _need(n, m, similarity)
     condition = (
         (x["token"] == y["token"])
         & ((n < m) | ((n == m) & (F.col("x_k1") < F.col("y_k1"))))
         & (n >= m * F.lit(similarity) - F.lit(1e-9))
-        & ~(F.col("x_gone") & F.col("y_gone"))
+        & ((x_gone + y_gone) < 2)
         & _fits(n, m, F.col("x_bits"), F.col("y_bits"), need)
-        & (F.least(n - F.col("x_at"), m - F.col("y_at")) >= need)
+        & (F.least(n - x_at, m - y_at) >= need)
     )
-    return y.join(x, condition).select(F.col("x_k1").alias("a"), F.col("y_k1").alias("b"))
+    return y.join(x, condition).select(F.col("x_k1").alias("a"), F.col("y_k1").alias("b")).distinct()
+
+
+def _unpacked(info: Column) -> tuple[Column, Column, Column]:
+    return F.shiftright(info, 32), info.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(info, 31).bitwiseAND(F.lit(1))
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -293,9 +297,16 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         F.first(F.when(some, F.col("prefix")), ignorenulls=True).alias("prefix"),
     )
     sets = cut(sets, "sets")
-    near = _later_of_similar(docs, sets, _star_pairs(sets, similarity), similarity)
-    rest = _later_of_similar(docs, sets, _prefix_pairs(sets, near, similarity), similarity)
-    later = near.unionByName(rest).distinct().withColumn("later", F.lit(True))
+    stars = cut(_star_pairs(sets, similarity), "stars")
+    members = stars.select(F.col("b").alias("k1")).distinct()
+    pairs = cut(_prefix_pairs(sets, members, similarity).unionByName(stars), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+    tokens = cut(_token_sets(docs, wanted).join(sets.select("k1", "k2", "first"), ["k1", "k2"]), "line_sets")
+    later = cut(_later_of_similar(tokens, pairs, similarity), "later")
+    # Pairs of two members were left out; they matter where a member turned out not to be similar to an earlier set.
+    among = sets.join(members, "k1", "left_semi")
+    rest = _prefix_pairs(among, later.select("k1").distinct(), similarity)
+    later = later.unionByName(_later_of_similar(tokens, rest, similarity)).distinct().withColumn("later", F.lit(True))
     firsts = sets.select("k1", "k2", "first").join(later, ["k1", "k2"], "left")
     removed = (
         worded.select("k1", "k2", place.alias("place"))
