@@ -1,9 +1,9 @@
 """Token counts without token ids.
 
 Each task reduces a block of documents of bounded size to its distinct pre-tokens, each with the documents that hold
-it and how often. Pre-tokens that are vocabulary entries are counted from a table of the vocabulary's size; all
-others are made distinct over the whole corpus, their pieces are counted once, and the counts are joined to the
-blocks' frequencies and summed for each document.
+it and how often. Pre-tokens that are vocabulary entries are counted from a table of the vocabulary's size; for all
+others, the blocks' frequencies meet by pre-token, its pieces are counted once for the whole corpus and joined to them,
+and the products are summed for each document.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from scenetrail.llm.common import arrow_function, query, table
-from scenetrail.session import cut
 
 BLOCK_BYTES = 32 << 20  # texts of one block
 LIMIT = 1024
@@ -175,51 +175,55 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
         if ids:
             yield from finish()
 
-    blocks = cut(docs.select("doc_id", "text").mapInArrow(split, schema), "tokens")
+    blocks = docs.select("doc_id", "text").mapInArrow(split, schema)
+    # All rows of a pre-token meet in one task, next to each other; the row with a block's ids goes anywhere.
+    met = blocks.repartition(F.coalesce("token", F.col("block").cast("string"))).sortWithinPartitions("token")
 
-    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces of each pre-token, joined to its postings and summed by document, a part of each block at a time."""
         tokenizer = _tokenizer(path)
-        for batch in batches:
-            yield pa.array(_sizes(tokenizer, batch.to_pylist()), pa.int32())
-
-    used = blocks.filter(F.col("token").isNotNull()).select("block", "token", "postings")
-    sized = cut(used.select("token").distinct().withColumn("pieces", arrow_function(pieces, "int")("token")), "pieces")
-    joined = used.join(sized, "token").select("block", "pieces", "postings")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of a task's rows for each document of a block, given up before they grow large."""
         sums: dict[int, list] = {}
-        held = 0
+        held, size_of = 0, {}
 
         def finish() -> Iterator[pa.RecordBatch]:
             for block, parts in sums.items():
                 place, n = _summed(parts)
                 out = np.stack([place.astype("<u4"), n.astype("<u4")], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(out)], pa.binary())], ["block", "postings"])
+                lists = (pa.nulls(1, t) for t in (pa.list_(arrow_id), pa.list_(pa.int64()), pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(out)], pa.binary()), *lists], part.names)
 
         for batch in batches:
-            for block, pieces, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                sums.setdefault(block, []).append((pieces, packed))
-                held += len(packed) + 100
+            heads = batch.filter(pc.is_null(batch.column(1)))
+            if heads.num_rows:
+                yield heads.select(part.names)
+            blocks_, tokens, postings = (batch.column(i).to_pylist() for i in range(3))
+            new = [t for t in dict.fromkeys(tokens) if t is not None and t not in size_of]
+            last = tokens[-1] if tokens else None
+            size_of.update(zip(new, _sizes(tokenizer, new)))
+            for block, token, packed in zip(blocks_, tokens, postings):
+                if token is not None:
+                    sums.setdefault(block, []).append((size_of[token], packed))
+                    held += len(packed) + 100
+            size_of = {last: size_of[last]} if last is not None else {}  # its rows may go on in the next batch
             if held > 64 << 20:
                 yield from finish()
                 sums, held = {}, 0
         yield from finish()
 
-    added = joined.mapInArrow(add, "block long, postings binary")
-    listed = blocks.filter(F.col("token").isNull()).select("block", "ids", "sizes", "counts")
+    part = T.StructType([schema[c] for c in ("block", "postings", "ids", "sizes", "counts")])
     result = T.StructType(
         [T.StructField("doc_id", id_type), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())]
     )
 
-    def total(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = left.column("ids")[0].values
-        n = np.array(left.column("counts")[0].values.to_numpy(), np.int64)
-        place, more = _summed([(1, p) for p in right.column("postings").to_pylist()])
+    def total(rows: pa.Table) -> pa.Table:
+        head = rows.filter(pc.is_valid(rows.column("ids"))).combine_chunks()
+        n = np.array(head.column("counts").combine_chunks().flatten().to_numpy(), np.int64)
+        place, more = _summed([(1, p) for p in rows.column("postings").to_pylist() if p is not None])
         n[place] += more
-        return pa.Table.from_arrays([ids, left.column("sizes")[0].values, pa.array(n), pa.array(n > limit)], result.names)
+        ids, sizes = (head.column(c).combine_chunks().flatten() for c in ("ids", "sizes"))
+        return pa.Table.from_arrays([ids, sizes, pa.array(n), pa.array(n > limit)], result.names)
 
-    return listed.groupBy("block").cogroup(added.groupBy("block")).applyInArrow(total, result)
+    return met.mapInArrow(count, part).groupBy("block").applyInArrow(total, result)
 
 
 def _packed(rows: np.ndarray) -> bytes:
