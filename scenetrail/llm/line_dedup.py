@@ -14,6 +14,7 @@ pairs. Members that prove not to be similar to an earlier set are joined with th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,7 @@ class LineSets:
 
 
 _KEY_SEEDS = (0x1B873593CC9E2D51, 0x38495AB5E6546B64)
+SLICES = 2  # of the tokens in the prefix join
 _STAR_SEEDS = (0x52DCE729A5A5A5A5, 0x38B34AE5C2B2AE3D)
 
 
@@ -236,7 +238,7 @@ def _need(n_a: Column, n_b: Column, similarity: float) -> Column:
 def _star_pairs(sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b): b may be similar to a, the set of its star that comes first by doc_id."""
     posts = sets.select("k1", "n", "bits", F.col("first.doc_id").alias("id"), F.explode("stars").alias("star"))
-    centre = posts.groupBy("star").agg(F.min(F.struct("id", "k1", "n", "bits")).alias("c"))
+    centre = posts.groupBy("star").agg(F.struct(*[F.min_by(c, "id").alias(c) for c in ("k1", "n", "bits")]).alias("c"))
     n, m = F.col("n"), F.col("c.n")
     sizes = F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)
     return (
@@ -247,14 +249,23 @@ def _star_pairs(sets: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def _prefix_pairs(sets: DataFrame, gone: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of sets that the filters leave, without those of two sets in ``gone`` (k1)."""
+def _prefix_pairs(sets: DataFrame, gone: DataFrame, similarity: float, slices: int = SLICES) -> DataFrame:
+    """Pairs of sets that the filters leave, without those of two sets in ``gone`` (k1).
+
+    Tokens are dealt to slices, and one slice is joined after another, so that only its postings are shuffled at a time.
+    """
     flagged = sets.join(gone.withColumn("gone", F.lit(1)), "k1", "left")
-    # Size, place of the token in the prefix, and whether the set is gone, in one number.
-    posts = flagged.select(
-        "k1", "bits", (F.col("n").cast("bigint") * 2 + F.coalesce("gone", F.lit(0))).alias("n"), F.posexplode("prefix").alias("at", "token")
-    ).select("token", "k1", "bits", (F.shiftleft("n", 31) + F.col("at")).alias("info"))
-    size, at, left = _unpacked(F.col("info"))
+    # Size and whether the set is gone in one number; the place of a token in the prefix joins them below.
+    info = F.shiftleft(F.col("n").cast("bigint") * 2 + F.coalesce("gone", F.lit(0)), 31)
+    flagged = cut(flagged.select("k1", "bits", info.alias("info"), "prefix"), "flagged")
+    found = [cut(_slice_pairs(flagged, similarity, k, slices), "pairs") for k in range(slices)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _slice_pairs(flagged: DataFrame, similarity: float, k: int, slices: int) -> DataFrame:
+    posts = flagged.select("k1", "bits", "info", F.posexplode("prefix").alias("at", "token"))
+    posts = posts.filter(F.pmod("token", F.lit(slices)) == k).select("token", "k1", "bits", (F.col("info") + F.col("at")).alias("info"))
+    size, at, _ = _unpacked(F.col("info"))
     indexed = at <= size - F.ceil(size * F.lit(2 * similarity / (1 + similarity)) - F.lit(1e-9))
     x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "bits", "info")])
     y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "bits", "info")])
@@ -299,13 +310,13 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     sets = cut(sets, "sets")
     stars = cut(_star_pairs(sets, similarity), "stars")
     members = stars.select(F.col("b").alias("k1")).distinct()
-    pairs = cut(_prefix_pairs(sets, members, similarity).unionByName(stars), "pairs")
+    pairs = cut(_prefix_pairs(sets, members, similarity).unionByName(stars).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
     tokens = cut(_token_sets(docs, wanted).join(sets.select("k1", "k2", "first"), ["k1", "k2"]), "line_sets")
     later = cut(_later_of_similar(tokens, pairs, similarity), "later")
     # Pairs of two members were left out; they matter where a member turned out not to be similar to an earlier set.
     among = sets.join(members, "k1", "left_semi")
-    rest = _prefix_pairs(among, later.select("k1").distinct(), similarity)
+    rest = _prefix_pairs(among, later.select("k1").distinct(), similarity).distinct()
     later = later.unionByName(_later_of_similar(tokens, rest, similarity)).distinct().withColumn("later", F.lit(True))
     firsts = sets.select("k1", "k2", "first").join(later, ["k1", "k2"], "left")
     removed = (
