@@ -16,7 +16,6 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,16 +109,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
     id_type = docs.schema["doc_id"].dataType
     arrow_id = to_arrow_type(id_type)
     known = vocabulary_sizes(path)
-    schema = T.StructType(
-        [
-            T.StructField("block", T.LongType()),
-            T.StructField("token", T.StringType()),
-            T.StructField("postings", T.BinaryType()),
-            T.StructField("ids", T.ArrayType(id_type)),
-            T.StructField("sizes", T.ArrayType(T.LongType())),
-            T.StructField("counts", T.ArrayType(T.LongType())),
-        ]
-    )
+    names = ["block", "token", "postings"]
+    head_schema = pa.schema([("doc_id", arrow_id), ("size", pa.int64()), ("count", pa.int64())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -131,9 +122,10 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
 
         def finish() -> Iterator[pa.RecordBatch]:
             block = (task << 32) + number
-            empty = pa.nulls(1, pa.string()), pa.nulls(1, pa.binary())
-            lists = [pa.array([ids], pa.list_(arrow_id)), *(pa.array([x], pa.list_(pa.int64())) for x in (sizes, counts))]
-            yield pa.RecordBatch.from_arrays([pa.array([block]), *empty, *lists], schema.names)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, head_schema) as head:
+                head.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, arrow_id), pa.array(sizes), pa.array(counts)], schema=head_schema))
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.nulls(1, pa.string()), pa.array([sink.getvalue().to_pybytes()])], names)
             # Places are (token << 24) + document; a run of equal places is one posting.
             place, times = np.unique(np.concatenate([np.zeros(0, np.int64), *places]), return_counts=True)
             token, first = np.unique(place >> 24, return_index=True)
@@ -147,9 +139,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
                         pa.array([block] * len(rows)),
                         pa.array([texts[token[k]] for k in rows], pa.string()),
                         pa.array([_packed(posting[first[k] : ends[k]]) for k in rows], pa.binary()),
-                        *(pa.nulls(len(rows), t) for t in (pa.list_(arrow_id), pa.list_(pa.int64()), pa.list_(pa.int64()))),
                     ],
-                    schema.names,
+                    names,
                 )
 
         for batch in batches:
@@ -175,8 +166,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
         if ids:
             yield from finish()
 
-    blocks = docs.select("doc_id", "text").mapInArrow(split, schema)
-    # All rows of a pre-token meet in one task, next to each other; the row with a block's ids goes anywhere.
+    # A block gives a row for each of its pre-tokens, and one without a pre-token with its ids, sizes and known counts.
+    blocks = docs.select("doc_id", "text").mapInArrow(split, "block long, token string, postings binary")
     met = blocks.repartition(F.coalesce("token", F.col("block").cast("string"))).sortWithinPartitions("token")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,45 +176,44 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
         sums: dict[int, list] = {}
         held, size_of = 0, {}
 
+        def rows(block: int, head: bytes | None, postings: bytes | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([head], pa.binary()), pa.array([postings], pa.binary())], ["block", "head", "postings"])
+
         def finish() -> Iterator[pa.RecordBatch]:
             for block, parts in sums.items():
                 place, n = _summed(parts)
-                out = np.stack([place.astype("<u4"), n.astype("<u4")], axis=1)
-                lists = (pa.nulls(1, t) for t in (pa.list_(arrow_id), pa.list_(pa.int64()), pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(out)], pa.binary()), *lists], part.names)
+                yield rows(block, None, _packed(np.stack([place.astype("<u4"), n.astype("<u4")], axis=1)))
 
         for batch in batches:
-            heads = batch.filter(pc.is_null(batch.column(1)))
-            if heads.num_rows:
-                yield heads.select(part.names)
-            blocks_, tokens, postings = (batch.column(i).to_pylist() for i in range(3))
+            blocks_, tokens, postings = (column.to_pylist() for column in batch.columns)
             new = [t for t in dict.fromkeys(tokens) if t is not None and t not in size_of]
-            last = tokens[-1] if tokens else None
             size_of.update(zip(new, _sizes(tokenizer, new)))
             for block, token, packed in zip(blocks_, tokens, postings):
-                if token is not None:
+                if token is None:
+                    yield rows(block, packed, None)
+                else:
                     sums.setdefault(block, []).append((size_of[token], packed))
                     held += len(packed) + 100
+            last = tokens[-1] if tokens else None
             size_of = {last: size_of[last]} if last is not None else {}  # its rows may go on in the next batch
             if held > 64 << 20:
                 yield from finish()
                 sums, held = {}, 0
         yield from finish()
 
-    part = T.StructType([schema[c] for c in ("block", "postings", "ids", "sizes", "counts")])
     result = T.StructType(
         [T.StructField("doc_id", id_type), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())]
     )
 
     def total(rows: pa.Table) -> pa.Table:
-        head = rows.filter(pc.is_valid(rows.column("ids"))).combine_chunks()
-        n = np.array(head.column("counts").combine_chunks().flatten().to_numpy(), np.int64)
+        head = next(h for h in rows.column("head").to_pylist() if h is not None)
+        docs_ = pa.ipc.open_stream(head).read_all()
+        n = np.array(docs_.column("count").to_numpy(), np.int64)
         place, more = _summed([(1, p) for p in rows.column("postings").to_pylist() if p is not None])
         n[place] += more
-        ids, sizes = (head.column(c).combine_chunks().flatten() for c in ("ids", "sizes"))
-        return pa.Table.from_arrays([ids, sizes, pa.array(n), pa.array(n > limit)], result.names)
+        return pa.Table.from_arrays([docs_.column("doc_id"), docs_.column("size"), pa.array(n), pa.array(n > limit)], result.names)
 
-    return met.mapInArrow(count, part).groupBy("block").applyInArrow(total, result)
+    return met.mapInArrow(count, "block long, head binary, postings binary").groupBy("block").applyInArrow(total, result)
 
 
 def _packed(rows: np.ndarray) -> bytes:
