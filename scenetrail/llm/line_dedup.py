@@ -102,10 +102,20 @@ class LineSets:
         return np.minimum.reduceat(mixed(self.token ^ np.uint64(seed)), self.first[:-1])
 
     def parity(self) -> np.ndarray:
+        """64 bits, of which each token flips one: two sets differ in no fewer tokens than bits."""
         if not len(self.token):
             return np.zeros(0, np.uint64)
         return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(self.token) >> np.uint64(58)), self.first[:-1])
 
+    def wide_parity(self) -> np.ndarray:
+        """(sets x 8) words with one bit flipped by each token."""
+        out = np.zeros((len(self.size), WIDE), np.uint64)
+        h = mixed(self.token ^ np.uint64(0x7F4A7C159E3779B9))
+        bit = np.uint64(1) << (h >> np.uint64(58))
+        for w in range(WIDE if len(h) else 0):
+            out[:, w] = np.bitwise_xor.reduceat(np.where((h & np.uint64(WIDE - 1)) == w, bit, np.uint64(0)), self.first[:-1])
+        return out
+
     def prefixes(self, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
         """The rarest tokens of each line (32 bits of each), and their number."""
         one, two = _slots(self.token)
@@ -122,6 +132,7 @@ class LineSets:
 
 
 _KEY_SEEDS = (0x1B873593CC9E2D51, 0x38495AB5E6546B64)
+WIDE = 8  # words of the wider parity bits
 SLICES = 2  # of the tokens in the prefix join
 _STAR_SEEDS = (0x52DCE729A5A5A5A5, 0x38B34AE5C2B2AE3D)
 
@@ -190,7 +201,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(k1, k2, tokens) of the sets whose k1 is wanted, and perhaps of others; the texts are read again."""
+    """(k1, k2, tokens, wide parity bits) of the sets whose k1 is wanted, and perhaps of others; the texts are read again."""
     bits = key_filter(wanted, "k1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,17 +218,27 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     given.add(key)
                 take = np.repeat(fresh, sets.size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[fresh]), pa.array(k2[fresh]), list_column(sets.token[take].view(np.int64), sets.size[fresh], pa.int64())],
-                    ["k1", "k2", "tokens"],
+                    [
+                        pa.array(k1[fresh]),
+                        pa.array(k2[fresh]),
+                        list_column(sets.token[take].view(np.int64), sets.size[fresh], pa.int64()),
+                        list_column(sets.wide_parity()[fresh].view(np.int64).reshape(-1), np.full(int(fresh.sum()), WIDE), pa.int64()),
+                    ],
+                    ["k1", "k2", "tokens", "wide"],
                 )
 
-    found = docs.select("text").mapInArrow(run, "k1 long, k2 long, tokens array<long>")
+    found = docs.select("text").mapInArrow(run, "k1 long, k2 long, tokens array<long>, wide array<long>")
     found = found.join(wanted, "k1", "left_semi")
-    return found.groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"))
+    return found.groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"), F.first("wide").alias("wide"))
 
 
 def _later_of_similar(tokens: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """(k1, k2) of the sets that are similar to an earlier one, of pairs (a, b) of k1."""
+    marks = tokens.select("k1", F.size("tokens").alias("n"), "wide")
+    near = pairs.join(marks.toDF("a", "n", "u"), "a").join(marks.toDF("b", "m", "v"), "b")
+    differ = reduce(Column.__add__, [F.bit_count(F.col("u")[w].bitwiseXOR(F.col("v")[w])) for w in range(WIDE)])
+    n, m = F.col("n"), F.col("m")
+    pairs = near.filter(differ <= n + m - 2 * _need(n, m, similarity)).select("a", "b")
     left = tokens.select(F.col("k1").alias("a"), F.struct("k1", "k2", "first", "tokens").alias("x"))
     right = tokens.select(F.col("k1").alias("b"), F.struct("k1", "k2", "first", "tokens").alias("y"))
     common = F.size(F.array_intersect("x.tokens", "y.tokens"))
