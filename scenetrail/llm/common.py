@@ -30,12 +30,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def small_batches() -> None:
+    """Hand texts to Python a thousand at a time, so that a worker holds little at once."""
+    SparkSession.active().conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def arrow_function(fn: Callable, kind: str) -> Callable[..., Column]:
     """A column function over Arrow arrays that is run once a row.
 
     Declared as not deterministic, because the optimizer runs a deterministic one again below every filter on its
     result.
     """
+    small_batches()
     return F.arrow_udf(fn, kind).asNondeterministic()
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scenetrail.llm.common import boxed, key_filter, may_have, query, table, unboxed
+from scenetrail.llm.common import boxed, key_filter, may_have, query, small_batches, table, unboxed
 from scenetrail.llm.words import list_column, mixed, pieces, text_bytes, words_of
 from scenetrail.session import cut
 
@@ -316,6 +316,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     with equal id and text count as one document given twice and get equal results. A null text is one line without
     words, as is an empty one. Tokens are compared by 50 bits of their hash. Other columns are ignored.
     """
+    small_batches()
     docs = docs.select("doc_id", "text")
     lines = cut(_lines(docs, token_rarity(docs), similarity), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line")

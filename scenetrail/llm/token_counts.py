@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scenetrail.llm.common import arrow_function, query, table
+from scenetrail.llm.common import query, small_batches, table
 
 BLOCK_BYTES = 32 << 20  # texts of one block
 LIMIT = 1024
@@ -104,6 +104,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
     as empty, with no tokens. Special strings inside a text count as one token, the library's default. Repeated rows
     each give a row; an empty table gives none.
     """
+    small_batches()
     if not _uses_byte_level(path):
         raise ValueError("the file must be byte-level BPE without a normalizer or prefix space")
     id_type = docs.schema["doc_id"].dataType
