@@ -121,8 +121,8 @@ def fit_labellers(patterns: dict[int, int], n_labellers: int, rounds: int = 100)
     codes = np.array(sorted(patterns))
     counts = np.array([patterns[c] for c in codes], float)
     vote = (codes[:, None] // 3 ** np.arange(n_labellers)) % 3
-    balance = (vote == GOOD).sum(axis=1) - 2.0 * (vote == BAD).sum(axis=1)  # bad votes are rarer and mean more
-    good = np.clip(0.5 + 0.2 * balance, 0.05, 0.95)
+    bad_votes = (vote == BAD).sum(axis=1)
+    good = np.array([0.95, 0.5, 0.05])[np.minimum(bad_votes, 2)]  # to begin with: bad votes are rare and mean much
     for _ in range(rounds):
         share = np.average(good, weights=counts).clip(1e-6, 1 - 1e-6)
         log = np.tile(np.log([1 - share, share]), (len(codes), 1))
