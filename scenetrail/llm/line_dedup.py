@@ -101,19 +101,13 @@ class LineSets:
             return np.zeros(0, np.uint64)
         return np.minimum.reduceat(mixed(self.token ^ np.uint64(seed)), self.first[:-1])
 
-    def parity(self) -> np.ndarray:
-        """64 bits, of which each token flips one: two sets differ in no fewer tokens than bits."""
-        if not len(self.token):
-            return np.zeros(0, np.uint64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(self.token) >> np.uint64(58)), self.first[:-1])
-
-    def wide_parity(self) -> np.ndarray:
-        """(sets x 8) words with one bit flipped by each token."""
-        out = np.zeros((len(self.size), WIDE), np.uint64)
+    def parity(self, words: int) -> np.ndarray:
+        """(sets x words) 64 bits each, of which a token flips one: two sets differ in no fewer tokens than bits."""
+        out = np.zeros((len(self.size), words), np.uint64)
         h = mixed(self.token ^ np.uint64(0x7F4A7C159E3779B9))
         bit = np.uint64(1) << (h >> np.uint64(58))
-        for w in range(WIDE if len(h) else 0):
-            out[:, w] = np.bitwise_xor.reduceat(np.where((h & np.uint64(WIDE - 1)) == w, bit, np.uint64(0)), self.first[:-1])
+        for w in range(words if len(h) else 0):
+            out[:, w] = np.bitwise_xor.reduceat(np.where((h & np.uint64(words - 1)) == w, bit, np.uint64(0)), self.first[:-1])
         return out
 
     def prefixes(self, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -152,6 +146,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
             T.StructField("k1", T.LongType()),
             T.StructField("k2", T.LongType()),
             T.StructField("bits", T.LongType()),
+            T.StructField("more", T.LongType()),
             T.StructField("stars", T.ArrayType(T.LongType())),
             T.StructField("prefix", T.ArrayType(T.IntegerType())),
         ]
@@ -165,7 +160,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
             for a, b, part, borders in pieces(raw, ends):
                 sets = LineSets(part, borders)
                 own_ids, own_keys = ids.slice(a, b - a), keys.slice(a, b - a)
-                nothing = [pa.nulls(b - a, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
+                nothing = [pa.nulls(b - a, t) for t in (*[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(
                     [own_ids, own_keys, pa.array(np.zeros(b - a, np.int32)), pa.array(sets.n_lines.astype(np.int32)), *nothing], schema.names
                 )
@@ -190,7 +185,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
                         pa.array(sets.size.astype(np.int32)),
                         pa.array(k1),
                         pa.array(k2),
-                        pa.array(sets.parity().view(np.int64), mask=old),
+                        *(pa.array(word, mask=old) for word in np.ascontiguousarray(sets.parity(2).T).view(np.int64)),
                         list_column(stars[fresh].reshape(-1), np.where(fresh, 2, 0), pa.int64()),
                         list_column(token[take], np.where(fresh, length, 0), pa.int32()),
                     ],
@@ -222,7 +217,7 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         pa.array(k1[fresh]),
                         pa.array(k2[fresh]),
                         list_column(sets.token[take].view(np.int64), sets.size[fresh], pa.int64()),
-                        list_column(sets.wide_parity()[fresh].view(np.int64).reshape(-1), np.full(int(fresh.sum()), WIDE), pa.int64()),
+                        list_column(sets.parity(WIDE)[fresh].view(np.int64).reshape(-1), np.full(int(fresh.sum()), WIDE), pa.int64()),
                     ],
                     ["k1", "k2", "tokens", "wide"],
                 )
@@ -247,9 +242,10 @@ def _later_of_similar(tokens: DataFrame, pairs: DataFrame, similarity: float) ->
     return similar.select(later.alias("l")).select("l.k1", "l.k2").distinct()
 
 
-def _fits(n_a: Column, n_b: Column, bits_a: Column, bits_b: Column, need: Column) -> Column:
-    """Whether parity bits leave room for ``need`` common tokens."""
-    return F.bit_count(bits_a.bitwiseXOR(bits_b)) <= n_a + n_b - 2 * need
+def _fits(n_a: Column, n_b: Column, a: str, b: str, need: Column) -> Column:
+    """Whether the parity bits of the sides ``a`` and ``b`` leave room for ``need`` common tokens."""
+    differ = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("bits", "more")]
+    return differ[0] + differ[1] <= n_a + n_b - 2 * need
 
 
 def _need(n_a: Column, n_b: Column, similarity: float) -> Column:
@@ -258,13 +254,13 @@ def _need(n_a: Column, n_b: Column, similarity: float) -> Column:
 
 def _star_pairs(sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b): b may be similar to a, the set of its star that comes first by doc_id."""
-    posts = sets.select("k1", "n", "bits", F.col("first.doc_id").alias("id"), F.explode("stars").alias("star"))
-    centre = posts.groupBy("star").agg(F.struct(*[F.min_by(c, "id").alias(c) for c in ("k1", "n", "bits")]).alias("c"))
+    posts = sets.select("k1", "n", "bits", "more", F.col("first.doc_id").alias("id"), F.explode("stars").alias("star"))
+    centre = posts.groupBy("star").agg(F.struct(*[F.min_by(c, "id").alias(c) for c in ("k1", "n", "bits", "more")]).alias("c"))
     n, m = F.col("n"), F.col("c.n")
     sizes = F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)
     return (
         posts.join(centre, "star")
-        .filter((F.col("k1") != F.col("c.k1")) & sizes & _fits(n, m, F.col("bits"), F.col("c.bits"), _need(n, m, similarity)))
+        .filter((F.col("k1") != F.col("c.k1")) & sizes & _fits(n, m, "", "c.", _need(n, m, similarity)))
         .select(F.col("c.k1").alias("a"), F.col("k1").alias("b"))
         .distinct()
     )
@@ -278,18 +274,18 @@ def _prefix_pairs(sets: DataFrame, gone: DataFrame, similarity: float, slices: i
     flagged = sets.join(gone.withColumn("gone", F.lit(1)), "k1", "left")
     # Size and whether the set is gone in one number; the place of a token in the prefix joins them below.
     info = F.shiftleft(F.col("n").cast("bigint") * 2 + F.coalesce("gone", F.lit(0)), 31)
-    flagged = cut(flagged.select("k1", "bits", info.alias("info"), "prefix"), "flagged")
+    flagged = cut(flagged.select("k1", "bits", "more", info.alias("info"), "prefix"), "flagged")
     found = [cut(_slice_pairs(flagged, similarity, k, slices), "pairs") for k in range(slices)]
     return reduce(DataFrame.unionByName, found)
 
 
 def _slice_pairs(flagged: DataFrame, similarity: float, k: int, slices: int) -> DataFrame:
-    posts = flagged.select("k1", "bits", "info", F.posexplode("prefix").alias("at", "token"))
-    posts = posts.filter(F.pmod("token", F.lit(slices)) == k).select("token", "k1", "bits", (F.col("info") + F.col("at")).alias("info"))
+    posts = flagged.select("k1", "bits", "more", "info", F.posexplode("prefix").alias("at", "token"))
+    posts = posts.filter(F.pmod("token", F.lit(slices)) == k).select("token", "k1", "bits", "more", (F.col("info") + F.col("at")).alias("info"))
     size, at, _ = _unpacked(F.col("info"))
     indexed = at <= size - F.ceil(size * F.lit(2 * similarity / (1 + similarity)) - F.lit(1e-9))
-    x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "bits", "info")])
-    y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "bits", "info")])
+    x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "bits", "more", "info")])
+    y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "bits", "more", "info")])
     (n, x_at, x_gone), (m, y_at, y_gone) = _unpacked(F.col("x_info")), _unpacked(F.col("y_info"))
     need = _need(n, m, similarity)
     condition = (
@@ -297,7 +293,7 @@ def _slice_pairs(flagged: DataFrame, similarity: float, k: int, slices: int) ->
         & ((n < m) | ((n == m) & (F.col("x_k1") < F.col("y_k1"))))
         & (n >= m * F.lit(similarity) - F.lit(1e-9))
         & ((x_gone + y_gone) < 2)
-        & _fits(n, m, F.col("x_bits"), F.col("y_bits"), need)
+        & _fits(n, m, "x_", "y_", need)
         & (F.least(n - x_at, m - y_at) >= need)
     )
     return y.join(x, condition).select(F.col("x_k1").alias("a"), F.col("y_k1").alias("b")).distinct()
@@ -326,6 +322,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         F.min(place).alias("first"),
         F.first("n").alias("n"),
         F.first("bits", ignorenulls=True).alias("bits"),
+        F.first("more", ignorenulls=True).alias("more"),
         F.first(F.when(some, F.col("stars")), ignorenulls=True).alias("stars"),
         F.first(F.when(some, F.col("prefix")), ignorenulls=True).alias("prefix"),
     )
