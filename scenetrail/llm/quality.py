@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from scenetrail.llm.common import arrow_function, boxed, query, table, unboxed
 from scenetrail.llm.words import Words, mixed, pieces, shingles, text_bytes, words_of
 
-TRAINING_DOCS = 4000  # bound of the sample that trains the scorer
+TRAINING_DOCS = 2500  # bound of the sample that trains the scorer
 DIMENSIONS = 2048
 LABELLERS = (
     "symbols", "symbol_runs", "capitals", "shouting", "repeated_threes", "repeated_sixes", "bars", "bar_lines", "sentences", "word_length",
@@ -178,11 +178,12 @@ def _features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def fit_scorer(features: np.ndarray, labels: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Weights (the last is the intercept) of a logistic model, by gradient steps with adapted sizes."""
     scale = np.sqrt(np.maximum(features.mean(axis=0), 1e-6))
-    x = np.hstack([features / scale, np.ones((len(features), 1), np.float32)]).astype(np.float32)
+    x = np.ones((len(features), features.shape[1] + 1), np.float32)
+    np.divide(features, scale, out=x[:, :-1], casting="unsafe")
     w, m, v = (np.zeros(x.shape[1]) for _ in range(3))
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - labels) / len(x) + 1e-5 * w
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)))
+        g = x.T @ (p - labels).astype(np.float32) / len(x) + 1e-5 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     w[:-1] /= scale
@@ -219,8 +220,10 @@ def fit(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> Model:
     rows = near.select(arrow_function(_features, "binary")("text").alias("x"), code("text").alias("code")).collect()
     if not rows:
         return Model(posterior, np.zeros(DIMENSIONS + 1))
-    features = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
-    return Model(posterior, fit_scorer(features, np.array([posterior[r["code"]] for r in rows])))
+    labels = np.array([posterior[r["code"]] for r in rows])
+    features = np.frombuffer(b"".join(r["x"] for r in rows), np.float32).reshape(len(rows), DIMENSIONS)
+    del rows
+    return Model(posterior, fit_scorer(features, labels))
 
 
 def _scorer(model: Model):
