@@ -249,7 +249,7 @@ def _scorer(model: Model):
     return arrow_function(score, "struct<posterior:double,score:double>")
 
 
-def classify(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, model: Model | None = None, threshold: float = 0.3) -> DataFrame:
     """``docs`` with posterior (label model), score (scorer) and keep (score at least ``threshold``).
 
     A null text, an empty one and one without words have score 0 and are not kept. Equal texts score alike; an empty
