@@ -14,7 +14,7 @@ RUNNING_CODES = ("R", "PD")
 QUEUE_FIELDS = 8
 SUBMITTED = r"^Submitted batch job (\d+)"
 STAGE_FAILED = r"(?m)^Failed at stage (\d+): ([^\r\n]*)"
-MODULE_FAILED = r"(?m)^Failed to load ([^\r\n]*?) module\."
+MODULE_FAILED = r"(?m)^Failed to load (?:([^\r\n]*?) module|modules)\."
 
 
 def lines(text: str | Column) -> Column:
@@ -112,7 +112,7 @@ def stage_failures(log: str | Column) -> Column:
 
 
 def module_failures(log: str | Column) -> Column:
-    """Array of the modules that a log could not load."""
+    """Array of the modules that a log could not load; an empty name where it names none."""
     return F.regexp_extract_all(col(log), F.lit(MODULE_FAILED), F.lit(1))
 
 

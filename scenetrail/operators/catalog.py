@@ -10,18 +10,24 @@ KINDS = ("service", "database", "schema", "table")
 
 
 def with_parents(tables: DataFrame, fqn: str = "fqn") -> DataFrame:
-    """Table names and the names of everything above them: (fqn, kind, parent_fqn), each once."""
-    parts = F.split(F.col(fqn), r"\.")
+    """Names and the names of everything above them: (fqn, kind, parent_fqn), each once.
+
+    All that follows the third dot is the table's name. A name of fewer parts ends at its last kind.
+    """
+    parts = F.split(F.col(fqn), r"\.", len(KINDS))
     upto = lambda n: F.array_join(F.slice(parts, 1, n), ".")
     rows = [
-        F.struct(
-            upto(i + 1).alias("fqn"),
-            F.lit(kind).alias("kind"),
-            (upto(i) if i else F.lit(None).cast("string")).alias("parent_fqn"),
+        F.when(
+            F.size(parts) > i,
+            F.struct(
+                upto(i + 1).alias("fqn"),
+                F.lit(kind).alias("kind"),
+                (upto(i) if i else F.lit(None).cast("string")).alias("parent_fqn"),
+            ),
         )
         for i, kind in enumerate(KINDS)
     ]
-    return tables.select(F.inline(F.array(*rows))).distinct()
+    return tables.select(F.inline(F.array_compact(F.array(*rows)))).distinct()
 
 
 def register_missing(candidates: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -65,9 +65,10 @@ def segments(pixels: DataFrame) -> DataFrame:
     ``pixels`` is (scene, band, row, col, value) with each place once. A region is named by its first
     pixel in row and column order. Pixels next to each other in a row are first merged to runs, inside
     strips of fixed width; runs that touch are the edges of a graph, and its components are the regions.
-    A region of any size stays spread out.
+    A region of any size stays spread out. A null value is no data and belongs to no region.
     """
     keys = ["scene", "band"]
+    pixels = pixels.filter(F.col("value").isNotNull())
     strip = W.partitionBy(*keys, "row", F.floor(F.col("col") / _STRIP)).orderBy("col")
     follows = (F.lag("col").over(strip) == F.col("col") - 1) & F.lag("value").over(strip).eqNullSafe(F.col("value"))
     marked = pixels.select(*keys, "row", "col", "value").withColumn("_start", F.when(~F.coalesce(follows, F.lit(False)), F.col("col")))

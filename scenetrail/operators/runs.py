@@ -164,6 +164,9 @@ def run_gaps(runs: DataFrame, keys: list[str], ts: str = "logical_ts") -> DataFr
     return past.withColumn("gap_seconds", F.timestamp_diff("SECOND", F.col("_prev"), F.col(ts))).drop("_prev")
 
 
-def event_states(events: DataFrame, keys: list[str], event: str, kinds: list[str]) -> DataFrame:
-    """Events (keys, event, dataset) as one row per key with the newest dataset of each kind of event."""
-    return events.groupBy(*keys).pivot(event, kinds).agg(F.max("dataset"))
+def event_states(events: DataFrame, keys: list[str], event: str, kinds: list[str], order: str) -> DataFrame:
+    """Events (keys, event, dataset, order) as one row per key with the newest dataset of each kind of event.
+
+    The newest has the largest ``order``, a time or a running number; of several, the largest dataset.
+    """
+    return events.groupBy(*keys).pivot(event, kinds).agg(F.max_by("dataset", F.struct(order, "dataset")))

@@ -73,7 +73,7 @@ FROM (SELECT 'doc-' || cast(l_orderkey AS string) || '-' || cast(l_partkey AS st
              'cgmsre_t54hvh_' || lpad(cast(l_orderkey AS string), 8, '0') || '_ad' || cast(l_linenumber AS string)
              || 'm4.img' AS product,
              CASE WHEN l_linenumber = 7 THEN ' ' ELSE 'Make_Index.py' END AS product_script,
-             CASE WHEN l_partkey % 9 = 0 THEN '/' || 'store/' ELSE '' END
+             CASE WHEN l_partkey % 9 = 0 THEN '/store/' ELSE '' END
              || 'cgmsre_t54hvh_' || lpad(cast(l_partkey AS string), 8, '0') || '_abam4.img' AS ref,
              'make ref.py' AS ref_script,
              CASE WHEN l_suppkey % 5 = 0 THEN 'short' || cast(l_suppkey AS string) || '.img'

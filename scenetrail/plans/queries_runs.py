@@ -188,9 +188,9 @@ def run_gaps(spark, sf):
 @query(
     "q_event_pivot",
     """
-    SELECT user_id, max(CASE WHEN event_type = 'view' THEN 'on-start-' || event_id END) AS "start",
-           max(CASE WHEN event_type = 'purchase' THEN 'on-complete-' || event_id END) AS "complete",
-           max(CASE WHEN event_type = 'error' THEN 'on-failure-' || event_id END) AS "failure"
+    SELECT user_id, arg_max(CASE WHEN event_type = 'view' THEN 'on-start-' || event_id END, CASE WHEN event_type = 'view' THEN event_id END) AS "start",
+           arg_max(CASE WHEN event_type = 'purchase' THEN 'on-complete-' || event_id END, CASE WHEN event_type = 'purchase' THEN event_id END) AS "complete",
+           arg_max(CASE WHEN event_type = 'error' THEN 'on-failure-' || event_id END, CASE WHEN event_type = 'error' THEN event_id END) AS "failure"
     FROM events GROUP BY 1
     """,
 )
@@ -201,6 +201,6 @@ def event_pivot(spark, sf):
         .when(F.col("event_type") == "error", "failure")
     )
     events = table(spark, sf, "events").select(
-        "user_id", kind.alias("event"), F.concat(F.lit("on-"), kind, F.lit("-"), "event_id").alias("dataset")
+        "user_id", "event_id", kind.alias("event"), F.concat(F.lit("on-"), kind, F.lit("-"), "event_id").alias("dataset")
     )
-    return runs.event_states(events, ["user_id"], "event", ["start", "complete", "failure"])
+    return runs.event_states(events, ["user_id"], "event", ["start", "complete", "failure"], "event_id")

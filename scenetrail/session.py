@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Python functions go to the executors with their code, which need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules["scenetrail"])
+
 # Settings that every operator relies on; all can be changed on a running session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",

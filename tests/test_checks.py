@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__
+from scenetrail.plans import registry
 from compare import check_rows, connect, difference, spark_rows
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, CHECKS = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, CHECKS = registry.all_queries(), registry.all_checks()
 
 
 @pytest.fixture(scope="module")

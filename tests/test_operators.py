@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scenetrail.operators import catalog, graph, jobs, lineage, nested, ordered, raster, reports, rowfns, runs, slots, stages
 from scenetrail import session
+from scenetrail.functions import text
 from scenetrail.plans import stage_data
 from scenetrail.session import scratch_path
 from scenetrail.sources import documents, manifests, tables
@@ -363,3 +364,35 @@ def test_state_defaults(spark, rows):
     tables.state_put(spark.createDataFrame([("a", ["x", "y"])], "key string, items array<string>"), "key", "items", path)
     wanted = spark.createDataFrame([("a",), ("b",)], "name string")
     assert rows(tables.state_get(wanted, "name", path)) == [("a", '["x","y"]'), ("b", "[]")]
+
+
+def test_catalog_names_of_other_lengths(spark, rows):
+    names = spark.createDataFrame([("s.d.p.a.b",), ("s.d.p.a.c",), ("x.y",)], "fqn string")
+    assert rows(catalog.with_parents(names)) == [
+        ("s", "service", None), ("s.d", "database", "s"), ("s.d.p", "schema", "s.d"), ("s.d.p.a.b", "table", "s.d.p"),
+        ("s.d.p.a.c", "table", "s.d.p"), ("x", "service", None), ("x.y", "database", "x"),
+    ]
+
+
+def test_documents_of_one_name_in_two_folders(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "na me+.json").write_text(CHAIN)
+    docs = documents.read_provenance(spark, str(tmp_path / "*")).collect()
+    assert len({d.doc_id for d in docs}) == 2 and {d.file_name for d in docs} == {"na me+.json"}
+
+
+def test_newest_event_is_not_the_largest_text(spark):
+    events = spark.createDataFrame([(1, "start", "on-start-999", 999), (1, "start", "on-start-10000", 10000)], "u int, event string, dataset string, at int")
+    assert runs.event_states(events, ["u"], "event", ["start"], "at").first().start == "on-start-10000"
+
+
+def test_module_failure_without_a_name(spark):
+    log = "Failed to load gdal module.\nFailed to load modules.\n"
+    assert spark.range(1).select(text.module_failures(F.lit(log)).alias("m")).first().m == ["gdal", ""]
+
+
+def test_null_pixels_are_no_data(spark):
+    pixels = spark.createDataFrame([("s", 1, r, c, None if r < 2 and c < 2 else 1.0) for r in range(2) for c in range(3)], "scene string, band int, row int, col int, value double")
+    found = raster.segments(pixels).collect()
+    assert [(r.seed_row, r.seed_col, r.n_pixels) for r in found] == [(0, 2, 2)]
