@@ -52,8 +52,8 @@ def timeouts(status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS) -> DataF
     return per_job.select("job_id", "submitted_at", "last_seen", outcome.alias("outcome"))
 
 
-def collect_output(lines: DataFrame, chunk_lines: int = 1000) -> DataFrame:
-    """Text of each job and stream, in order, as chunks of a fixed number of lines.
+def collect_output(lines: DataFrame, chunk_lines: int) -> DataFrame:
+    """Text of each job and stream, in order, as chunks of the number of lines that the caller gives.
 
     ``lines`` is (job_id, stream, line_no, line) with line_no from 0. The chunks of a job put together are
     its whole text; no text of unknown length has to fit into one row or task.

@@ -34,11 +34,10 @@ def expand_mixed(df: DataFrame, json: str) -> DataFrame:
     )
 
 
-def collect_mapped(df: DataFrame, keys: list[str], idx: str, value: str, chunk: int = 4096) -> DataFrame:
+def collect_mapped(df: DataFrame, keys: list[str], idx: str, value: str, chunk: int) -> DataFrame:
     """Mapped results back in index order: (keys, chunk_no, values).
 
-    A list no longer than ``chunk`` comes back as one row; a longer one as several, so no group grows
-    without bound.
+    Lists come back in parts of the width ``chunk`` that the caller gives, so no group grows without bound.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(value).alias("v"))))
     return (

@@ -68,9 +68,10 @@ def number_in_key(
     df: DataFrame, keys: list[str], order_by: list[str | Column], name: str = "number"
 ) -> DataFrame:
     """Add the 1-based position of each row among the rows of its key."""
-    placed = enumerate_rows(df, [*keys, *order_by], "_idx")
-    first = placed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
-    return placed.join(first, keys).withColumn(name, F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first")
+    placed = enumerate_rows(df, [*keys, *order_by], "_idx").withColumn("_key", F.struct(*keys))
+    first = placed.groupBy("_key").agg(F.min("_idx").alias("_first")).withColumnRenamed("_key", "_of")
+    joined = placed.join(first, F.col("_key").eqNullSafe(F.col("_of")))
+    return joined.withColumn(name, F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first", "_key", "_of")
 
 
 def _carried(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+EXPANDED_ROWS = 10_000  # in one batch that goes back to Spark
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
@@ -21,14 +25,21 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
 
 
 def expand_rows(df: DataFrame, fn: Callable[..., Iterable[tuple]], columns: list[str], schema: str) -> DataFrame:
-    """Apply a function that gives several rows for one: a Python table function over a lateral join."""
-
-    class Expand:
-        def eval(self, *args):
-            yield from fn(*args)
+    """Apply a function that gives several rows for one. Batches of rows go to Python as Arrow tables."""
+    made = T.StructType.fromDDL(schema)
+    fields = to_arrow_schema(made)
 
-    made = F.udtf(Expand, returnType=schema)
-    return df.lateralJoin(made(*[F.col(c).outer() for c in columns]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            args = [batch.column(c).to_pylist() for c in columns]
+            rows = [(i, row) for i, values in enumerate(zip(*args)) for row in fn(*values)]
+            for at in range(0, len(rows), EXPANDED_ROWS):
+                part = rows[at : at + EXPANDED_ROWS]
+                kept = batch.take(pa.array([i for i, _ in part], pa.int32()))
+                new = [pa.array([row[j] for _, row in part], f.type) for j, f in enumerate(fields)]
+                yield pa.RecordBatch.from_arrays([*kept.columns, *new], names=[*kept.schema.names, *fields.names])
+
+    return df.mapInArrow(run, T.StructType([*df.schema, *made]))
 
 
 def reduce_group(

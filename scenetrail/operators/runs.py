@@ -17,13 +17,21 @@ DONE_STATES = ("success", "skipped", *FAILED_STATES)
 
 
 def upstream_states(task_edges: DataFrame, task_runs: DataFrame) -> DataFrame:
-    """Per child and run: how many upstream tasks succeeded, failed, and exist.
+    """Per task and run: how many upstream tasks succeeded, failed, and exist.
 
-    An upstream task without a row in the run counts as not finished. The states are joined to the edges
-    and aggregated once; the run date keeps a large dag spread over tasks.
+    Every task of a dag, named by an edge or by a run, has a row in every run of it. An upstream task without a
+    row in the run counts as not finished, and a task without upstream tasks has none of each. The states are
+    joined to the edges and aggregated once; the run date keeps a large dag spread over tasks.
     """
     states = task_runs.select("dag", F.col("task").alias("parent"), "logical_ts", "state")
     n_parents = task_edges.groupBy("dag", "child").agg(F.count("*").alias("n_upstream"))
+    tasks = (
+        task_edges.select("dag", F.inline(F.array(F.struct(F.col("parent").alias("child")), F.struct("child"))))
+        .unionByName(task_runs.select("dag", F.col("task").alias("child")))
+        .distinct()
+        .join(n_parents, ["dag", "child"], "left")
+    )
+    planned = tasks.join(task_runs.select("dag", "logical_ts").distinct(), "dag")
     seen = (
         task_edges.join(states, ["dag", "parent"])
         .groupBy("dag", "child", "logical_ts")
@@ -32,18 +40,21 @@ def upstream_states(task_edges: DataFrame, task_runs: DataFrame) -> DataFrame:
             F.count_if(F.col("state").isin(*FAILED_STATES)).alias("n_failed"),
         )
     )
-    return seen.join(n_parents, ["dag", "child"])
+    return planned.join(seen, ["dag", "child", "logical_ts"], "left").fillna(0, ["n_upstream", "n_success", "n_failed"])
 
 
 def trigger_rules(upstream: DataFrame) -> DataFrame:
-    """The three rules: all upstream tasks succeeded, one succeeded, all failed."""
+    """The three rules: all upstream tasks succeeded, one succeeded, all failed.
+
+    A task without upstream tasks waits for nothing and meets all three.
+    """
     n = F.col("n_upstream")
     return upstream.select(
         "dag",
         F.col("child").alias("task"),
         "logical_ts",
         (F.col("n_success") == n).alias("all_success"),
-        (F.col("n_success") > 0).alias("one_success"),
+        ((F.col("n_success") > 0) | (n == 0)).alias("one_success"),
         (F.col("n_failed") == n).alias("all_failed"),
     )
 

@@ -3,37 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scenetrail.operators.ordered import enumerate_rows, number_in_key
+
 
 def take(df: DataFrame, n: int, order_by: list[str], by: list[str] | None = None) -> DataFrame:
     """First ``n`` items in order, of all rows or of each group; adds the 0-based ``idx``.
 
-    Spark applies the limit inside each task before the shuffle, so at most ``n`` rows per task and
-    group move, also for a group that owns most rows.
+    Rows are numbered in even slices of the whole order, so neither a large ``n`` nor a group that owns most
+    rows meets in one task.
     """
+    return _numbered(df, order_by, by or []).filter(F.col("idx") < n)
+
+
+def _numbered(df: DataFrame, order_by: list[str], by: list[str]) -> DataFrame:
     if not by:
-        top = df.orderBy(*order_by).limit(n)
-        return top.withColumn("idx", F.row_number().over(W.orderBy(*order_by)) - 1)
-    rank = F.row_number().over(W.partitionBy(*by).orderBy(*order_by))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).withColumn("idx", F.col("_rank") - 1).drop("_rank")
+        return enumerate_rows(df, order_by)
+    return number_in_key(df, by, order_by, "idx").withColumn("idx", F.col("idx") - 1)
 
 
 def assign_slots(df: DataFrame, item: str, k: int, order_by: list[str], by: list[str] | None = None) -> DataFrame:
     """Slots 0..k-1 with their item; a slot past the end of the list holds null."""
     by = by or []
-    filled = take(df, k, order_by, by).select(*by, F.col("idx").alias("slot"), item)
+    filled = take(df, k, order_by, by)
+    held = filled.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("idx", item))).alias("_held"))
     slots = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("slot")
-    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    return groups.select(*by, slots).join(filled, [*by, "slot"], "left")
+    return held.select(*by, "_held", slots).select(
+        *by, "slot", F.try_element_at("_held", F.col("slot").cast("long")).alias(item)
+    )
 
 
 def slot_overflow(df: DataFrame, k: int, order_by: list[str], by: list[str] | None = None) -> DataFrame:
-    """Items that found no slot. ``order_by`` must tell items of a group apart."""
-    by = by or []
-    filled = take(df, k, order_by, by).select(*by, *order_by)
-    return df.join(filled, [*by, *order_by], "left_anti")
+    """Items that found no slot."""
+    return _numbered(df, order_by, by or []).filter(F.col("idx") >= k).drop("idx")
 
 
 def sorted_items(df: DataFrame, items: str) -> DataFrame:

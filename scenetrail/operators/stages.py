@@ -62,9 +62,11 @@ def _firsts_by_scene(products: DataFrame, wanted: dict[int, list[tuple[str, str]
 def stage_input_files(products: DataFrame, sensor: str) -> DataFrame:
     """One row per scene, stage and required code, with the first matching file or null.
 
-    ``products`` has scene_key, family, code and file_name.
+    A stage that runs on every matching file has a row for each. ``products`` has scene_key, family, code and
+    file_name.
     """
     wanted = _wanted_inputs(sensor)
+    every = [n for s, n in stage_data.ALL_FILES if s == sensor]
     rows = [
         F.struct(
             F.lit(n).alias("stage_no"),
@@ -75,11 +77,29 @@ def stage_input_files(products: DataFrame, sensor: str) -> DataFrame:
         for n, kinds in wanted.items()
         for f, c in kinds
     ]
-    return _firsts_by_scene(products, wanted).select("scene_key", F.inline(F.array(*rows)))
+    found = _firsts_by_scene(products, wanted).select("scene_key", F.inline(F.array(*rows)))
+    if not every:
+        return found
+    kinds = [
+        F.struct(F.lit(n).alias("stage_no"), F.lit(f).alias("family"), F.lit(c).alias("code"))
+        for n in every
+        for f, c in wanted[n]
+    ]
+    matches = (
+        products.select("scene_key", F.col("family").alias("_f"), F.col("code").alias("_c"), "file_name")
+        .distinct()
+        .select("*", F.inline(F.array(*kinds)))
+        .filter((F.col("_f") == F.col("family")) & (F.col("_c") == F.col("code")) & F.col("file_name").isNotNull())
+        .select(*found.columns)
+    )
+    return found.filter(~F.col("stage_no").isin(*every) | F.col("file_name").isNull()).unionByName(matches)
 
 
 def resolve_stage_inputs(products: DataFrame, sensor: str) -> DataFrame:
-    """One row per scene and stage: the inputs found, how many are missing, and ``ready``."""
+    """One row per scene and stage: the first file of each input, how many are missing, and ``ready``.
+
+    Missing files hold a stage back only where its sensor checks them.
+    """
     wanted = _wanted_inputs(sensor)
     rows = [
         F.struct(F.lit(n).alias("stage_no"), F.array(*[F.col(f"{f}_{c}") for f, c in kinds]).alias("files"))
@@ -89,7 +109,7 @@ def resolve_stage_inputs(products: DataFrame, sensor: str) -> DataFrame:
         _firsts_by_scene(products, wanted)
         .select("scene_key", F.inline(F.array(*rows)))
         .withColumn("missing", F.size("files") - F.size(F.array_compact("files")))
-        .withColumn("ready", F.col("missing") == 0)
+        .withColumn("ready", (F.col("missing") == 0) | F.lit(sensor not in stage_data.INPUT_CHECKED))
     )
 
 

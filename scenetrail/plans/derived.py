@@ -31,9 +31,9 @@ VIEWS: dict[str, str] = {}
 VIEWS["s2_names"] = f"""
 SELECT o_orderkey,
        'S2' || substr('ABCD', cast(o_orderkey % 4 + 1 AS int), 1) || '_MSIL1C_' || {_ymd('o_orderdate')}
-       || 'T000219_N0511_R030_' || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'T' END
-       || lpad(cast(o_custkey % 60 + 1 AS string), 2, '0') || 'HCB_' || {_ymd('o_orderdate')}
-       || 'T005127.zip' AS file_name
+       || 'T101531_N0402_R117_' || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'T' END
+       || lpad(cast(o_custkey % 60 + 1 AS string), 2, '0') || 'KPQ_' || {_ymd('o_orderdate')}
+       || 'T113046.zip' AS file_name
 FROM {{orders}}
 """
 
@@ -62,6 +62,14 @@ FROM (SELECT 'l' || cast(8 + l_orderkey % 2 AS string) || 'ol'
       FROM {lineitem}) x
 """
 
+VIEWS["s2_products"] = """
+SELECT 'scene-' || cast(l_orderkey AS string) AS scene_key, 're' AS family,
+       CASE WHEN l_linenumber <= 2 THEN 'ab0' WHEN l_linenumber = 3 THEN 'ab1' WHEN l_linenumber IN (4, 6) THEN 'aba'
+            WHEN l_linenumber = 5 THEN 'abb' ELSE 'ad0' END AS code,
+       'scene-' || cast(l_orderkey AS string) || '_' || cast(l_partkey AS string) || 'm.img' AS file_name
+FROM {lineitem} WHERE l_orderkey % 5 > 0 OR l_linenumber > 2
+"""
+
 # One history per order line, as flat rows: a product made from a part and a supplier artifact, which
 # share one raw input. Scripts and paths include the cases that are easy to get wrong.
 VIEWS["history"] = """
@@ -70,15 +78,15 @@ FROM (SELECT 'doc-' || cast(l_orderkey AS string) || '-' || cast(l_partkey AS st
              || cast(l_suppkey AS string) || '-' || cast(l_linenumber AS string) || '-'
              || cast(cast(l_quantity AS bigint) AS string) || '-'
              || cast(cast(round(l_extendedprice * 100) AS bigint) AS string)  AS doc_id,
-             'cgmsre_t54hvh_' || lpad(cast(l_orderkey AS string), 8, '0') || '_ad' || cast(l_linenumber AS string)
+             'cgmsre_t21kpq_' || lpad(cast(l_orderkey AS string), 8, '0') || '_ad' || cast(l_linenumber AS string)
              || 'm4.img' AS product,
              CASE WHEN l_linenumber = 7 THEN ' ' ELSE 'Make_Index.py' END AS product_script,
              CASE WHEN l_partkey % 9 = 0 THEN '/store/' ELSE '' END
-             || 'cgmsre_t54hvh_' || lpad(cast(l_partkey AS string), 8, '0') || '_abam4.img' AS ref,
+             || 'cgmsre_t21kpq_' || lpad(cast(l_partkey AS string), 8, '0') || '_abam4.img' AS ref,
              'make ref.py' AS ref_script,
              CASE WHEN l_suppkey % 5 = 0 THEN 'short' || cast(l_suppkey AS string) || '.img'
-                  ELSE 'cgmsre_t54hvh_' || lpad(cast(l_suppkey AS string), 8, '0') || '_aa1m4.img' END AS angle,
-             'cgmsre_t54hvh_' || lpad(cast(l_partkey AS string), 8, '0') || '_aa0m4.meta' AS raw_file,
+                  ELSE 'cgmsre_t21kpq_' || lpad(cast(l_suppkey AS string), 8, '0') || '_aa1m4.img' END AS angle,
+             'cgmsre_t21kpq_' || lpad(cast(l_partkey AS string), 8, '0') || '_aa0m4.meta' AS raw_file,
              substr(cast(l_shipdate AS string), 1, 10) || ' 00:00:10' AS written,
              substr(cast(l_shipdate AS string), 1, 10) || ' 00:21:32' AS later
       FROM {lineitem}) x
@@ -228,9 +236,9 @@ FROM {pages}
 
 VIEWS["tagged"] = """
 SELECT o_orderkey,
-       'start' || chr(10) || 'XCOM_NUM_FILES: 1' || chr(10) || ' XCOM_NUM_FILES: 99' || chr(10)
-       || 'XCOM_NUM_FILES: ' || cast(o_custkey % 50 AS string) || chr(10)
-       || CASE WHEN o_orderkey % 6 = 0 THEN 'end' ELSE 'XCOM_FILE_TXT: /lists/XCOM_FILE_TXT:'
+       'start' || chr(10) || 'OUT_COUNT: 1' || chr(10) || ' OUT_COUNT: 99' || chr(10)
+       || 'OUT_COUNT: ' || cast(o_custkey % 50 AS string) || chr(10)
+       || CASE WHEN o_orderkey % 6 = 0 THEN 'end' ELSE 'OUT_PATH: /lists/OUT_PATH:'
                || cast(o_custkey AS string) || '.txt ' END AS body
 FROM {orders}
 """

@@ -139,6 +139,7 @@ def latest_status(spark, sf):
 TIMEOUT_SQL = f"""
     SELECT job_id, submitted_at, max(observed_at) AS last_seen,
            arg_min(state, (observed_at, state)) FILTER (state IN ('COMPLETED', 'FAILED') AND age <= 3600) AS ended,
+           min(observed_at) FILTER (state IN ('COMPLETED', 'FAILED') AND age <= 3600) AS ended_at,
            max(age) AS age
     FROM (SELECT *, cast(floor(date_diff('microsecond', submitted_at, observed_at) / 1000000) AS bigint) AS age FROM (
             SELECT *, min(observed_at) OVER (PARTITION BY job_id) AS submitted_at FROM ({_STATUS}) a) b) c GROUP BY 1, 2

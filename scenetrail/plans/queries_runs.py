@@ -11,18 +11,21 @@ from scenetrail.plans.registry import query
 _V = ("task_edges", "task_runs")
 
 _UPSTREAM = """
-    SELECT e.dag, e.child AS task, r.logical_ts, p.n AS n_upstream, count(*) FILTER (r.state = 'success') AS n_success,
-           count(*) FILTER (r.state = 'failed') AS n_failed
-    FROM task_edges e JOIN task_runs r ON r.dag = e.dag AND r.task = e.parent
-    JOIN (SELECT dag, child, count(*) AS n FROM task_edges GROUP BY 1, 2) p ON p.dag = e.dag AND p.child = e.child
-    GROUP BY 1, 2, 3, 4
+    SELECT t.dag, t.task, d.logical_ts, count(DISTINCT e.parent) AS n_upstream,
+           count(*) FILTER (r.state = 'success') AS n_success, count(*) FILTER (r.state = 'failed') AS n_failed
+    FROM (SELECT dag, parent AS task FROM task_edges UNION SELECT dag, child FROM task_edges
+          UNION SELECT dag, task FROM task_runs) t
+    JOIN (SELECT DISTINCT dag, logical_ts FROM task_runs) d ON d.dag = t.dag
+    LEFT JOIN task_edges e ON e.dag = t.dag AND e.child = t.task
+    LEFT JOIN task_runs r ON r.dag = e.dag AND r.task = e.parent AND r.logical_ts = d.logical_ts
+    GROUP BY 1, 2, 3
 """
 
 
 @query(
     "q_trigger_rules",
     f"""
-    SELECT dag, task, logical_ts, n_success = n_upstream AS all_success, n_success > 0 AS one_success,
+    SELECT dag, task, logical_ts, n_success = n_upstream AS all_success, n_success > 0 OR n_upstream = 0 AS one_success,
            n_failed = n_upstream AS all_failed FROM ({_UPSTREAM}) u
     """,
     _V,
@@ -36,7 +39,7 @@ def trigger_rules(spark, sf):
     f"""
     SELECT dag, task, logical_ts, CASE task WHEN 't2' THEN 'one_success' WHEN 't3' THEN 'all_failed' ELSE 'all_success' END
            AS trigger_rule,
-           CASE task WHEN 't2' THEN n_success > 0 WHEN 't3' THEN n_failed = n_upstream ELSE n_success = n_upstream END AS ready
+           CASE task WHEN 't2' THEN n_success > 0 OR n_upstream = 0 WHEN 't3' THEN n_failed = n_upstream ELSE n_success = n_upstream END AS ready
     FROM ({_UPSTREAM}) u
     """,
     _V,
@@ -159,15 +162,15 @@ def lookback(spark, sf):
 @query(
     "q_same_run",
     """
-    SELECT DISTINCT r.event_id, cast(r.day AS varchar) AS day, cast(m.value AS varchar) AS value
+    SELECT r.event_id, cast(r.day AS varchar) AS day, cast(m.value AS varchar) AS value
     FROM (SELECT event_id, event_type, cast(ts AS date) AS day FROM events) r
-    LEFT JOIN (SELECT event_type, cast(ts AS date) AS day, max(value) AS value FROM events WHERE value > 200 GROUP BY 1, 2) m
+    LEFT JOIN (SELECT event_type, cast(ts AS date) AS day, max(value) AS value FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1, 2) m
     ON r.event_type = m.event_type AND r.day = m.day
     """,
 )
 def same_run(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    pushed = events.filter("value > 200").select("event_type", "day", "value")
+    pushed = events.filter(F.col("event_type").isin("purchase", "error")).select("event_type", "day", "value")
     found = runs.same_run(events.select("event_id", "event_type", "day"), pushed, ["event_type"], "day")
     return found.select("event_id", F.col("day").cast("string").alias("day"), F.col("value").cast("string").alias("value"))
 

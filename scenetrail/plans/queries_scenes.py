@@ -148,13 +148,13 @@ def manifest_write(spark, sf):
 @query(
     "q_tagged_output",
     """
-    SELECT o_orderkey, cast(n AS int) AS xcom_num_files, f AS xcom_file_txt,
-           CASE WHEN f IS NULL THEN 'missing xcom_file_txt' END AS error
+    SELECT o_orderkey, cast(n AS int) AS out_count, f AS out_path,
+           CASE WHEN f IS NULL THEN 'missing out_path' END AS error
     FROM (SELECT o_orderkey,
-                 trim(replace(list_filter(string_split(body, chr(10)), lambda x: starts_with(x, 'XCOM_NUM_FILES:'))[-1],
-                              'XCOM_NUM_FILES:', '')) AS n,
-                 trim(replace(list_filter(string_split(body, chr(10)), lambda x: starts_with(x, 'XCOM_FILE_TXT:'))[-1],
-                              'XCOM_FILE_TXT:', '')) AS f
+                 trim(replace(list_filter(string_split(body, chr(10)), lambda x: starts_with(x, 'OUT_COUNT:'))[-1],
+                              'OUT_COUNT:', '')) AS n,
+                 trim(replace(list_filter(string_split(body, chr(10)), lambda x: starts_with(x, 'OUT_PATH:'))[-1],
+                              'OUT_PATH:', '')) AS f
           FROM tagged) t
     """,
     ("tagged",),
@@ -164,8 +164,8 @@ def tagged_output(spark, sf):
         view(spark, sf, "tagged"),
         "o_orderkey",
         "body",
-        {"XCOM_NUM_FILES": "int", "XCOM_FILE_TXT": "string"},
-        required=("XCOM_NUM_FILES", "XCOM_FILE_TXT"),
+        {"OUT_COUNT": "int", "OUT_PATH": "string"},
+        required=("OUT_COUNT", "OUT_PATH"),
     )
 
 
@@ -352,6 +352,37 @@ def stage_ready(spark, sf):
     return ready.select("scene_key", "stage_no", "missing", "ready")
 
 
+# The rows that the Sentinel stages read, written out: stages 1, 4 and 5 take the first file, 2 and 3 every file.
+_S2_INPUTS = """
+    SELECT * FROM (WITH s AS (SELECT DISTINCT scene_key FROM s2_products),
+    f AS (SELECT DISTINCT scene_key, code, file_name FROM s2_products),
+    one AS (SELECT scene_key, code, min(file_name) AS file_name FROM f GROUP BY 1, 2)
+    SELECT s.scene_key, i.stage_no, 're' AS family, i.code, one.file_name
+    FROM s CROSS JOIN (VALUES (1, 'ab0'), (4, 'aba'), (4, 'abb'), (5, 'aba')) i(stage_no, code)
+    LEFT JOIN one ON one.scene_key = s.scene_key AND one.code = i.code
+    UNION ALL SELECT s.scene_key, i.stage_no, 're', 'ab0', f.file_name
+    FROM s CROSS JOIN (VALUES (2), (3)) i(stage_no) LEFT JOIN f ON f.scene_key = s.scene_key AND f.code = 'ab0') q
+"""
+
+
+@query("q_sentinel_inputs", _S2_INPUTS, ("s2_products",))
+def sentinel_inputs(spark, sf):
+    return stages.stage_input_files(view(spark, sf, "s2_products"), "sentinel")
+
+
+@query(
+    "q_sentinel_ready",
+    f"""
+    SELECT scene_key, stage_no, count(DISTINCT code) - count(DISTINCT CASE WHEN file_name IS NOT NULL THEN code END) AS missing,
+           true AS ready FROM ({_S2_INPUTS}) r GROUP BY 1, 2
+    """,
+    ("s2_products",),
+)
+def sentinel_ready(spark, sf):
+    ready = stages.resolve_stage_inputs(view(spark, sf, "s2_products"), "sentinel")
+    return ready.select("scene_key", "stage_no", "missing", "ready")
+
+
 @query(
     "q_stage_edges",
     f"""

@@ -42,9 +42,10 @@ def stream_counts(spark, sf):
     "q_stream_jobs",
     f"""
     SELECT job_id, submitted_at, outcome FROM (
-      SELECT job_id, submitted_at, CASE WHEN ended IS NOT NULL THEN ended WHEN age > 3600
-             OR epoch_ms(submitted_at) + 3600000 < (SELECT epoch_ms(max(ts)) - 600000 FROM events) THEN 'TIMEOUT' END AS outcome
-      FROM ({TIMEOUT_SQL}) t) x WHERE outcome IS NOT NULL
+      SELECT job_id, submitted_at, CASE WHEN ended IS NOT NULL THEN CASE WHEN epoch_us(ended_at) < mark THEN ended END
+                                        WHEN epoch_us(submitted_at) + 3600999999 < mark THEN 'TIMEOUT' END AS outcome
+      FROM ({TIMEOUT_SQL}) t CROSS JOIN (SELECT (epoch_ms(max(ts)) - 600000) * 1000 AS mark FROM events) w
+    ) x WHERE outcome IS NOT NULL
     """,
     ("job_status",),
 )

@@ -44,13 +44,19 @@ STAGE_INPUTS = [
     ("landsat", 12, ["dbg"], "re"),
     ("landsat", 13, ["dd6"], "re"),
     ("landsat", 14, ["dbg"], "re"),
-    ("sentinel", 1, ["ab0", "ab1", "ab2"], "re"),
+    ("sentinel", 1, ["ab0"], "re"),
     ("sentinel", 2, ["ab0"], "re"),
-    ("sentinel", 3, ["ab0", "ab1"], "re"),
+    ("sentinel", 3, ["ab0"], "re"),
     ("sentinel", 4, ["aba", "abb"], "re"),
-    ("sentinel", 5, ["aba", "abb"], "re"),
+    ("sentinel", 5, ["aba"], "re"),
 ]
 
+# Stages that run on every matching file; the others take the first.
+ALL_FILES = [("sentinel", 2), ("sentinel", 3)]
+
+# Sensors whose stages end at a missing input.
+INPUT_CHECKED = ["landsat"]
+
 # Fixed values: (sensor, stage, output product codes).
 STAGE_OUTPUTS = [
     ("landsat", 1, ["da3"]),

@@ -77,16 +77,17 @@ def windowed_counts(events: DataFrame, ts: str, value: str, width: str = "5 minu
 _SEEN = "job_id string, first_us long, last_us long, final_us long, final_state string, last_seen timestamp"
 _OUTCOME = "job_id string, submitted_us long, outcome string"
 _OUTCOME_COLUMNS = ["job_id", "submitted_us", "outcome"]
-_STATE = "submitted_us long, done boolean"
+_STATE = "submitted_us long, last_us long, final_us long, final_state string, done boolean"
 _SECOND = 1_000_000
 
 
 def _reduce_polls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Polls of a batch to one row per job: first and last time, and the first final state."""
     for pdf in batches:
-        pdf = pdf.sort_values("observed_us", kind="stable")
+        pdf = pdf.sort_values(["observed_us", "state"], kind="stable")
         seen = pdf.groupby("job_id", sort=False)["observed_us"].agg(["min", "max"])
         final = pdf[pdf["state"].isin(FINAL_STATES)].groupby("job_id", sort=False).first().reindex(seen.index)
+        final["state"] = final["state"].astype(object).where(final["state"].notna(), None)
         yield pd.DataFrame(
             {
                 "job_id": seen.index,
@@ -101,32 +102,31 @@ def _reduce_polls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _track(limit_us: int) -> Callable:
     def follow(key: tuple, polls: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            submitted, done = state.get
+        watermark = state.getCurrentWatermarkMs()
+        submitted, last, final_us, final_state, done = state.get if state.exists else (None, None, None, None, False)
+        if state.hasTimedOut and done:
             state.remove()
-            if not done:
-                yield pd.DataFrame([(key[0], submitted, "TIMEOUT")], columns=_OUTCOME_COLUMNS)
             return
-        seen = [row for pdf in polls for row in pdf[["first_us", "last_us", "final_us", "final_state"]].to_numpy()]
-        submitted, done = state.get if state.exists else (seen[0][0], False)
-        submitted = min(submitted, min(int(r[0]) for r in seen))
-        watermark = state.getCurrentWatermarkMs()
-        deadline = (submitted + limit_us) // 1000
+        for pdf in () if state.hasTimedOut else polls:
+            rows = pdf[["first_us", "last_us", "final_us", "final_state"]].itertuples(index=False, name=None)
+            for first, newest, ended, name in rows:
+                submitted = int(first) if submitted is None else min(submitted, int(first))
+                last = int(newest) if last is None else max(last, int(newest))
+                if isinstance(name, str) and (final_us is None or (int(ended), name) < (final_us, final_state)):
+                    final_us, final_state = int(ended), name
         if not done:
             # Ages count in whole seconds, as in the table form of this operator.
-            age = (max(int(r[1]) for r in seen) - submitted) // _SECOND
-            final = min(((int(r[2]), r[3]) for r in seen if r[3] is not None), default=None)
-            outcome = None
-            if final is not None and (final[0] - submitted) // _SECOND <= limit_us // _SECOND:
-                outcome = final[1]
-            elif age > limit_us // _SECOND or deadline <= watermark:
-                outcome = "TIMEOUT"
-            if outcome is not None:
-                done = True
+            in_time = final_us is not None and (final_us - submitted) // _SECOND <= limit_us // _SECOND
+            due = final_us if in_time else submitted + limit_us + _SECOND - 1
+            done = due < watermark * 1000  # polls up to then can no longer arrive
+            if done:
+                outcome = final_state if in_time else "TIMEOUT"
                 yield pd.DataFrame([(key[0], submitted, outcome)], columns=_OUTCOME_COLUMNS)
-        state.update((submitted, done))
-        # An ended job is remembered until its limit is past, so that late polls do not start it anew.
-        state.setTimeoutTimestamp(max(deadline, watermark + 1))
+        if done:
+            # An ended job is remembered until it is silent for its limit, so that later polls do not start it anew.
+            due = last + limit_us
+        state.update((submitted, last, final_us, final_state, done))
+        state.setTimeoutTimestamp(max(due // 1000, watermark + 1))
 
     return follow
 
@@ -134,9 +134,9 @@ def _track(limit_us: int) -> Callable:
 def job_tracker(status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS, late: str = "10 minutes") -> DataFrame:
     """Outcome of each job of a status stream (job_id, observed_at, state).
 
-    A job ends with its first final state within the limit, or with ``TIMEOUT`` when the limit has
-    passed in event time. Polls are reduced per job before the shuffle, and the state of a job is one
-    small row.
+    A job ends with its earliest final state within the limit, else with ``TIMEOUT``. The outcome is given once
+    the watermark has passed the time of that state or of the limit, so it does not depend on the order in which polls
+    arrive. Polls are reduced per job before the shuffle, and the state of a job is one small row.
     """
     tracked = (
         status.select("job_id", F.unix_micros("observed_at").alias("observed_us"), "state")

@@ -9,10 +9,10 @@ from scenetrail.functions import text as X
 from scenetrail.sources import manifests
 
 S2 = [
-    ("S2B_MSIL1C_20250329T000219_N0511_R030_T56JLQ_20250329T005127.zip", "t56jlq_20250329", "cfmsre_"),
-    ("S2A_MSIL1C_20241008T000219_N0511_R030_T55HDV_20241008T005127.zip", "t55hdv_20241008", "cemsre_"),
-    ("S2C_MSIL1C_20250211T000219_N0511_R030_T54HVH_20250211T005127.zip", "t54hvh_20250211", "cgmsre_"),
-    ("S2D_MSIL1C_20250211T000219_N0511_R030_T54HVH_20250211T005127.zip", "t54hvh_20250211", ""),
+    ("S2B_MSIL1C_20230704T093549_N0402_R117_T21KPQ_20230704T113046.zip", "t21kpq_20230704", "cfmsre_"),
+    ("S2A_MSIL1C_20220119T093401_N0402_R093_T33UVP_20220119T101010.zip", "t33uvp_20220119", "cemsre_"),
+    ("S2C_MSIL1C_20231130T093409_N0402_R136_T10SEG_20231130T120207.zip", "t10seg_20231130", "cgmsre_"),
+    ("S2D_MSIL1C_20231130T093409_N0402_R136_T10SEG_20231130T120207.zip", "t10seg_20231130", ""),
 ]
 
 
@@ -44,15 +44,15 @@ def test_unknown_mode_is_refused():
 
 
 def test_landsat(spark, rows):
-    names = ["LC09_L1TP_089079_20250114_x", "LC08_L1TP_089084_20250114_x", "LC09_L1GT_089079_20250114_x"]
+    names = ["LC09_L1TP_012031_20230209_x", "LC08_L1TP_012047_20230209_x", "LC09_L1GT_012031_20230209_x"]
     df = spark.createDataFrame([(n,) for n in names], "file_name string")
     got = rows(N.landsat_scenes(df, "file_name").select("scene_key"))
-    assert got == [("l8olre_p089r084_20250114",), ("l9olre_p089r079_20250114",)]
+    assert got == [("l8olre_p012r047_20230209",), ("l9olre_p012r031_20230209",)]
 
 
 def test_path_parts(spark):
-    p = F.lit("/a/b.c/cgmsre_t54hvh_20250211_abam4.tar.gz")
-    short = F.lit("cgmsre_t54hvh_20250211_abam4.img")
+    p = F.lit("/a/b.c/cgmsre_t10seg_20231130_abam4.tar.gz")
+    short = F.lit("cgmsre_t10seg_20231130_abam4.img")
     got = one(
         spark,
         base=N.basename(p),
@@ -73,8 +73,8 @@ def test_path_parts(spark):
         slot=N.slot_of(F.lit("batch.download_12")),
     ).asDict()
     assert got == {
-        "base": "cgmsre_t54hvh_20250211_abam4.tar.gz",
-        "stem": "cgmsre_t54hvh_20250211_abam4.tar",
+        "base": "cgmsre_t10seg_20231130_abam4.tar.gz",
+        "stem": "cgmsre_t10seg_20231130_abam4.tar",
         "ext": "gz",
         "hidden": ".profile",
         "bare": "plain",
@@ -84,8 +84,8 @@ def test_path_parts(spark):
         "by_name": "abam4",
         "step": "make-ref_abam4_img",
         "space": "_",
-        "fqn": "a.b.c.cgmsre_t54hvh_20250211_abam4_tar_gz",
-        "meta": "cgmsre_t54hvh_20250211_abam4.tar_metadata.json",
+        "fqn": "a.b.c.cgmsre_t10seg_20231130_abam4_tar_gz",
+        "meta": "cgmsre_t10seg_20231130_abam4.tar_metadata.json",
         "script": "job_1",
         "tiny": "",
         "slot": 12,

@@ -76,26 +76,29 @@ def test_raw_nodes_are_not_entered_and_a_space_is_a_script(spark, rows):
 
 
 def test_declared_edges(spark, rows):
-    one = [("1", "inlet", "A", "group_A"), ("1", "inlet", "X", "group_B"), ("1", "outlet", "B", "group_A"), ("1", "outlet", "Y", "group_B")]
-    two = [("2", "inlet", "X", "group_B"), ("2", "outlet", "B", "group_A"), ("2", "outlet", "Y", "group_B")]
-    df = spark.createDataFrame(one + two, "dag string, direction string, fqn string, key string")
+    wide = [("mosaic", "inlet", f"tile{i}", "north") for i in range(3)] + [("mosaic", "outlet", f"sheet{i}", "north") for i in range(2)]
+    rest = [("mosaic", "outlet", "sheet9", "south"), ("clip", "inlet", "sheet0", "north"), ("clip", "outlet", "cut", "north")]
+    df = spark.createDataFrame(wide + rest, "dag string, direction string, fqn string, key string")
     edges = lineage.declared_edges(df).select("dag", "from_fqn", "to_fqn")
-    assert rows(edges) == [("1", "A", "B"), ("1", "X", "Y"), ("2", "X", "Y")]
+    assert rows(edges) == [("clip", "sheet0", "cut")] + [("mosaic", f"tile{i}", f"sheet{j}") for i in range(3) for j in range(2)]
     alone = lineage.declared_groups(df).filter("n_inlets = 0")
-    assert rows(alone.select("dag", "key")) == [("2", "group_A")]
+    assert rows(alone.select("dag", "key")) == [("mosaic", "south")]
 
 
 def test_inherited_inlets(spark, rows):
     edges = spark.createDataFrame(
-        [("d", p, c) for p, c in (("leave1", "u1"), ("leave2", "u1"), ("u1", "u2"), ("u2", "u3"))], "dag string, parent string, child string"
+        [("d", p, c) for p, c in (("fetch", "clip"), ("clip", "warp"), ("clip", "mask"), ("warp", "join"), ("mask", "join"))],
+        "dag string, parent string, child string",
     )
-    outlets = spark.createDataFrame([("d", "leave1", "file2"), ("d", "u1", "file3")], "dag string, task string, url string")
-    auto = lineage.auto_inlets(edges, outlets, spark.createDataFrame([("d", "u1")], "dag string, task string"))
-    assert rows(auto) == [("d", "u1", "file2")]
-    refs = spark.createDataFrame([("d", "u3", "leave1"), ("d", "u3", "u1"), ("d", "leave2", "u1")], "dag string, task string, ref string")
+    outlets = spark.createDataFrame(
+        [("d", "fetch", "raw"), ("d", "warp", "grid"), ("d", "mask", "cloud"), ("d", "mask", "shadow")], "dag string, task string, url string"
+    )
+    auto = lineage.auto_inlets(edges, outlets, spark.createDataFrame([("d", "join"), ("d", "warp")], "dag string, task string"))
+    assert rows(auto) == [("d", "join", "cloud"), ("d", "join", "grid"), ("d", "join", "shadow")]
+    refs = spark.createDataFrame([("d", "join", "fetch"), ("d", "join", "mask"), ("d", "mask", "warp")], "dag string, task string, ref string")
     start = refs.select("dag", F.col("task").alias("node")).distinct()
     named = lineage.named_inlets(refs, graph.ancestors(edges, start, ["dag"]), outlets)
-    assert rows(named) == [("d", "u3", "file2"), ("d", "u3", "file3")]
+    assert rows(named) == [("d", "join", "cloud"), ("d", "join", "raw"), ("d", "join", "shadow")]
 
 
 def test_graph_cases(spark, rows):
@@ -214,6 +217,35 @@ def test_stage_inputs(spark):
     assert sentinel == {(3, 4), (3, 5)}
 
 
+def test_slots_of_a_null_group_and_a_large_take(spark, rows):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 3), ("g", 4)], "g string, i int")
+    assert rows(slots.assign_slots(df, "i", 2, ["i"], ["g"])) == [("g", 0, 4), ("g", 1, None), (None, 0, 1), (None, 1, 2)]
+    assert rows(slots.slot_overflow(df, 2, ["i"], ["g"])) == [(None, 3)]
+    hot = spark.range(20000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"), F.col("id").alias("i"))
+    got = slots.take(hot, 2500, ["i"], ["g"]).groupBy("g").agg(F.count("*").alias("n"), F.max("idx").alias("last"), F.max("i").alias("i"))
+    assert rows(got.select("g", "n", "last", "i")) == [("cold", 2500, 2499, 7497), ("hot", 2500, 2499, 3749)]
+
+
+def test_sentinel_inputs(spark, rows):
+    files = [("s", "ab0", "b"), ("s", "ab0", "a"), ("s", "aba", "c"), ("t", "abb", "d")]
+    df = spark.createDataFrame([(k, "re", c, n) for k, c, n in files], "scene_key string, family string, code string, file_name string")
+    got = rows(stages.stage_input_files(df, "sentinel").select("scene_key", "stage_no", "code", "file_name"))
+    assert [r[1:] for r in got if r[0] == "s"] == [
+        (1, "ab0", "a"), (2, "ab0", "a"), (2, "ab0", "b"), (3, "ab0", "a"), (3, "ab0", "b"), (4, "aba", "c"), (4, "abb", None), (5, "aba", "c"),
+    ]
+    assert [r[1:] for r in got if r[0] == "t" and r[1] == 2] == [(2, "ab0", None)]
+    assert all(r.ready for r in stages.resolve_stage_inputs(df, "sentinel").collect())
+
+
+def test_readiness_of_roots_and_unstarted_runs(spark, rows):
+    edges = spark.createDataFrame([("d", "a", "b")], "dag string, parent string, child string")
+    states = [("d", "a", 1, "success"), ("d", "lone", 2, None)]
+    task_runs = spark.createDataFrame(states, "dag string, task string, logical_ts int, state string")
+    rules = spark.createDataFrame([], "dag string, task string, trigger_rule string")
+    got = rows(runs.readiness(edges, task_runs, rules).select("task", "logical_ts", "ready"))
+    assert got == [("a", 1, True), ("a", 2, True), ("b", 1, True), ("b", 2, False), ("lone", 1, True), ("lone", 2, True)]
+
+
 def test_run_state(spark, rows):
     edges = [("fail", "a", "b"), ("allfail", "a", "b"), ("block", "a", "b")]
     states = [
@@ -242,14 +274,14 @@ def test_depends_on_past(spark, rows):
 
 
 def test_reports(spark, rows):
-    centre = [("2022-01-01", "Dog", "Bingo", 4), ("2022-02-02", "Cat", "Bob", 7), ("2022-03-04", "Fish", "Bubbles", 2)]
-    schema = "date date, type string, name string, age int"
-    a = tables.values(spark, centre, schema)
-    b = tables.values(spark, centre[:1] * 2 + [("2022-05-05", None, "Max", 1)], schema)
+    base = [("2031-06-01", "buoy", 12.5), ("2031-06-01", "mast", 3.0), ("2031-06-02", "buoy", 8.0), ("2031-06-09", "drone", 0.5)]
+    schema = "date date, type string, depth double"
+    a = tables.values(spark, base, schema)
+    b = tables.values(spark, base[1:2] * 3 + [("2031-06-02", "buoy", 9.0), ("2031-06-30", None, 1.0)], schema)
     both = reports.combine(a, b)
-    assert both.count() == 4
-    counts = {r.type: r.number for r in reports.count_by(both, ["date", "type"], "type").collect()}
-    assert counts == {"Dog": 1, "Cat": 1, "Fish": 1, None: 0}
+    assert both.count() == 6
+    counts = {(r.date.day, r.type): r.number for r in reports.count_by(both, ["date", "type"], "type").collect()}
+    assert counts == {(1, "buoy"): 1, (1, "mast"): 1, (2, "buoy"): 2, (9, "drone"): 1, (30, None): 0}
     empty = spark.createDataFrame([], "value int")
     assert reports.total(empty, "value").first().total is None and reports.mean(empty, "value").first()["mean"] is None
     busy = spark.createDataFrame([("running" if i % 2 else "queued", "q") for i in range(17)] + [("success", "q")], "state string, queue string")
@@ -271,7 +303,7 @@ def test_catalog(spark, rows):
 def test_job_output_in_chunks(spark):
     lines = [("j", "out", i, f"line {i}") for i in range(2500)] + [("j", "err", 0, "bad"), ("k", "out", 0, "x"), ("k", "err", 0, "")]
     df = spark.createDataFrame(lines, "job_id string, stream string, line_no int, line string").repartition(4)
-    chunks = [r for r in jobs.collect_output(df).collect() if r.job_id == "j" and r.stream == "out"]
+    chunks = [r for r in jobs.collect_output(df, 1000).collect() if r.job_id == "j" and r.stream == "out"]
     whole = "\n".join(c.text for c in sorted(chunks, key=lambda c: c.chunk_no))
     assert len(chunks) == 3 and whole == "\n".join(f"line {i}" for i in range(2500))
     failed = {r.job_id: r.failed for r in jobs.job_outcome(df).collect()}
