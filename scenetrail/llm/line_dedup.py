@@ -318,7 +318,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line")
     worded = lines.filter("line > 0")
     some = F.col("bits").isNotNull()
-    sets = worded.groupBy("k1", "k2").agg(
+    # Tasks have sent each set about once, so rows are brought together before they are sorted and not also after.
+    sets = worded.repartition("k1", "k2").groupBy("k1", "k2").agg(
         F.min(place).alias("first"),
         F.first("n").alias("n"),
         F.first("bits", ignorenulls=True).alias("bits"),
