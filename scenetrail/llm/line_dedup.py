@@ -280,12 +280,13 @@ def _prefix_pairs(sets: DataFrame, gone: DataFrame, similarity: float, slices: i
 
 
 def _slice_pairs(flagged: DataFrame, similarity: float, k: int, slices: int) -> DataFrame:
-    posts = flagged.select("k1", "bits", "more", "info", F.posexplode("prefix").alias("at", "token"))
-    posts = posts.filter(F.pmod("token", F.lit(slices)) == k).select("token", "k1", "bits", "more", (F.col("info") + F.col("at")).alias("info"))
-    size, at, _ = _unpacked(F.col("info"))
-    indexed = at <= size - F.ceil(size * F.lit(2 * similarity / (1 + similarity)) - F.lit(1e-9))
-    x = posts.filter(indexed).select("token", *[F.col(c).alias(f"x_{c}") for c in ("k1", "bits", "more", "info")])
-    y = posts.select("token", *[F.col(c).alias(f"y_{c}") for c in ("k1", "bits", "more", "info")])
+    """Sets meet by a token and a class of sizes: the smaller is posted to every class that its partners may have."""
+    size, _, _ = _unpacked(F.col("info"))
+    largest = F.floor(size / F.lit(similarity) + F.lit(1e-9))
+    x = _postings(flagged.withColumn("class", F.explode(F.sequence(_size_class(size), _size_class(largest)))), "x", k, slices)
+    y = _postings(flagged.withColumn("class", _size_class(size)), "y", k, slices)
+    size, at, _ = _unpacked(F.col("x_info"))
+    x = x.filter(at <= size - F.ceil(size * F.lit(2 * similarity / (1 + similarity)) - F.lit(1e-9)))
     (n, x_at, x_gone), (m, y_at, y_gone) = _unpacked(F.col("x_info")), _unpacked(F.col("y_info"))
     need = _need(n, m, similarity)
     condition = (
@@ -299,6 +300,18 @@ def _slice_pairs(flagged: DataFrame, similarity: float, k: int, slices: int) ->
     return y.join(x, condition).select(F.col("x_k1").alias("a"), F.col("y_k1").alias("b")).distinct()
 
 
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log2(size)).cast("int")
+
+
+def _postings(sets: DataFrame, side: str, k: int, slices: int) -> DataFrame:
+    """The postings of slice ``k``: the token, mixed with the class of sizes, and what the filters need."""
+    posts = sets.select("k1", "bits", "more", "info", "class", F.posexplode("prefix").alias("at", "token"))
+    posts = posts.filter(F.pmod("token", F.lit(slices)) == k).withColumn("info", F.col("info") + F.col("at"))
+    meet = F.col("token").bitwiseXOR(F.shiftleft("class", 26))
+    return posts.select(meet.alias("token"), *[F.col(c).alias(f"{side}_{c}") for c in ("k1", "bits", "more", "info")])
+
+
 def _unpacked(info: Column) -> tuple[Column, Column, Column]:
     return F.shiftright(info, 32), info.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(info, 31).bitwiseAND(F.lit(1))
 
