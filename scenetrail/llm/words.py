@@ -23,6 +23,11 @@ LOWER = np.where((_bytes >= 65) & (_bytes <= 90), _bytes + 32, _bytes).astype(np
 IS_WORD = ((_bytes >= 48) & (_bytes <= 57)) | ((LOWER >= 97) & (LOWER <= 122)) | (_bytes >= 128)
 
 
+def mapped(raw: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The one-byte value of each byte; much faster than to index by the bytes, which numpy widens first."""
+    return np.frombuffer(raw.tobytes().translate(values.tobytes()), values.dtype)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit over the output."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -88,7 +93,7 @@ def words_of(raw: np.ndarray, ends: np.ndarray, hashes: bool = True) -> Words:
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, none.astype(np.uint64), none, np.zeros(n_docs + 1, np.int64))
-    inside = IS_WORD[raw]
+    inside = mapped(raw, IS_WORD)
     before = np.empty(n, bool)
     before[0], before[1:] = False, inside[:-1]
     border = ends[:-1][ends[:-1] < n]
@@ -101,7 +106,7 @@ def words_of(raw: np.ndarray, ends: np.ndarray, hashes: bool = True) -> Words:
     end = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(start, ends)
     doc = np.repeat(np.arange(n_docs), np.diff(first))
-    return Words(start, end, segment_hash(LOWER[raw], start, end) if hashes else start.astype(np.uint64), doc, first)
+    return Words(start, end, segment_hash(mapped(raw, LOWER), start, end) if hashes else start.astype(np.uint64), doc, first)
 
 
 def segment_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
