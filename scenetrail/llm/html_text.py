@@ -29,6 +29,8 @@ DROPPED = frozenset(
     "head title script style noscript template nav footer aside form button select textarea input label fieldset iframe object embed "
     "svg math canvas audio video menu dialog search".split()
 )
+# What may stand in a head; anything else ends it, because its end tag can be left out.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CONTAINERS = frozenset("html body main article section div td blockquote".split())
 INLINE_GAPS = frozenset("br td th img wbr".split()) - {"wbr"}
 # An open one of these ends where the same, or one of its group, begins.
@@ -74,7 +76,20 @@ class PageBlocks(HTMLParser):
     def _state_at(self, at: int) -> bool:
         return self.open[at - 1][2] if at else False
 
+    def _end_head(self, tag: str) -> None:
+        """End an open head, and what is open in it, where an element begins that may not stand in it.
+
+        A noscript or template in a head may hold any element; only a body ends these too.
+        """
+        names = [name for name, _, _ in self.open]
+        if "head" in names and tag not in HEAD:
+            at = names.index("head")
+            if tag == "body" or not {"noscript", "template"}.intersection(names[at:]):
+                self._close(at)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self._state()[1]:
+            self._end_head(tag)
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][0]
             if tag in CLOSED_BY.get(name, ()):
@@ -123,6 +138,8 @@ class PageBlocks(HTMLParser):
             self.finish_block()
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip(" \t\n\f\r"):
+            self._close(len(self.open) - 1)
         self.text.append(data)
 
     def ended(self) -> list[tuple[str, int, int, bool]]:

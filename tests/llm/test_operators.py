@@ -276,6 +276,17 @@ def test_html_text(spark):
     assert html_text.main_text("<div>" * 3000 + "deep" + "</div>" * 2999) == "deep"
 
 
+def test_html_text_open_head():
+    """The end tag of a head may be left out."""
+    text = html_text.main_text
+    assert text("<html><head><title>x</title><body><article><p>Text</p></article>") == "Text"
+    assert text("<html><head><title>x</title><meta charset=utf-8><article><p>Text</p></article>") == "Text"
+    assert text("<head><title>x</title>Text without an element") == "Text without an element"
+    assert text("<head><noscript><div>Switch it on</div></noscript><style>p{}</style><p>Text</p>") == "Text"
+    assert text("<head><noscript><link href=x><body><p>Text</p>") == "Text"
+    assert text("<head><title>x</title></head><body><p>Text</p>") == "Text"
+
+
 def _order(row):
     return (row[0] is None, row[0] if row[0] is not None else 0)
 
