@@ -3,7 +3,8 @@
 The standard library's parser gives events; text is gathered into blocks (lines). Each block has its text-to-tag
 ratio, the ratios of a page are smoothed by a Gaussian, and blocks above a threshold form clusters. The clusters say
 which container holds the article; all blocks of that container belong to it, short ones too, except those inside
-elements that are never article text (menus, forms, notices, adverts, comments and so on).
+elements that are never article text (menus, forms, notices, adverts, comments and so on). A form, or an element whose
+class, id or role only says so, stays where it is, or holds, the article or most of the text of the clusters.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody tfoot thead tr ul".split()
 )
 DROPPED = frozenset(
-    "head title script style noscript template nav footer aside form button select textarea input label fieldset iframe object embed "
+    "head title script style noscript template nav footer aside button select textarea input label fieldset iframe object embed "
     "svg math canvas audio video menu dialog search".split()
 )
 # What may stand in a head; anything else ends it, because its end tag can be left out.
@@ -36,52 +37,72 @@ INLINE_GAPS = frozenset("br td th img wbr".split()) - {"wbr"}
 # An open one of these ends where the same, or one of its group, begins.
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
-# Words in a class, an id or a role that mark an element as no article text.
-_MARKS = (
-    "ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr "
-    "notice notices alert popup modal overlay sidebar side-bar rail nav navbar navigation menu breadcrumb breadcrumbs toolbar pagination pager "
-    "header masthead footer comment comments commentlist comment-list respond replies disqus related recommended share sharing social "
-    "newsletter subscribe subscription signup login search widget widgets skip contentinfo complementary"
+# Names in a class, an id or a role that mark an element as no article text; whole names count, not their parts.
+_SURE_TOPICS = "comment comments ad ads advert adverts advertisement advertising cookie cookies cookie-consent gdpr consent".split()
+_TOPICS = (
+    "sponsor sponsored promo promotion banner sidebar rail nav navbar navigation menu toolbar breadcrumb breadcrumbs pagination related recommended share sharing social newsletter subscribe subscription "
+    "signup login search popup modal"
 ).split()
-_MARKED = re.compile(r"(?:^|[\s_-])(?:" + "|".join(map(re.escape, _MARKS)) + r")(?:$|[\s_-])", re.I)
+_PARTS = "area banner bar block box buttons container form icons links list menu message notice overlay panel popup section unit widget wrap wrapper".split()
+SURE = (  # said of no article: comments, adverts, cookies
+    frozenset(_SURE_TOPICS)
+    | {f"{topic}-{part}" for topic in _SURE_TOPICS for part in _PARTS}
+    | frozenset("commentlist post-comments respond replies disqus disqus-thread advertorial adsbygoogle ad-slot".split())
+)
+MARKS = (
+    SURE
+    | frozenset(_TOPICS)
+    | {f"{topic}-{part}" for topic in _TOPICS for part in _PARTS}
+    | frozenset(
+        "promoted notice notices alert overlay side-bar left-sidebar right-sidebar primary-sidebar secondary-sidebar "
+        "main-nav site-nav top-nav primary-nav main-navigation site-navigation primary-navigation main-menu primary-menu nav-links pager header masthead "
+        "site-header footer site-footer page-footer related-posts related-articles recommended-posts share-this social-share widget widgets widget-area "
+        "skip skip-link contentinfo complementary".split()
+    )
+)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class PageBlocks(HTMLParser):
-    """Blocks of a page: (text, tags in it, container number, whether it may be article text)."""
+    """Blocks of a page: (text, tags in it, container number, innermost mark) without those that are never article text.
+
+    A mark is an open form, or an element marked by its names; whether its text goes is told at the end of the page.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # element, container number, dropped
-        self.blocks: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, int, bool, int]] = []  # element, container number, dropped, mark number
+        self.blocks: list[tuple[str, int, int, int]] = []
         self.parents: list[tuple[int, str]] = [(0, "")]  # of each container: its parent, its element
+        self.marks: list[tuple[int, str]] = [(0, "")]  # of each mark: the one around it, its kind
+        self.titled: list[int] = []  # the innermost mark of each top heading
+        self.articles: list[tuple[int, int]] = []  # of each article or main: its container, its innermost mark
         self.text: list[str] = []
         self.tags = 0
 
-    def _state(self) -> tuple[int, bool]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (0, False)
+    def _state(self) -> tuple[int, bool, int]:
+        return self.open[-1][1:] if self.open else (0, False, 0)
 
     def finish_block(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            container, dropped = self._state()
-            self.blocks.append((text, self.tags, container, not dropped))
+            container, dropped, mark = self._state()
+            if not dropped:
+                self.blocks.append((text, self.tags, container, mark))
         self.text, self.tags = [], 0
 
     def _close(self, at: int) -> None:
-        if any(name in BLOCKS or drop != outer for (name, _, drop), outer in zip(self.open[at:], [self._state_at(at), *(o[2] for o in self.open[at:])])):
+        outer = self.open[at - 1][2:] if at else (False, 0)
+        if self.open[-1][2:] != outer or any(name in BLOCKS for name, *_ in self.open[at:]):
             self.finish_block()
         del self.open[at:]
 
-    def _state_at(self, at: int) -> bool:
-        return self.open[at - 1][2] if at else False
-
     def _end_head(self, tag: str) -> None:
         """End an open head, and what is open in it, where an element begins that may not stand in it.
 
         A noscript or template in a head may hold any element; only a body ends these too.
         """
-        names = [name for name, _, _ in self.open]
+        names = [name for name, *_ in self.open]
         if "head" in names and tag not in HEAD:
             at = names.index("head")
             if tag == "body" or not {"noscript", "template"}.intersection(names[at:]):
@@ -104,14 +125,26 @@ class PageBlocks(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        container, dropped = self._state()
-        drop = dropped or self._drops(tag, dict(attrs))
-        if drop and not dropped:
+        container, dropped, mark = self._state()
+        names = dict(attrs)
+        drop = dropped or self._drops(tag, names)
+        kind = "" if drop else self._kind(tag, names)
+        if drop and not dropped or kind:
             self.finish_block()
+        if kind:
+            self.marks.append((mark, kind))
+            mark = len(self.marks) - 1
         if tag in CONTAINERS:
             self.parents.append((container, tag))
             container = len(self.parents) - 1
-        self.open.append((tag, container, drop))
+        if tag == "h1" and not drop:
+            self.titled.append(mark)
+        elif tag in ("article", "main") and not drop:
+            self.articles.append((container, mark))
+        self.open.append((tag, container, drop, mark))
+
+    def _in_article(self) -> bool:
+        return any(name in ("article", "main") for name, *_ in self.open)
 
     def _drops(self, tag: str, attrs: dict) -> bool:
         if tag in DROPPED:
@@ -119,11 +152,18 @@ class PageBlocks(HTMLParser):
         if tag in ("html", "body", "main"):
             return False
         if tag == "header":
-            return not any(name in ("article", "main") for name, _, _ in self.open)
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style") or ""):
-            return True
-        marks = " ".join(attrs.get(k) or "" for k in ("class", "id", "role"))
-        return bool(marks and _MARKED.search(marks))
+            return not self._in_article()
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style") or ""))
+
+    def _kind(self, tag: str, attrs: dict) -> str:
+        """Of the mark that begins with an element: sure, likely, or none."""
+        if tag in ("html", "body", "main", "header"):
+            return ""
+        names = {n for k in ("class", "id", "role") for n in (attrs.get(k) or "").lower().replace("_", "-").split()}
+        if names & SURE:
+            return "sure"
+        names &= MARKS
+        return "likely" if tag == "form" or names - {"header"} or names and not self._in_article() else ""
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a slash closes nothing in HTML
@@ -142,7 +182,7 @@ class PageBlocks(HTMLParser):
             self._close(len(self.open) - 1)
         self.text.append(data)
 
-    def ended(self) -> list[tuple[str, int, int, bool]]:
+    def ended(self) -> list[tuple[str, int, int, int]]:
         self.close()
         self.finish_block()
         return self.blocks
@@ -156,24 +196,69 @@ def smoothed(ratio: np.ndarray, width: float = 1.0) -> np.ndarray:
     return np.convolve(ratio, kernel, "full")[reach : reach + len(ratio)] / weight
 
 
+def cluster_weights(blocks: list[tuple[str, int, int, int]]) -> np.ndarray:
+    """Characters of each block that is in a cluster, 0 for the others."""
+    ratio = np.array([len(text) / max(tags, 1) for text, tags, _, _ in blocks])
+    smooth = smoothed(ratio)
+    chosen = smooth >= min(smooth.std(), smooth.mean())  # the usual threshold, never above the mean
+    return np.array([len(text) for text, _, _, _ in blocks]) * chosen
+
+
 def main_text(html: str | None) -> str:
     """Text of the article, one line a block; empty for a null, an empty page and a page without one."""
     if not html:
         return ""
     page = PageBlocks()
     page.feed(html)
-    blocks = [b for b in page.ended() if b[3]]
+    blocks = page.ended()
     if not blocks:
         return ""
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _, _ in blocks])
-    smooth = smoothed(ratio)
-    chosen = smooth >= min(smooth.std(), smooth.mean())  # the usual threshold, never above the mean
-    weight = np.array([len(text) for text, _, _, _ in blocks]) * chosen
-    root = _article(page.parents, [c for _, _, c, _ in blocks], weight)
+    if any(mark for _, _, _, mark in blocks):
+        gone = _gone(page, blocks)
+        blocks = [b for b in blocks if not gone.intersection(_above(page.marks, b[3]))]
+    root = _article(page.parents, [c for _, _, c, _ in blocks], cluster_weights(blocks))
     inside = [_within(page.parents, c, root) for _, _, c, _ in blocks]
     return "\n".join(text for (text, _, _, _), here in zip(blocks, inside) if here)
 
 
+def _gone(page: PageBlocks, blocks: list[tuple[str, int, int, int]]) -> set[int]:
+    """The marks whose text goes.
+
+    A likely mark stays if it holds most of the text of the clusters, or is or holds the article: the article element with
+    most of that text, a quarter at least. A sure one must hold most of that text and, besides, all top headings or, directly,
+    all articles of the page. Marks stay if no cluster would be left without them.
+    """
+    weight = cluster_weights(blocks)
+    above = [set(_above(page.marks, mark)) for _, _, _, mark in blocks]
+
+    def held(skipped: set[int]) -> np.ndarray:
+        found = np.zeros(len(page.marks))
+        for marks, w in zip(above, weight):
+            if not marks & skipped:
+                found[[0, *marks]] += w
+        return found
+
+    share = held(set())
+    titles = [set(_above(page.marks, mark)) for mark in page.titled]
+    sure = set()
+    for m in range(1, len(page.marks)):
+        told = page.titled and all(m in t for t in titles) or page.articles and all(mark == m for _, mark in page.articles)
+        if page.marks[m][1] == "sure" and not (share[m] == share[0] or told and share[m] > 0.5 * share[0]):
+            sure.add(m)
+    share = held(sure)
+    if not share[0]:
+        return set()
+    text = np.zeros(len(page.parents))
+    for (_, _, container, _), marks, w in zip(blocks, above, weight):
+        if not marks & sure:
+            for c in _above(page.parents, container):
+                text[c] += w
+    articles = [(text[c], -c, mark) for c, mark in page.articles if page.parents[c][1] == "article" and text[c] >= 0.25 * share[0]]
+    spared = set(_above(page.marks, max(articles)[2])) if articles else set()
+    likely = {m for m in range(1, len(page.marks)) if page.marks[m][1] == "likely" and m not in spared and share[m] <= 0.5 * share[0]}
+    return sure | likely if held(sure | likely)[0] else sure
+
+
 def _above(parents: list[tuple[int, str]], container: int) -> Iterator[int]:
     while container:
         yield container

@@ -287,6 +287,35 @@ def test_html_text_open_head():
     assert text("<head><title>x</title></head><body><p>Text</p>") == "Text"
 
 
+LONG = "A sentence of the article that is long enough to be counted as text of a cluster."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='elementor-widget elementor-widget-text-editor'><p>{0}</p></div>",
+        "<div class='elementor widget'><p>{0}</p></div>",
+        "<article class='post tag-social'><p>{0}</p></article>",
+        "<article class='post social'><p>{0}</p></article>",
+        "<div id='content' class='has-sidebar'><p>{0}</p></div>",
+        "<div id='content' class='no-sidebar'><p>{0}</p></div>",
+        "<form id='aspnetForm'><input type=hidden><div class='content'><p>{0}</p></div><div class='comments'><p>{0} {0} Mine.</p></div></form>",
+        "<div class='modal'><article><p>{0}</p></article></div><div class='cookie_notice'><p>{0} {0} {0} We use cookies.</p></div>",
+        "<div class='ad'><p>{0}</p></div>",
+        "<div class='widget'><p>{0}</p></div><div class='Share Buttons' id='share-buttons'><p>Share this page</p></div>",
+        "<div class='content'><p>{0}</p></div><form><p>Your mail, please</p></form><div class='related'><article><p>Read on</p></article></div>",
+    ],
+)
+def test_html_text_marks(page):
+    """Parts of names mark nothing, and no mark takes the article."""
+    assert html_text.main_text("<body>" + page.format(LONG) + "</body>") == LONG
+
+
+def test_html_text_entry_header():
+    page = "<body><article><div class='entry-header'><h1>Title</h1></div><div class='header'>By me</div><p>" + LONG + "</p><div class='ad'>Buy</div></article></body>"
+    assert html_text.main_text(page) == "Title\nBy me\n" + LONG
+
+
 def _order(row):
     return (row[0] is None, row[0] if row[0] is not None else 0)
 
