@@ -1,16 +1,17 @@
 """Main text of web pages.
 
 The standard library's parser gives events; text is gathered into blocks (lines). Each block has its text-to-tag
-ratio, the ratios of a page are smoothed by a Gaussian, and blocks above a threshold form clusters. The clusters say
-which container holds the article; all blocks of that container belong to it, short ones too, except those inside
-elements that are never article text (menus, forms, notices, adverts, comments and so on). A form, or an element whose
-class, id or role only says so, stays where it is, or holds, the article or most of the text of the clusters.
+ratio, the ratios of a page are smoothed by a Gaussian, and blocks above a threshold form clusters. Main, or else the
+innermost container, that holds all clusters, with the headings and paragraphs beside it, holds the article; all its
+blocks belong to it, short ones too, except those inside elements that are never article text (menus, forms, notices,
+adverts, comments and so on). A form, or an element whose class, id or role only says so, stays where it is, or holds,
+the article or most of the text of the clusters.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,6 +33,7 @@ DROPPED = frozenset(
 )
 # What may stand in a head; anything else ends it, because its end tag can be left out.
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("html body main article section div td blockquote".split())
 INLINE_GAPS = frozenset("br td th img wbr".split()) - {"wbr"}
 # An open one of these ends where the same, or one of its group, begins.
@@ -64,7 +66,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class PageBlocks(HTMLParser):
-    """Blocks of a page: (text, tags in it, container number, innermost mark) without those that are never article text.
+    """Blocks of a page: (text, tags in it, container number, innermost mark, element if a paragraph or heading) without those that are never article text.
 
     A mark is an open form, or an element marked by its names; whether its text goes is told at the end of the page.
     """
@@ -72,7 +74,7 @@ class PageBlocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool, int]] = []  # element, container number, dropped, mark number
-        self.blocks: list[tuple[str, int, int, int]] = []
+        self.blocks: list[tuple[str, int, int, int, str]] = []
         self.parents: list[tuple[int, str]] = [(0, "")]  # of each container: its parent, its element
         self.marks: list[tuple[int, str]] = [(0, "")]  # of each mark: the one around it, its kind
         self.titled: list[int] = []  # the innermost mark of each top heading
@@ -88,9 +90,18 @@ class PageBlocks(HTMLParser):
         if text:
             container, dropped, mark = self._state()
             if not dropped:
-                self.blocks.append((text, self.tags, container, mark))
+                self.blocks.append((text, self.tags, container, mark, self._prose()))
         self.text, self.tags = [], 0
 
+    def _prose(self) -> str:
+        """The open paragraph or heading of the innermost container."""
+        for name, *_ in reversed(self.open):
+            if name in PROSE:
+                return name
+            if name in CONTAINERS:
+                break
+        return ""
+
     def _close(self, at: int) -> None:
         outer = self.open[at - 1][2:] if at else (False, 0)
         if self.open[-1][2:] != outer or any(name in BLOCKS for name, *_ in self.open[at:]):
@@ -182,7 +193,7 @@ class PageBlocks(HTMLParser):
             self._close(len(self.open) - 1)
         self.text.append(data)
 
-    def ended(self) -> list[tuple[str, int, int, int]]:
+    def ended(self) -> list[tuple[str, int, int, int, str]]:
         self.close()
         self.finish_block()
         return self.blocks
@@ -196,12 +207,12 @@ def smoothed(ratio: np.ndarray, width: float = 1.0) -> np.ndarray:
     return np.convolve(ratio, kernel, "full")[reach : reach + len(ratio)] / weight
 
 
-def cluster_weights(blocks: list[tuple[str, int, int, int]]) -> np.ndarray:
+def cluster_weights(blocks: list[tuple[str, int, int, int, str]]) -> np.ndarray:
     """Characters of each block that is in a cluster, 0 for the others."""
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _, _ in blocks])
+    ratio = np.array([len(text) / max(tags, 1) for text, tags, *_ in blocks])
     smooth = smoothed(ratio)
     chosen = smooth >= min(smooth.std(), smooth.mean())  # the usual threshold, never above the mean
-    return np.array([len(text) for text, _, _, _ in blocks]) * chosen
+    return np.array([len(text) for text, *_ in blocks]) * chosen
 
 
 def main_text(html: str | None) -> str:
@@ -213,15 +224,14 @@ def main_text(html: str | None) -> str:
     blocks = page.ended()
     if not blocks:
         return ""
-    if any(mark for _, _, _, mark in blocks):
+    if any(b[3] for b in blocks):
         gone = _gone(page, blocks)
         blocks = [b for b in blocks if not gone.intersection(_above(page.marks, b[3]))]
-    root = _article(page.parents, [c for _, _, c, _ in blocks], cluster_weights(blocks))
-    inside = [_within(page.parents, c, root) for _, _, c, _ in blocks]
-    return "\n".join(text for (text, _, _, _), here in zip(blocks, inside) if here)
+    root = _article(page.parents, blocks)
+    return "\n".join(b[0] for b in blocks if _within(page.parents, b[2], root))
 
 
-def _gone(page: PageBlocks, blocks: list[tuple[str, int, int, int]]) -> set[int]:
+def _gone(page: PageBlocks, blocks: list[tuple[str, int, int, int, str]]) -> set[int]:
     """The marks whose text goes.
 
     A likely mark stays if it holds most of the text of the clusters, or is or holds the article: the article element with
@@ -229,7 +239,7 @@ def _gone(page: PageBlocks, blocks: list[tuple[str, int, int, int]]) -> set[int]
     all articles of the page. Marks stay if no cluster would be left without them.
     """
     weight = cluster_weights(blocks)
-    above = [set(_above(page.marks, mark)) for _, _, _, mark in blocks]
+    above = [set(_above(page.marks, mark)) for _, _, _, mark, _ in blocks]
 
     def held(skipped: set[int]) -> np.ndarray:
         found = np.zeros(len(page.marks))
@@ -249,7 +259,7 @@ def _gone(page: PageBlocks, blocks: list[tuple[str, int, int, int]]) -> set[int]
     if not share[0]:
         return set()
     text = np.zeros(len(page.parents))
-    for (_, _, container, _), marks, w in zip(blocks, above, weight):
+    for (_, _, container, *_), marks, w in zip(blocks, above, weight):
         if not marks & sure:
             for c in _above(page.parents, container):
                 text[c] += w
@@ -269,20 +279,36 @@ def _within(parents: list[tuple[int, str]], container: int, root: int) -> bool:
     return root == 0 or root in _above(parents, container)
 
 
-def _article(parents: list[tuple[int, str]], containers: list[int], weight: np.ndarray) -> int:
-    """The container of the article: the innermost that holds most of the text of the clusters.
+def _innermost(parents: list[tuple[int, str]], containers: Iterable[int]) -> int:
+    """The innermost container that holds all of some containers."""
+    common = None
+    for c in set(containers):
+        above = set(_above(parents, c))
+        common = above if common is None else common & above
+    return max(common or (), default=0)
+
+
+def _article(parents: list[tuple[int, str]], blocks: list[tuple[str, int, int, int, str]]) -> int:
+    """The container of the article: main if it holds all clusters, else the innermost container that does.
 
-    An article or main element wins if it holds half of that text, else the container must hold nine tenths.
+    Without a top heading in it, those of the page count as clusters. Where headings or paragraphs stand directly beside
+    a container that is no article, the container around it is taken.
     """
-    held = np.zeros(len(parents))
-    for container, w in zip(containers, weight):
-        for c in _above(parents, container):
-            held[c] += w
-    total = weight.sum()
-    named = [c for c in range(1, len(parents)) if parents[c][1] in ("article", "main") and held[c] >= 0.5 * total]
-    if named:
-        return max(c for c in named if parents[c][1] == "article") if any(parents[c][1] == "article" for c in named) else max(named)
-    return max((c for c in range(1, len(parents)) if held[c] >= 0.9 * total), default=0)
+    clusters = [b[2] for b, w in zip(blocks, cluster_weights(blocks)) if w]
+    root = _innermost(parents, clusters)
+    mains = [c for c in _above(parents, root) if parents[c][1] == "main"]
+    if mains:
+        return min(mains)
+    titles = [b[2] for b in blocks if b[4] == "h1"]
+    if not any(_within(parents, c, root) for c in titles):
+        root = _innermost(parents, [root, *titles])
+    beside = {b[2] for b in blocks if b[4]}
+    for c in list(_above(parents, root)):
+        if parents[c][1] == "article":
+            break
+        if parents[c][0] in beside:
+            root = parents[c][0]
+    return root
 
 
 def extract(html: Column | str) -> Column:

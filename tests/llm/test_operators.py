@@ -316,6 +316,24 @@ def test_html_text_entry_header():
     assert html_text.main_text(page) == "Title\nBy me\n" + LONG
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<main><h1>Title</h1><article><p>{0}</p></article></main>", "Title\n{0}"),
+        ("<main><article><p>{0} {0} {0}</p></article><article><p>{0} {0}</p></article></main>", "{0} {0} {0}\n{0} {0}"),
+        ("<div id=a><article><p>{0} {0} {0}</p></article><article><p>{0} {0}</p></article></div>", "{0} {0} {0}\n{0} {0}"),
+        ("<div id=a><h1>Title</h1><p>A lead.</p><div class='body'><p>{0} {0}</p><p>{0}{0}</p><p>{0}{0}</p></div></div>", "Title\nA lead.\n{0} {0}\n{0}{0}\n{0}{0}"),
+        ("<div id=a><h2>T</h2><p>A</p><div class='body'><p>{0} {0}</p><p>{0}{0}</p><p>{0}{0}</p></div></div>", "T\nA\n{0} {0}\n{0}{0}\n{0}{0}"),
+        ("<div id=t><h1>T</h1></div><ul><li>a<li>b<li>c</ul><div class='body'><p>{0} {0}</p><p>{0}{0}</p></div>", "T\na\nb\nc\n{0} {0}\n{0}{0}"),
+        ("<div id=l><h1>Site</h1></div><ul><li>a<li>b<li>c</ul><main><p>{0}</p><section><p>{0}</p></section></main>", "{0}\n{0}"),
+        ("<div id=l><a href=x>a</a><a href=y>b</a><a href=z>c</a></div><article><h1>T</h1><p>{0} {0}</p><p>{0}</p></article>", "T\n{0} {0}\n{0}"),
+    ],
+)
+def test_html_text_containers(page, expected):
+    """All clusters belong to the article, and what stands beside them."""
+    assert html_text.main_text("<body>" + page.format(LONG) + "</body>") == expected.format(LONG)
+
+
 def _order(row):
     return (row[0] is None, row[0] if row[0] is not None else 0)
 
