@@ -1,11 +1,11 @@
-"""Licence scan of paragraphs, in DataFrame functions only.
+"""Licence scan of lines and paragraphs, in DataFrame functions only.
 
 A softmax regression over word n-grams (one to three words) is trained on licence notices, cut-down and framed forms of
 them, and sentences of the unknown class; a soft threshold keeps the weights sparse, and a temperature fitted on held-out
 forms calibrates the probabilities. Every n-gram of the model holds an anchor, a word that is not a common one, so a
-paragraph without an anchor is unknown without further work. For all others, n-grams are joined to the weights, a table
-of the size of the notices, and summed by paragraph. A prediction is confirmed if the paragraph holds enough of a
-notice of its family.
+line without an anchor is unknown without further work. For all others, n-grams are joined to the weights, a table
+of the size of the notices, and summed by line, and by paragraph, for which each line takes in the words next to it. A
+prediction is confirmed if the line or paragraph holds enough of a notice of its family.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scenetrail.llm.common import query, table
@@ -25,6 +25,8 @@ from scenetrail.llm.licence_texts import OTHER, TEMPLATES
 UNKNOWN = "unknown"
 MOST_WORDS = 3
 CONFIRMED = 0.6  # share of a notice's n-grams that a paragraph must hold
+_EDGE = 200  # characters of a neighbouring line in which its two nearest words are looked for
+_LETTERS = r"[\p{L}\p{N}]"  # a line without any is blank
 # Fixed value: common words, which are no anchors.
 COMMON = frozenset(
     "a after all an and any are as at be been by can for from had has he his in including into is it its may no not of on one or other that "
@@ -131,28 +133,84 @@ def _fixed_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFram
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def scan(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
-    """doc_id, paragraph, family, probability, template, overlap, confirmed: one row for each licence paragraph.
+def _split(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, row, at (from 0), line, the edges of the lines next to it in its paragraph, and the blank lines of the text."""
+    split = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.split("text", "\n").alias("lines"))
+
+    def near(line: Column, i: Column) -> Column:
+        before, after = F.get("lines", i - 1), F.get("lines", i + 1)
+        return F.struct(
+            line.alias("line"),
+            F.when(F.rlike(before, F.lit(_LETTERS)), F.concat_ws(" ", F.right(F.get("lines", i - 2), F.lit(_EDGE)), F.right(before, F.lit(_EDGE)))).alias("before"),
+            F.when(F.rlike(after, F.lit(_LETTERS)), F.concat_ws(" ", F.left(after, F.lit(_EDGE)), F.left(F.get("lines", i + 2), F.lit(_EDGE)))).alias("after"),
+        )
+
+    blank = F.transform("lines", lambda line, i: F.when(~F.rlike(line, F.lit(_LETTERS)), i))
+    arrays = split.select("doc_id", "row", F.array_compact(blank).alias("blank"), F.size("lines").alias("n"), F.transform("lines", near).alias("near"))
+    return arrays.select("doc_id", "row", "blank", "n", F.posexplode("near").alias("at", "_l")).select("doc_id", "row", "blank", "n", "at", "_l.*")
+
+
+def _units(lines: DataFrame, anchors: Column) -> DataFrame:
+    """doc_id, row, top (of the paragraph), first, last, whole, grams: lines with an anchor, and their part of a longer paragraph."""
+    found = lines.filter(F.arrays_overlap(F.split(F.lower("line"), "[^a-z0-9]+"), anchors)).withColumn("words", _split(F.col("line")))
+    top = F.coalesce(F.array_max(F.filter("blank", lambda b: b < F.col("at"))) + 1, F.lit(0)) + 1
+    end = F.coalesce(F.array_min(F.filter("blank", lambda b: b > F.col("at"))), F.col("n"))
+    before, after = (F.coalesce(_split(F.col(c)), F.array().cast("array<string>")) for c in ("before", "after"))
+    wide = F.concat(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2), F.col("words"), F.slice(after, 1, 2))
+    found = found.select("doc_id", "row", (F.col("at") + 1).alias("number"), top.alias("top"), end.alias("end"), "words", wide.alias("wide"))
+    line = F.struct(F.col("number").alias("first"), F.col("number").alias("last"), F.lit(False).alias("whole"), _ngrams(F.col("words")).alias("grams"))
+    part = F.struct(F.col("top").alias("first"), F.col("end").alias("last"), F.lit(True).alias("whole"), _ngrams(F.col("wide")).alias("grams"))
+    units = F.when(F.col("top") < F.col("end"), F.array(line, part)).otherwise(F.array(line))
+    return found.select("doc_id", "row", "top", F.explode(units).alias("_u")).select("doc_id", "row", "top", "_u.*")
 
-    Paragraphs are lines, numbered from 1; a paragraph counts if a family, not unknown, is the likeliest class with at
-    least ``threshold``. ``template`` is the notice of the family (counted from 0) of which the paragraph holds the largest
-    share of n-grams, ``overlap``; confirmed from 0.6 on. Null, empty and other texts give no rows. Each of
-    several equal rows gives its own rows. Other columns of ``docs`` are ignored.
+
+def _told(judged: DataFrame) -> DataFrame:
+    """Which lines and paragraphs are told, and by which notice.
+
+    A paragraph is told by a notice that none of its lines holds, or if no line of it is of its family. A line that is not
+    confirmed goes if it is a piece of the notice of its paragraph, that is, if half of its n-grams are in that notice.
+    """
+    whole = Window.partitionBy("row", "top")
+    whether = F.col("whole")
+    sure = F.filter("notices", lambda o: o["overlap"] >= CONFIRMED)
+    tags = F.transform(sure, lambda o: F.struct(F.col("family").alias("family"), o["t"].alias("t")))
+    seen = judged.withColumn("families", F.collect_set(F.when(~whether, F.col("family"))).over(whole)).withColumn(
+        "held", F.flatten(F.collect_set(F.when(~whether, tags)).over(whole))
+    )
+    new = F.filter(sure, lambda o: ~F.array_contains("held", F.struct(F.col("family").alias("family"), o["t"].alias("t"))))
+    seen = seen.withColumn("new", F.when(whether, new))
+    seen = seen.withColumn("best", F.array_max(F.when(F.size("new") > 0, F.col("new")).otherwise(F.col("notices"))))
+    seen = seen.withColumn("piece_of", F.max(F.when(F.size("new") > 0, F.col("best.notice"))).over(whole))
+    piece = F.size(F.array_intersect("grams", "piece_of")) >= 0.5 * F.size("grams")
+    gone = (F.col("best.overlap") < CONFIRMED) & F.coalesce(piece, F.lit(False))
+    return seen.filter(F.when(whether, (F.size("new") > 0) | ~F.array_contains("families", F.col("family"))).otherwise(~gone))
+
+
+def scan(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
+    """doc_id, paragraph, family, probability, template, overlap, confirmed, last_line: one row for each licence line or paragraph.
+
+    Lines are numbered from 1. A paragraph is a run of lines with a letter or digit in each. ``paragraph`` is the first line
+    and ``last_line`` the last; they are equal for a line. A line, or a paragraph of several, counts if a family, not unknown,
+    is the likeliest class with at least ``threshold``; a paragraph is left out where its lines say the same, and a line
+    that is a piece of the notice of its paragraph. ``template`` is the notice of the family (counted from 0) of which the
+    line or paragraph holds the largest share of n-grams, ``overlap``; confirmed from 0.6 on. Null, empty and other texts
+    give no rows. Each of several equal rows gives its own rows. Other columns of ``docs`` are ignored.
     """
     model = model or train()
     spark = docs.sparkSession
     k = len(model.classes)
     weights = F.broadcast(_fixed_table(spark, [{"gram": g, "w": w} for g, w in model.weights.items()], "gram:string,w:array<double>"))
     anchors = F.array(*map(F.lit, model.anchors))
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    low = F.lower("line")
-    words = lines.select("doc_id", "row", (F.col("at") + 1).alias("paragraph"), F.split(low, "[^a-z0-9]+").alias("words"))
-    words = words.filter(F.arrays_overlap("words", anchors))
-    words = words.withColumn("words", F.filter("words", lambda w: w != ""))
-    grams = words.withColumn("grams", _ngrams(F.col("words")))
+    unit = ["row", "top", "first", "last", "whole"]
     # explode_outer: explode adds a filter on the n-grams, which the optimizer puts before the filter on anchors.
-    found = grams.select("row", "paragraph", "doc_id", F.explode_outer("grams").alias("gram")).join(weights, "gram")
-    sums = found.groupBy("row", "paragraph").agg(
+    found = _units(_lines(docs), anchors).select(*unit, "doc_id", F.explode_outer("grams").alias("gram"))
+    # The lines of a paragraph share n-grams, which count once.
+    found = found.join(weights.select("gram"), "gram", "left_semi").distinct().join(weights, "gram")
+    sums = found.groupBy(*unit).agg(
         F.first("doc_id").alias("doc_id"),
         F.collect_set("gram").alias("grams"),  # n-grams of the model only
         *[F.sum(F.col("w")[c]).alias(f"s{c}") for c in range(k)],
@@ -161,20 +219,21 @@ def scan(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) ->
     top = F.greatest(*logits)
     total = sum((F.exp(v - top) for v in logits[1:]), F.exp(logits[0] - top))
     family = F.element_at(F.array(*map(F.lit, model.classes)), F.array_position(F.array(*logits), top).cast("int"))
-    judged = sums.select("doc_id", "row", "paragraph", "grams", family.alias("family"), (1 / total).alias("probability"))
+    judged = sums.select(*unit, "doc_id", "grams", family.alias("family"), (1 / total).alias("probability"))
     judged = judged.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= threshold))
-    notices = [{"family": f, "template": i, "notice": sorted(ngrams(split_words(t)) & model.weights.keys())} for f, texts in TEMPLATES.items() for i, t in enumerate(texts)]
-    known = F.broadcast(_fixed_table(spark, notices, "family:string,template:int,notice:array<string>"))
-    overlap = F.size(F.array_intersect("grams", "notice")) / F.size("notice")
-    compared = judged.join(known, "family").withColumn("overlap", overlap)
-    best = F.max(F.struct("overlap", (-F.col("template")).alias("t"))).alias("best")
-    return (
-        compared.groupBy("row", "paragraph")
-        .agg(F.first("doc_id").alias("doc_id"), F.first("family").alias("family"), F.first("probability").alias("probability"), best)
-        .select(
-            "doc_id", "paragraph", "family", "probability", (-F.col("best.t")).alias("template"),
-            F.col("best.overlap").alias("overlap"), (F.col("best.overlap") >= CONFIRMED).alias("confirmed"),
-        )
+    known = [
+        {"family": f, "notices": [{"t": -i, "notice": sorted(ngrams(split_words(t)) & model.weights.keys())} for i, t in enumerate(texts)]}
+        for f, texts in TEMPLATES.items()
+    ]
+    notices = F.broadcast(_fixed_table(spark, known, "family:string,notices:array<struct<t:int,notice:array<string>>>"))
+
+    def compared(n: Column) -> Column:
+        overlap = F.size(F.array_intersect("grams", n["notice"])) / F.size(n["notice"])
+        return F.struct(overlap.alias("overlap"), n["t"].alias("t"), n["notice"].alias("notice"))
+
+    return _told(judged.join(notices, "family").withColumn("notices", F.transform("notices", compared))).select(
+        "doc_id", F.col("first").alias("paragraph"), "family", "probability", (-F.col("best.t")).alias("template"),
+        F.col("best.overlap").alias("overlap"), (F.col("best.overlap") >= CONFIRMED).alias("confirmed"), F.col("last").alias("last_line"),
     )
 
 

@@ -380,3 +380,21 @@ def test_licences(spark, docs, none):
     assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == sorted(expected) and len(expected) == 4
     assert all(math.isclose(r.probability, model.probabilities(lines[r.paragraph - 1]).max(), rel_tol=1e-6) and r.confirmed for r in found)
     assert licences.scan(docs).count() == 1 and licences.scan(none).count() == 0
+
+
+def test_licences_wrapped(spark):
+    """Notices wrapped at 72 columns are one paragraph; notices on a line are still found."""
+    import textwrap
+
+    wrapped = {f: textwrap.wrap(licences.TEMPLATES[f][i], 72) for f, i in (("mit", 3), ("bsd", 2), ("gpl", 1), ("lgpl", 1))}
+    rows, expected = [], []
+    for n, (family, lines) in enumerate(wrapped.items()):
+        assert len(lines) > 1
+        rows.append((n, "\n".join(["Plain words.", "", *lines, " * ", "More plain words."])))
+        expected.append((n, 3, len(lines) + 2, family, True))
+    lines = [*wrapped["mit"], "Released under the BSD 3-Clause License.", "", "Released under the MIT License.", *wrapped["mit"]]
+    rows.append((9, "\r\n".join(lines)))
+    n = len(wrapped["mit"])
+    found = sorted((r.doc_id, r.paragraph, r.last_line, r.family, r.confirmed) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [f for f in found if f[0] < 9] == expected
+    assert [f for f in found if f[0] == 9] == [(9, 1, n + 1, "mit", True), (9, n + 1, n + 1, "bsd", True), (9, n + 3, n + 3, "mit", True), (9, n + 3, 2 * n + 3, "mit", True)]
