@@ -24,15 +24,16 @@ _INPUTS = "array<map<string, variant>>"
 def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id", doc: str = "doc") -> DataFrame:
     """All node occurrences of the documents.
 
-    The result has doc_id, artifact, fqn, script, step_id (null for a raw artifact), recorded, depth, and
-    the parent's artifact and step. The children of a node with an empty script are not visited.
+    The result has doc_id, artifact, fqn, script, step_id (null for a raw artifact), recorded, depth,
+    the parent's artifact and step, and the position: the path of places from the root, so that positions sort in document
+    order, outer before inner. Only the keys of one object are taken in the order of their names, as a variant holds them. The children of a node with an empty script are not visited.
 
     A round unnests several levels of every document in place, without a shuffle, and writes the nodes
     it found. Documents that go deeper pass their remaining inputs on to the next round; the loop ends
     when none does, so no depth is too great.
     """
     nothing = F.lit(None).cast("string")
-    top = _entries(F.variant_get(F.col(doc), "$", "map<string, variant>"), F.lit(0), nothing, nothing)
+    top = _entries(F.variant_get(F.col(doc), "$", "map<string, variant>"), F.lit(0), nothing, nothing, F.array().cast("array<int>"))
     todo = docs.select(F.col(doc_id).alias("doc_id"), _unnest(top, LEVELS_PER_ROUND).alias("_nodes"))
     found: list[DataFrame] = []
     while True:
@@ -43,7 +44,7 @@ def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id",
         rest = nodes.filter(F.col("inputs").isNotNull())
         if rest.select("depth").isEmpty():
             return _named(reduce(DataFrame.unionByName, found), fqn_prefix)
-        below = _children(F.col("inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"))
+        below = _children(F.col("inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"), F.col("position"))
         todo = rest.select("doc_id", _unnest(below, LEVELS_PER_ROUND).alias("_nodes"))
 
 
@@ -61,13 +62,14 @@ def _named(nodes: DataFrame, fqn_prefix: str) -> DataFrame:
         "recorded",
         "parent_artifact",
         parent.alias("parent_step"),
+        "position",
     )
 
 
-def _entries(level: Column, depth: Column, parent: Column, parent_script: Column) -> Column:
+def _entries(level: Column, depth: Column, parent: Column, parent_script: Column, place: Column) -> Column:
     """The keys of a document as an array of nodes; a node without a script has no inputs."""
 
-    def node(entry: Column) -> Column:
+    def node(entry: Column, i: Column) -> Column:
         script = F.coalesce(F.variant_get(entry["value"], "$.metadata.script", "string"), F.lit(""))
         inputs = F.when(script != "", F.variant_get(entry["value"], "$.input", _INPUTS))
         return F.struct(
@@ -78,13 +80,15 @@ def _entries(level: Column, depth: Column, parent: Column, parent_script: Column
             depth.alias("depth"),
             parent.alias("parent_artifact"),
             parent_script.alias("parent_script"),
+            F.concat(place, F.array(i)).alias("position"),
         )
 
     return F.transform(F.map_entries(level), node)
 
 
-def _children(inputs: Column, depth: Column, parent: Column, parent_script: Column) -> Column:
-    return F.flatten(F.transform(inputs, lambda item: _entries(item, depth, parent, parent_script)))
+def _children(inputs: Column, depth: Column, parent: Column, parent_script: Column, place: Column) -> Column:
+    below = lambda item, i: _entries(item, depth, parent, parent_script, F.concat(place, F.array(i)))
+    return F.flatten(F.transform(inputs, below))
 
 
 def _unnest(level: Column, levels: int) -> Column:
@@ -94,7 +98,7 @@ def _unnest(level: Column, levels: int) -> Column:
 
     def with_descendants(n: Column) -> Column:
         own = F.array(n.withField("inputs", F.lit(None).cast(_INPUTS)))
-        below = _children(n["inputs"], n["depth"] + 1, n["artifact"], n["script"])
+        below = _children(n["inputs"], n["depth"] + 1, n["artifact"], n["script"], n["position"])
         return F.concat(own, _unnest(below, levels - 1))
 
     return F.flatten(F.transform(level, with_descendants))
@@ -141,7 +145,8 @@ def step_members(nodes: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataF
 def build_steps(nodes: DataFrame, members: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per step: its script and the sizes of its member sets.
 
-    Where spellings of a script share a step id, the one least deep, then least in order, counts.
+    Where spellings of a script share a step id, the first in document order counts, outer before inner. If the keys do
+    not tell documents apart, the least position of any document does, then the least spelling.
     """
     of_role = lambda role: F.col("role") == role
     sizes = members.groupBy(*keys, "step_id").agg(
@@ -153,7 +158,7 @@ def build_steps(nodes: DataFrame, members: DataFrame, keys: tuple[str, ...] = ("
     scripts = (
         nodes.filter(F.col("step_id").isNotNull())
         .groupBy(*keys, "step_id")
-        .agg(F.min(F.struct("depth", "script"))["script"].alias("script"))
+        .agg(F.min(F.struct("position", "script"))["script"].alias("script"))
     )
     return scripts.join(sizes, [*keys, "step_id"])
 
