@@ -20,7 +20,7 @@ def test_query_matches_check(spark, name):
 
 
 def test_one_query_each():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_quality_against_labels(spark):
