@@ -45,6 +45,14 @@ def arrow_function(fn: Callable, kind: str) -> Callable[..., Column]:
     return F.arrow_udf(fn, kind).asNondeterministic()
 
 
+def by_bytes(fn: Callable, kind: str) -> Callable[..., Column]:
+    """A column function over an iterator of Arrow arrays, run once a row, with its tables made once a task.
+
+    Spark bounds a batch by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    """
+    return F.arrow_udf(fn, kind).asNondeterministic()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
