@@ -6,7 +6,7 @@ from importlib import import_module
 
 from scenetrail.llm.common import CHECKS, QUERIES, Query
 
-MODULES = ("mix", "decontaminate", "url_rules", "near_dedup", "quality", "fingerprints", "token_counts", "html_text", "line_dedup", "licences", "prefix_trie", "piece_encoding")
+MODULES = ("mix", "decontaminate", "url_rules", "near_dedup", "quality", "fingerprints", "token_counts", "html_text", "line_dedup", "licences", "prefix_trie", "piece_encoding", "source_divergence")
 
 
 def all_queries() -> dict[str, Query]:
