@@ -5,8 +5,8 @@ text again must end in the same two pieces. So no merge is run over a text. An A
 piece at every place; a text is walked from left to right with the longest piece that suits the one before it, then
 with shorter ones; where none is left, the place is marked as failed in a bitfield and the last piece is taken back.
 
-No piece holds a space after another character, so texts are cut where a word ends, and a word that a task has met before
-is not walked again. The library is not used to encode or decode; it only reads the vocabulary.
+No piece holds a space after another character, so texts are cut where a word ends, and beside characters that are in no
+longer piece, such as line feeds; a word that a task has met before is not walked again. The library is not used to encode or decode; it only reads the vocabulary.
 """
 
 from __future__ import annotations
@@ -21,20 +21,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenetrail.llm.common import by_bytes, query, table, unboxed
+from scenetrail.llm.common import boxed, by_bytes, query, table, unboxed
 from scenetrail.llm.words import list_column
 
 SPACE = "▁"  # the model's mark for a space
-KNOWN_WORDS = 200_000  # that a task remembers
+NONE, FIRST = -1, -2  # instead of an id: nothing is left, the first character is left
+CHARACTER = 1 << 21  # and a code point stand for a character that is no piece
+KNOWN_WORDS = 500_000  # that a task remembers, at about 220 bytes
 KNOWN_PAIRS = 1_000_000
 LONG_WORD = 64  # characters; longer words are not remembered
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+PART = 1 << 16  # characters whose words are held at once, and what is left of the last word
+_WORD_END = re.compile("[^ ](?= )")
 _NO_PIECE = " \u2047 ".encode()  # what the library gives for the unknown id
 
 
-def merged(text: str, score: dict[str, float]) -> list[str]:
-    """What merging a short text gives: always the pair with the best joined piece, the first of equals."""
-    parts = list(text)
+def merged(text: str, score: dict[str, float]) -> tuple[list[str], list[tuple[float, str, str]]]:
+    """What merging a short text gives, and its merges in order: score, first and last symbol before it.
+
+    The pair with the best joined piece goes first, the leftmost of equals.
+    """
+    parts, merges = list(text), []
     while len(parts) > 1:
         best, at = None, -1
         for k in range(len(parts) - 1):
@@ -43,8 +49,22 @@ def merged(text: str, score: dict[str, float]) -> list[str]:
                 best, at = found, k
         if best is None:
             break
+        merges.append((best, parts[0], parts[-1]))
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return parts
+    return parts, merges
+
+
+def _stages(merges: list[tuple[float, str, str]], side: int, piece: str) -> tuple[tuple[str, float], ...]:
+    """The symbols that stand first (1) or last (2) in a piece while it is merged, each with its least score until it goes."""
+    out: list[tuple[str, float]] = []
+    for merge in merges:
+        if out and out[-1][0] == merge[side]:
+            out[-1] = merge[side], min(out[-1][1], merge[0])
+        else:
+            out.append((merge[side], merge[0]))
+    if out and out[-1][0] == piece:
+        out.pop()
+    return (*out, (piece, float("-inf")))
 
 
 class Vocabulary:
@@ -65,10 +85,15 @@ class Vocabulary:
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece holds a space after another character")
         # A piece that its own merges do not lead to never comes out of a model.
-        self.reached = [p for p in self.pieces if len(p) == 1 or merged(p, self.score) == [p]]
-        known = set(self.reached)
-        # The next shorter piece at the same place; a first character stands for itself if it is no piece.
-        self.shorter = {p: next((n for n in range(len(p) - 1, 1, -1) if p[:n] in known), int(len(p) > 1)) for p in self.reached}
+        made = {p: merged(p, self.score) for p in self.pieces}
+        self.border = {self.pieces[p]: (_stages(merges, 1, p), _stages(merges, 2, p)) for p, (parts, merges) in made.items() if parts == [p]}
+        self.piece = [model.id_to_piece(i) for i in ids]
+        # The next shorter piece at the same place; FIRST is a first character, which stands for itself if it is no piece.
+        self.shorter = [NONE] * len(self.piece)
+        for i in self.border:
+            p = self.piece[i]
+            shorter = [self.pieces[p[:n]] for n in range(len(p) - 1, 0, -1) if self.pieces.get(p[:n]) in self.border]
+            self.shorter[i] = shorter[0] if shorter else FIRST if len(p) > 1 else NONE
         self.text = [b"" if i in control else _NO_PIECE for i in ids]
         for piece, i in self.pieces.items():
             self.text[i] = piece.replace(SPACE, " ").encode()
@@ -78,75 +103,121 @@ class Vocabulary:
         self.silent = control
 
 
+    def word_pattern(self) -> re.Pattern:
+        """Words, with the spaces before them, and runs of ASCII characters that are in no piece with another one."""
+        joined = set("".join(p for p in self.pieces if len(p) > 1))
+        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and c != 32)
+        return re.compile(f" *[^ {alone}]+| +|[{alone}]+" if alone else " *[^ ]+| +")
+
+
 class Encoder:
+    """Ids of texts as the bytes of 32-bit numbers."""
+
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.score, self.shorter = vocabulary, vocabulary.score, vocabulary.shorter
+        self.score, self.border, self.shorter = vocabulary.score, vocabulary.border, vocabulary.shorter
+        self.piece = vocabulary.piece
+        self.size = [len(p) for p in self.piece]
         self.find = ahocorasick.Automaton()
-        for p in vocabulary.reached:
-            self.find.add_word(p, len(p))
+        for i in self.border:
+            self.find.add_word(self.piece[i], (self.size[i] - 1, i))
         self.find.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def suits(self, left: str, right: str) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = merged(left + right, self.score) == [left, right]
-        return found
+        self.single = {p: i for p, i in vocabulary.pieces.items() if len(p) == 1}
+        self.bytes = vocabulary.bytes
+        self.split = vocabulary.word_pattern().findall
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
+
+    def suits(self, left: int, right: int) -> bool:
+        """Whether two pieces stay apart when their joined text is merged again.
+
+        Up to the first merge across the border, each side goes on as it does alone, the better score first and the
+        left one of equals. So it is enough to see, for each two symbols that meet at the border, whether they make a
+        piece before one of them goes.
+        """
+        score, i, j = self.score, 0, 0
+        on_left = self.border[left][1] if left < CHARACTER else ((chr(left - CHARACTER), float("-inf")),)
+        on_right = self.border[right][0] if right < CHARACTER else ((chr(right - CHARACTER), float("-inf")),)
+        while True:
+            last, until_left = on_left[i]
+            first, until_right = on_right[j]
+            across = score.get(last + first)
+            if across is not None and across > until_left and across >= until_right:
+                return False
+            if until_left < until_right:
+                j += 1
+            elif i + 1 < len(on_left):
+                i += 1
+            else:
+                return True
 
-    def walk(self, word: str) -> list[str]:
-        """Pieces of a word; a character that is no piece stands for itself."""
+    def walk(self, word: str) -> list[int]:
+        """Ids of a word; CHARACTER and the code point for a character that is no piece."""
         n = len(word)
-        longest = array("H", [0]) * n
-        for last, size in self.find.iter(word):
-            if size > longest[last - size + 1]:
-                longest[last - size + 1] = size
-        if longest[0] == n:
-            return [word]
+        longest = array("i", [NONE]) * (n + 1)
+        for last, (before, token) in self.find.iter(word):  # of one start, the longer ones come later
+            longest[last - before] = token
+        size_of = self.size
+        token = longest[0]
+        if token >= 0 and size_of[token] == n:
+            return [token]
         failed = bytearray((n >> 3) + 1)
-        out: list[str] = []
-        at, size = 0, longest[0] or 1
+        pairs, shorter = self.pairs, self.shorter
+        out: list[int] = []
+        at = 0
         while at < n:
-            end = at + size
-            piece = word[at:end]
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.suits(out[-1], piece)):
-                out.append(piece)
-                at = end
-                size = longest[at] or 1 if at < n else 0
-                continue
-            size = self.shorter.get(piece, 0)
-            while not size:  # nothing fits here: take back the last piece and try a shorter one
+            if token < 0:  # no piece begins here, or only the first character of one is left
+                token = self.single.get(word[at], CHARACTER + ord(word[at]))
+            end = at + (size_of[token] if token < CHARACTER else 1)
+            if not failed[end >> 3] >> (end & 7) & 1:
+                if out:
+                    pair = out[-1] << 32 | token
+                    suits = pairs.get(pair)
+                    if suits is None:
+                        if len(pairs) >= KNOWN_PAIRS:
+                            pairs.clear()
+                        suits = pairs[pair] = self.suits(out[-1], token)
+                else:
+                    suits = True
+                if suits:
+                    out.append(token)
+                    at = end
+                    token = longest[at]
+                    continue
+            token = shorter[token] if token < CHARACTER else NONE
+            while token == NONE:  # nothing fits here: take back the last piece and try a shorter one
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = out.pop()
-                at -= len(piece)
-                size = self.shorter.get(piece, 0)
+                token = out.pop()
+                at -= size_of[token] if token < CHARACTER else 1
+                token = shorter[token] if token < CHARACTER else NONE
         return out
 
-    def word(self, word: str) -> tuple[int, ...]:
-        pieces, byte_ids = self.vocabulary.pieces, self.vocabulary.bytes
-        ids: list[int] = []
-        for piece in self.walk(word):
-            known = pieces.get(piece)
-            if known is None:
-                ids += [byte_ids[b] for b in piece.encode()]
-            else:
-                ids.append(known)
+    def word(self, word: str) -> bytes:
+        """Ids of a word with the spaces before it."""
+        ids = self.walk(word.replace(" ", SPACE))
+        if max(ids) >= CHARACTER:
+            ids = [i for token in ids for i in ([token] if token < CHARACTER else [self.bytes[b] for b in chr(token - CHARACTER).encode()])]
+        found = array("i", ids).tobytes()
         if len(word) <= LONG_WORD:
             if len(self.words) >= KNOWN_WORDS:
                 self.words.clear()
-            self.words[word] = tuple(ids)
-        return tuple(ids)
+            self.words[word] = found
+        return found
+
+    def __call__(self, text: str) -> bytes:
+        if not text:
+            return b""
+        get, new = self.words.get, self.word
+        return b"".join([b"".join([get(w) or new(w) for w in self.split(part)]) for part in _parts(" " + text.replace(SPACE, " "))])
 
-    def __call__(self, text: str) -> array:
-        ids = array("i")
-        if text:
-            get = self.words.get
-            for found in _WORD.finditer(SPACE + text.replace(" ", SPACE)):
-                word = found.group()
-                ids.extend(get(word) or self.word(word))
-        return ids
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts that end where a word ends, so that few of its words are held at once."""
+    at = 0
+    while at < len(text):
+        end = _WORD_END.search(text, at + PART)
+        to = end.end() if end else len(text)
+        yield text[at:to]
+        at = to
 
 
 def decoder(vocabulary: Vocabulary):
@@ -191,6 +262,16 @@ def _characters(raw: bytes) -> str:
     return "".join(out)
 
 
+def _id_lists(texts: pa.Array, encoder: Encoder) -> pa.Array:
+    ids = [encoder(t.as_py() or "") for t in texts]
+    return list_column(np.frombuffer(b"".join(ids), "<i4"), np.array([len(i) >> 2 for i in ids], np.int64), pa.int32())
+
+
+def _texts(ids: pa.Array, decode) -> pa.Array:
+    flat, ends = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())])
+    return pa.array([decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.string())
+
+
 def piece_ids(text: Column, path: str) -> Column:
     """Ids of a text as an array of int; null counts as empty, which has none.
 
@@ -202,9 +283,7 @@ def piece_ids(text: Column, path: str) -> Column:
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary)
         for column in columns:
-            ids = [encoder(t.as_py() or "") for t in column]
-            flat = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(i, np.int32) for i in ids if i)])
-            yield list_column(flat, np.array([len(i) for i in ids], np.int64), pa.int32())
+            yield _id_lists(column, encoder)
 
     return by_bytes(encode, "array<int>")(text)
 
@@ -216,8 +295,7 @@ def piece_text(ids: Column, path: str) -> Column:
     def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         text = decoder(vocabulary)
         for column in columns:
-            flat, ends = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
-            yield pa.array([text(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.string())
+            yield _texts(column, text)
 
     return by_bytes(decode, "string")(ids)
 
@@ -226,11 +304,20 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """The columns of ``docs`` and ids array<int>, decoded string, for every row; these two replace columns of their names.
 
     Null text counts as empty, with no ids and an empty decoded text. Repeated rows each give a row; an empty table
-    gives none. ``path`` is a SentencePiece BPE model with byte fallback that only puts a space in front.
+    gives none. ``path`` is a SentencePiece BPE model with byte fallback that only puts a space in front. The ids are
+    decoded by the task that made them.
     """
-    encoded = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), piece_ids(F.col("text"), path).alias("_ids"))
-    decoded = encoded.select("_row", "_ids", piece_text(F.col("_ids"), path).alias("_decoded"))
-    return unboxed(decoded, docs.columns, ids=F.col("_ids"), decoded=F.col("_decoded"))
+    vocabulary = Vocabulary(path)
+
+    def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decode = Encoder(vocabulary), decoder(vocabulary)
+        for column in columns:
+            ids = _id_lists(column, encoder)
+            yield pa.StructArray.from_arrays([ids, _texts(ids, decode)], ["ids", "decoded"])
+
+    made = by_bytes(both, "struct<ids:array<int>,decoded:string>")
+    found = boxed(docs).withColumn("_made", made(F.col("_row.text")))
+    return unboxed(found, docs.columns, ids=F.col("_made.ids"), decoded=F.col("_made.decoded"))
 
 
 @query("op12_piece_encoding")

@@ -21,6 +21,15 @@ def encoder():
     return piece_encoding.Encoder(piece_encoding.Vocabulary(PATH))
 
 
+@pytest.fixture(scope="module")
+def decode():
+    return piece_encoding.decoder(piece_encoding.Vocabulary(PATH))
+
+
+def ids_of(encoder, text):
+    return np.frombuffer(encoder(text), "<i4").tolist()
+
+
 def strange(n, letters):
     return "".join(RNG.choice(list(letters), n))
 
@@ -34,22 +43,20 @@ TEXTS = [
 ]
 
 
-def test_ids_and_text(library, encoder):
-    decode = piece_encoding.decoder(encoder.vocabulary)
+def test_ids_and_text(library, encoder, decode):
     for text in TEXTS:
-        ids = encoder(text).tolist()
+        ids = ids_of(encoder, text)
         assert ids == library.encode(text), text[:50]
         assert decode(ids) == library.decode(ids), text[:50]
 
 
 def test_pieces_as_texts(library, encoder):
     """Every piece of the vocabulary, also those that merges do not lead to."""
-    pieces = [p.replace("▁", " ") for p in encoder.vocabulary.pieces]
-    assert [encoder(p).tolist() for p in pieces] == library.encode(pieces)
+    pieces = [p.replace("▁", " ") for p in encoder.piece if not p.startswith('<')]
+    assert [ids_of(encoder, p) for p in pieces] == library.encode(pieces)
 
 
-def test_foreign_ids(library, encoder):
-    decode = piece_encoding.decoder(encoder.vocabulary)
+def test_foreign_ids(library, decode):
     for _ in range(300):
         ids = [int(i) for i in RNG.choice([*range(300), 29871, 29901, 13, 450], int(RNG.integers(0, 12)))]
         assert decode(ids) == library.decode(ids), ids
@@ -58,10 +65,13 @@ def test_foreign_ids(library, encoder):
 def test_round_trip(spark, library):
     rows = [(i, t, "clash", 1) for i, t in enumerate([*TEXTS, None, "same", "same", "long text " * 30_000])] + [(None, "no id", "clash", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string, _row int").repartition(5)
+    ids = df.select("doc_id", piece_encoding.piece_ids(df.text, PATH).alias("ids"))
+    apart = {r.doc_id: r.text for r in ids.select("doc_id", piece_encoding.piece_text(ids.ids, PATH).alias("text")).collect()}
     found = piece_encoding.round_trip(df, PATH)
     assert found.columns == ["doc_id", "text", "_row", "ids", "decoded"]
     got = {r.doc_id: (list(r.ids), r.decoded) for r in found.select("doc_id", "ids", "decoded").collect()}
     assert got == {i: (library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t, _, _ in rows}
+    assert apart == {i: text for i, (_, text) in got.items()}
     assert piece_encoding.round_trip(df.limit(0), PATH).count() == 0
 
 
@@ -77,3 +87,13 @@ def test_query(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_pairs_by_merging_again(encoder):
+    """The two lists of merges give what merging the joined text gives, for neighbours that do and do not suit."""
+    known = np.array(list(encoder.border))
+    near = np.array([encoder.single[c] for c in "aeinrst▁"] + [i for i in encoder.border if encoder.size[i] == 2][:400])
+    sides = np.where(RNG.random((60_000, 2)) < 0.5, RNG.choice(near, (60_000, 2)), RNG.choice(known, (60_000, 2)))
+    for left, right in sides.tolist():
+        pieces = [encoder.piece[left], encoder.piece[right]]
+        assert encoder.suits(left, right) == (piece_encoding.merged("".join(pieces), encoder.score)[0] == pieces), pieces
