@@ -25,8 +25,8 @@ from scenetrail.session import cut
 LEAST_DOCUMENTS = 10  # of a language that hold a kept term
 SCALE = 1_000_000_000
 TOP = 10  # terms of a group that are reported
-BLOCK_IDS = 4096  # terms of a block, about
-HELD_TERMS = 400_000  # counts that a task holds at once
+BLOCK_IDS = 1024  # terms of a block, about
+HELD_TERMS = 150_000  # counts that a task holds at once
 PIECE = 1 << 20  # bytes of a text whose terms are held at once
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
