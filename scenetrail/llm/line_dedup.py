@@ -127,6 +127,7 @@ class LineSets:
 
 _KEY_SEEDS = (0x1B873593CC9E2D51, 0x38495AB5E6546B64)
 WIDE = 8  # words of the wider parity bits
+HELD_SETS = 500_000  # whose places a task knows at once
 SLICES = 2  # of the tokens in the prefix join
 _STAR_SEEDS = (0x52DCE729A5A5A5A5, 0x38B34AE5C2B2AE3D)
 
@@ -134,7 +135,9 @@ _STAR_SEEDS = (0x52DCE729A5A5A5A5, 0x38B34AE5C2B2AE3D)
 def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
     """A row for each line with words, and a row with line 0 for each document, which has its number of lines as n.
 
-    The first line of a task with some set also has what the join needs of the set.
+    A line is ``sent`` if the task has not met its set at an earlier place. So a line that is not goes in any case, and has
+    no keys, and a set that many lines have is sent about once by each task. The first line of a task with some set
+    also has what the join needs of the set.
     """
     rank = np.floor(np.log2(np.maximum(counts, 1)) * 4096).astype(np.int64)  # less than 2 ** 18, in the order of counts
     schema = T.StructType(
@@ -143,6 +146,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
             T.StructField("text_key", T.LongType()),
             T.StructField("line", T.IntegerType()),
             T.StructField("n", T.IntegerType()),
+            T.StructField("sent", T.BooleanType()),
             T.StructField("k1", T.LongType()),
             T.StructField("k2", T.LongType()),
             T.StructField("bits", T.LongType()),
@@ -153,25 +157,34 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[tuple] = set()
+        given: dict[tuple, tuple] = {}  # the earliest place of each set so far
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
+            id_list, key_list = ids.to_pylist(), keys.to_pylist()
             raw, ends = text_bytes(batch.column(2))
             for a, b, part, borders in pieces(raw, ends):
                 sets = LineSets(part, borders)
                 own_ids, own_keys = ids.slice(a, b - a), keys.slice(a, b - a)
-                nothing = [pa.nulls(b - a, t) for t in (*[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32()))]
+                nothing = [pa.nulls(b - a, t) for t in (pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(
                     [own_ids, own_keys, pa.array(np.zeros(b - a, np.int32)), pa.array(sets.n_lines.astype(np.int32)), *nothing], schema.names
                 )
                 if not len(sets.doc):
                     continue
                 k1, k2 = (sets.sums(s).view(np.int64) for s in _KEY_SEEDS)
-                fresh = np.zeros(len(k1), bool)
-                for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
-                    if key not in given:
-                        given.add(key)
-                        fresh[i] = True
+                fresh, sent = np.zeros(len(k1), bool), np.zeros(len(k1), bool)
+                if len(given) > HELD_SETS:
+                    given.clear()
+                heads = [(i is None, i, k) for i, k in zip(id_list[a:b], key_list[a:b])]
+                for i, (key, d, line) in enumerate(zip(zip(k1.tolist(), k2.tolist()), sets.doc.tolist(), sets.line.tolist())):
+                    place = (heads[d], line)
+                    before = given.get(key)
+                    if before is None:
+                        given[key] = place
+                        fresh[i] = sent[i] = True
+                    elif place <= before:  # the same place is a document given twice
+                        given[key] = place
+                        sent[i] = True
                 token, length = sets.prefixes(rank, similarity)
                 stars = np.stack([sets.least(s) for s in _STAR_SEEDS], axis=1).view(np.int64)
                 old = ~fresh
@@ -183,8 +196,9 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
                         own_keys.take(doc),
                         pa.array(sets.line.astype(np.int32)),
                         pa.array(sets.size.astype(np.int32)),
-                        pa.array(k1),
-                        pa.array(k2),
+                        pa.array(sent),
+                        pa.array(k1, mask=~sent),
+                        pa.array(k2, mask=~sent),
                         *(pa.array(word, mask=old) for word in np.ascontiguousarray(sets.parity(2).T).view(np.int64)),
                         list_column(stars[fresh].reshape(-1), np.where(fresh, 2, 0), pa.int64()),
                         list_column(token[take], np.where(fresh, length, 0), pa.int32()),
@@ -331,9 +345,11 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line")
     worded = lines.filter("line > 0")
     some = F.col("bits").isNotNull()
+    sent = worded.filter("sent")
     # Tasks have sent each set about once, so rows are brought together before they are sorted and not also after.
-    sets = worded.repartition("k1", "k2").groupBy("k1", "k2").agg(
+    sets = sent.repartition("k1", "k2").groupBy("k1", "k2").agg(
         F.min(place).alias("first"),
+        F.count("*").alias("times"),
         F.first("n").alias("n"),
         F.first("bits", ignorenulls=True).alias("bits"),
         F.first("more", ignorenulls=True).alias("more"),
@@ -351,13 +367,18 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     among = sets.join(members, "k1", "left_semi")
     rest = _prefix_pairs(among, later.select("k1").distinct(), similarity).distinct()
     later = later.unionByName(_later_of_similar(tokens, rest, similarity)).distinct().withColumn("later", F.lit(True))
-    firsts = sets.select("k1", "k2", "first").join(later, ["k1", "k2"], "left")
-    removed = (
-        worded.select("k1", "k2", place.alias("place"))
+    firsts = sets.select("k1", "k2", "first", "times").join(later, ["k1", "k2"], "left").filter((F.col("times") > 1) | F.col("later"))
+    told = (
+        sent.select("k1", "k2", place.alias("place"))
         .join(firsts, ["k1", "k2"])
         .filter((F.col("place") != F.col("first")) | F.col("later"))
-        .groupBy("place.doc_id", "place.text_key")
-        .agg(F.sort_array(F.collect_set("place.line")).alias("removed"))
+        .select("place.doc_id", "place.text_key", "place.line")
+    )
+    removed = (
+        worded.filter(~F.col("sent")).select("doc_id", "text_key", "line")
+        .unionByName(told)
+        .groupBy("doc_id", "text_key")
+        .agg(F.sort_array(F.collect_set("line")).alias("removed"))
         .withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     )
     heads = lines.filter("line = 0").select("doc_id", "text_key", F.col("n").alias("n_lines"))
