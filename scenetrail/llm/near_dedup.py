@@ -7,14 +7,15 @@ their (weighted) Jaccard similarity. Coordinates make bands, and texts that agre
 
 Equal texts are one node. Every link is confirmed on the full sets of elements, and classes are the connected nodes.
 Pairs of a bucket are not all formed: nodes are first compared with one node of their bucket, then twice with another
-one, and what a class already joins is not compared again; at the end, all pairs of a bucket whose nodes are still in
-different classes are. Sizes and parity bits of the sets rule out most pairs that are not similar, before any
-set is fetched.
+one, and what a class already joins is not compared again; at the end, the nodes of buckets that still hold several
+classes are joined on their rarest elements, so a large bucket of unlike texts is not expanded into pairs. Sizes and
+parity bits of the sets rule out most pairs that are not similar, before any set is fetched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -99,30 +100,34 @@ def _elements(part: np.ndarray, borders: np.ndarray, size: int):
 
 
 PARITY_WORDS = 4
+WIDE_WORDS = 16  # of the nodes that the last join compares
 
 
-def parity(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(texts x 4) 64-bit words in which each element of a text flips one bit.
+def parity(gram: np.ndarray, first: np.ndarray, width: int = PARITY_WORDS) -> np.ndarray:
+    """(texts x width) 64-bit words in which each element of a text flips one bit.
 
     Two texts differ in no fewer elements than in bits, so few differing bits are needed for a high similarity.
     """
-    out = np.zeros((len(first) - 1, PARITY_WORDS), np.uint64)
+    out = np.zeros((len(first) - 1, width), np.uint64)
     some = np.flatnonzero(np.diff(first))
     h = mixed(gram ^ np.uint64(0x8E9D5A3C17F0B264))
     bit = np.uint64(1) << (h >> np.uint64(58))
-    for w in range(PARITY_WORDS if len(some) else 0):
-        mine = np.where((h & np.uint64(PARITY_WORDS - 1)) == w, bit, np.uint64(0))
+    for w in range(width if len(some) else 0):
+        mine = np.where((h & np.uint64(width - 1)) == w, bit, np.uint64(0))
         out[some, w] = np.bitwise_xor.reduceat(mine, first[:-1][some])
     return out
 
 
-def _near(a: str, b: str, similarity: float) -> Column:
+def _need(n: Column, m: Column, similarity: float) -> Column:
+    """Elements that two sets of these sizes have in common at least."""
+    return F.ceil((n + m) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))
+
+
+def _near(a: str, b: str, similarity: float, width: int = PARITY_WORDS) -> Column:
     """Whether sizes and parity of the columns n_a, bits_a and n_b, bits_b allow the similarity; never wrongly no."""
     n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
-    need = F.ceil((n + m) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9))
-    differ = sum((F.bit_count(F.col(f"bits_{a}")[w].bitwiseXOR(F.col(f"bits_{b}")[w])) for w in range(1, PARITY_WORDS)),
-                 F.bit_count(F.col(f"bits_{a}")[0].bitwiseXOR(F.col(f"bits_{b}")[0])))
-    return (F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)) & (differ <= n + m - 2 * need)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"bits_{a}")[w].bitwiseXOR(F.col(f"bits_{b}")[w])) for w in range(width)])
+    return (F.least(n, m) >= similarity * F.greatest(n, m) - F.lit(1e-9)) & (differ <= n + m - 2 * _need(n, m, similarity))
 
 
 def signatures(text: Column | str, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> Column:
@@ -223,14 +228,44 @@ def _star_pairs(posts: DataFrame, turn: int, similarity: float) -> DataFrame:
     return sides.filter(_near("a", "b", similarity)).select("a", "b").distinct()
 
 
-def _side(posts: DataFrame, name: str) -> DataFrame:
-    return posts.select("band", *[F.col(c).alias(f"{c}_{name}") for c in ("key", "n", "bits", "comp")])
+def _wide_parity(elements: Column) -> Column:
+    def run(column: pa.Array) -> pa.Array:
+        first = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+        bits = parity(column.flatten().to_numpy().view(np.uint64), first, WIDE_WORDS)
+        return list_column(bits.view(np.int64).reshape(-1), np.full(len(bits), WIDE_WORDS), pa.int64())
+
+    return F.arrow_udf(run, "array<bigint>").asNondeterministic()(elements)
+
+
+def _rest_pairs(posts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes in different classes that may be similar, by a prefix join on the elements of what is left.
+
+    Elements are ordered by how many of these nodes hold them. Similar nodes share one of their rarest n - ceil(tn) + 1
+    elements, so nodes of a large bucket that have only their common text in common do not meet. Sizes, the place of
+    the common element and wide parity bits leave few pairs besides similar ones.
+    """
+    left = posts.groupBy("key").agg(F.first("comp").alias("comp")).join(sets, "key")
+    left = cut(left.select("key", "comp", "elements", F.size("elements").alias("n"), _wide_parity(F.col("elements")).alias("bits")), "left")
+    each = left.select("key", F.explode("elements").alias("element"))
+    shared = each.groupBy("element").agg(F.count("*").alias("nodes")).filter("nodes > 1")
+    ranked = each.join(shared, "element").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("nodes", "element"))).alias("ranked"))
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1
+    # Elements of one node only come first in its order; they are counted and not posted.
+    posted = (
+        left.select("key", "comp", "n", "bits").join(ranked, "key")
+        .withColumn("alone", F.col("n") - F.size("ranked"))
+        .withColumn("prefix", F.slice("ranked.element", F.lit(1), F.greatest(length - F.col("alone"), F.lit(0)).cast("int")))
+        .select("key", "comp", "n", "bits", "alone", F.posexplode("prefix").alias("at", "element"))
+        .withColumn("place", F.col("alone") + F.col("at"))
+    )
+    posted = cut(posted.drop("alone", "at"), "prefixes")
 
+    def side(name: str) -> DataFrame:
+        return posted.select("element", *[F.col(c).alias(f"{c}_{name}") for c in ("key", "comp", "n", "bits", "place")])
 
-def _rest_pairs(posts: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of a bucket whose nodes are in different classes and may be similar."""
-    on = (F.col("x.band") == F.col("y.band")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("key_a") < F.col("key_b"))
-    pairs = _side(posts, "a").alias("x").join(_side(posts, "b").alias("y"), on & _near("a", "b", similarity))
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= _need(F.col("n_a"), F.col("n_b"), similarity)
+    on = (F.col("x.element") == F.col("y.element")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("key_a") < F.col("key_b")) & room
+    pairs = side("a").alias("x").join(side("b").alias("y"), on & _near("a", "b", similarity, WIDE_WORDS))
     return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
@@ -266,7 +301,7 @@ def near_duplicates(
         new = cut(_confirmed(_star_pairs(_open_posts(posts, classes), turn, similarity), sets, similarity), "links")
         links = links.unionByName(new)
         classes = cut(_classes(links), "classes")
-    new = cut(_confirmed(_rest_pairs(_open_posts(posts, classes), similarity), sets, similarity), "links")
+    new = cut(_confirmed(_rest_pairs(_open_posts(posts, classes), sets, similarity), sets, similarity), "links")
     if not new.isEmpty():
         classes = _classes(links.unionByName(new))
 
