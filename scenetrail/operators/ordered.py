@@ -25,9 +25,8 @@ def _sliced(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     partitioning can split them and a task that is run again places them alike. Only equal rows, which can
     stand for each other, are told apart by number.
     """
-    hashed = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
     placed = (
-        df.withColumn("_hash", F.xxhash64(*hashed))
+        df.withColumn("_hash", tie_hash(df))
         .withColumn("_tie", F.monotonically_increasing_id())
         .orderBy(*order_by, "_hash", "_tie")
         .drop("_hash", "_tie")
@@ -39,6 +38,11 @@ def _sliced(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     return cut(placed, "slices")
 
 
+def tie_hash(df: DataFrame) -> Column:
+    """A hash of a row's values, which orders rows that agree otherwise."""
+    return F.xxhash64(*[f"`{f.name}`" for f in df.schema.fields if not _holds_map(f.dataType)])
+
+
 def _holds_map(kind: T.DataType) -> bool:
     """Whether a type cannot be hashed because it is or holds a map or variant."""
     if isinstance(kind, T.StructType):

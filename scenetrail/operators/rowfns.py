@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from scenetrail.session import cut
+
 EXPANDED_ROWS = 10_000  # in one batch that goes back to Spark
+FAN_IN = 64  # partial rows that are merged at once, about
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
@@ -49,13 +52,14 @@ def reduce_group(
     partial: Callable[[pd.Series], tuple],
     merge: Callable[[pd.DataFrame], float],
     partial_schema: str,
-    pieces: int = 64,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """Apply a reducing function to the values of each group, in two steps.
+    """Apply a reducing function to the values of each group, as a tree.
 
     ``partial`` reduces the values of a batch to one row of ``partial_schema``; ``merge`` reduces the
-    partial rows of a group. Values are first reduced where they lie, and what is left of a group is
-    merged in up to ``pieces`` tasks before the last one, so a group of any size never meets in one task.
+    partial rows of a group. Values are first reduced where they lie. As long as some group has more than ``fan_in``
+    partial rows, its rows are dealt to pieces of about that many, and each piece becomes one row; so no task merges
+    more of a group, whatever its size, and the rounds follow the logarithm of the largest group.
     ``merge`` must give the same answer whichever way its rows are grouped: it returns partial rows too,
     and ``result`` is read from them by the caller.
     """
@@ -76,8 +80,12 @@ def reduce_group(
         merged = pd.DataFrame([merge(pdf[names])], columns=names)
         return pd.concat([head, merged], axis=1)
 
-    parts = df.select(*keys, value).mapInPandas(local, schema)
-    piece = (F.spark_partition_id() % pieces).alias("_piece")
-    spread = parts.select("*", piece)
-    half = spread.groupBy(*keys, "_piece").applyInPandas(join, schema)
-    return half.groupBy(*keys).applyInPandas(join, schema)
+    parts = cut(df.select(*keys, value).mapInPandas(local, schema), "partial")
+    while True:
+        most = parts.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= fan_in:
+            return parts.groupBy(*keys).applyInPandas(join, schema)
+        # Rows of the written table keep their numbers, so a task that is run again deals them alike.
+        piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-most // fan_in))).alias("_piece")
+        dealt = parts.select("*", piece).groupBy(*keys, "_piece").applyInPandas(join, schema)
+        parts = cut(dealt, "partial")

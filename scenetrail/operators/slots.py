@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scenetrail.operators.ordered import enumerate_rows, number_in_key
+from scenetrail.operators.ordered import enumerate_rows, number_in_key, tie_hash
 
+FEW = 1000  # up to this many first rows, Spark's group limit leaves each task no more of a group before the shuffle
 
-def take(df: DataFrame, n: int, order_by: list[str], by: list[str] | None = None) -> DataFrame:
+
+def take(df: DataFrame, n: int, order_by: list[str | Column], by: list[str] | None = None) -> DataFrame:
     """First ``n`` items in order, of all rows or of each group; adds the 0-based ``idx``.
 
-    Rows are numbered in even slices of the whole order, so neither a large ``n`` nor a group that owns most
-    rows meets in one task.
+    Few rows of a group are taken by a ranking window: each task keeps its own first ``n`` and only these are
+    shuffled. For more than ``FEW``, rows are numbered in even slices of the whole order, so that neither a large ``n``
+    nor a group that owns most rows meets in one task. Ties are broken alike in both: by a hash of the row.
     """
-    return _numbered(df, order_by, by or []).filter(F.col("idx") < n)
+    by = by or []
+    if n > FEW:
+        return _numbered(df, order_by, by).filter(F.col("idx") < n)
+    order = [*order_by, tie_hash(df)]
+    if not by:
+        df = df.orderBy(*order).limit(n)
+    first = df.withColumn("idx", F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col("idx") <= n)
+    return first.withColumn("idx", F.col("idx").cast("bigint") - 1)
 
 
-def _numbered(df: DataFrame, order_by: list[str], by: list[str]) -> DataFrame:
+def _numbered(df: DataFrame, order_by: list[str | Column], by: list[str]) -> DataFrame:
     if not by:
         return enumerate_rows(df, order_by)
     return number_in_key(df, by, order_by, "idx").withColumn("idx", F.col("idx") - 1)

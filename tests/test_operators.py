@@ -235,6 +235,13 @@ def test_slots_of_a_null_group_and_a_large_take(spark, rows):
     hot = spark.range(20000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"), F.col("id").alias("i"))
     got = slots.take(hot, 2500, ["i"], ["g"]).groupBy("g").agg(F.count("*").alias("n"), F.max("idx").alias("last"), F.max("i").alias("i"))
     assert rows(got.select("g", "n", "last", "i")) == [("cold", 2500, 2499, 7497), ("hot", 2500, 2499, 3749)]
+    # Few and many rows are taken in different ways, but alike, also where the order leaves ties.
+    tied = hot.withColumn("tie", F.col("i") % 4).repartition(5)
+    for by in (["g"], None):
+        few = slots.take(tied, 40, ["tie"], by)
+        assert few.dtypes == slots.take(tied, slots.FEW + 1, ["tie"], by).dtypes
+        assert rows(few) == rows(slots.take(tied, slots.FEW + 1, ["tie"], by).filter("idx < 40"))
+    assert "WindowGroupLimit" in slots.take(tied, 40, ["tie"], ["g"])._jdf.queryExecution().toString()
 
 
 def test_sentinel_inputs(spark, rows):
@@ -362,11 +369,15 @@ def test_nested(spark, rows):
 
 
 def test_reduce_group_with_a_hot_key(spark):
-    data = [(0 if i % 3 else i % 7, i) for i in range(5000)]
+    data = [(0 if i % 3 else i % 7, i) for i in range(6500)]  # the hot group has more than 64 x 64 values
     df = spark.createDataFrame(data, "k int, v long").repartition(8)
-    out = rowfns.reduce_group(
-        df, ["k"], "v", lambda v: (int(v.sum()), len(v)), lambda p: (int(p.s.sum()), int(p.n.sum())), "s long, n long", pieces=3
-    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a partial row for each value
+    try:
+        out = rowfns.reduce_group(
+            df, ["k"], "v", lambda v: (int(v.sum()), len(v)), lambda p: (int(p.s.sum()), int(p.n.sum())), "s long, n long", fan_in=16
+        )
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = collections.defaultdict(lambda: [0, 0])
     for k, v in data:
         want[k][0] += v
