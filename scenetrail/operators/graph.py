@@ -1,7 +1,7 @@
 """Graph operators on edge tables (parent, child), with optional grouping columns.
 
-Rounds follow the depth of the graph; every round writes its result to the shared folder, so the plan
-stays short and a lost executor costs at most one round.
+Rounds of ``levels`` and of a walk follow the depth of the graph, those of ``components`` its logarithm. Every round
+writes its result to the shared folder, so a lost executor costs at most one round.
 """
 
 from __future__ import annotations
@@ -10,8 +10,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scenetrail.session import cut
+from scenetrail.session import cut, scratch_path
+
+SHRINK = 2  # times fewer next nodes make it worth to walk on from them alone
 
 
 def roots(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -52,23 +55,47 @@ def fan_shapes(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def _reach(edges: DataFrame, start: DataFrame, near: str, far: str, name: str, keys: list[str]) -> DataFrame:
+    """Shared closure: as long as the next nodes are far fewer than the nodes they are reached from, only the edges to
+    them are kept, and the walk goes on from the next nodes alone. What these reach is found once and joined back."""
     steps = cut(edges.select(*keys, F.col(near).alias("_at"), F.col(far).alias("_next")).distinct(), "edges")
-    frontier = start.select(*keys, "node", F.col("node").alias("_at")).distinct()
-    seen: DataFrame | None = None
-    depth = 0
+    nodes = start.select(*keys, "node").distinct()
+    firsts: list[DataFrame] = []
+    while True:
+        first = nodes.withColumn("_at", F.col("node")).join(steps, [*keys, "_at"]).select(*keys, "node", F.col("_next").alias("_at"))
+        first = cut(first, "first")
+        firsts.append(first)
+        here, there = first.agg(
+            F.approx_count_distinct(F.struct(*keys, "node")).alias("here"), F.approx_count_distinct(F.struct(*keys, "_at")).alias("there")
+        ).first()
+        nodes = first.select(*keys, F.col("_at").alias("node")).distinct()
+        if there * SHRINK > here or not there:
+            break
+    reach = _walk(steps, nodes, keys) if there else firsts[0].limit(0).select(*keys, "node", "_at", F.lit(1).alias("distance"))
+    for first in reversed(firsts):
+        direct = first.withColumn("distance", F.lit(1))
+        beyond = reach.select(*keys, F.col("node").alias("_at"), F.col("_at").alias("_far"), (F.col("distance") + 1).alias("distance"))
+        beyond = first.join(beyond, [*keys, "_at"]).select(*keys, "node", F.col("_far").alias("_at"), "distance")
+        reach = direct.unionByName(beyond).groupBy(*keys, "node", "_at").agg(F.min("distance").alias("distance"))
+    return reach.withColumnRenamed("_at", name)
+
+
+def _walk(steps: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, node, _at, distance) by breadth-first rounds; all rounds are one table, of which each reads the last one."""
+    spark = steps.sparkSession
+    path = scratch_path(spark, "reach")
+    frontier = nodes.select(*keys, "node", F.col("node").alias("_at"))
+    kind = T.StructType([*frontier.schema, T.StructField("distance", T.IntegerType())])
+    distance, seen = 0, None
     while True:
-        depth += 1
+        distance += 1
         reached = frontier.join(steps, [*keys, "_at"]).select(*keys, "node", F.col("_next").alias("_at")).distinct()
         if seen is not None:
-            reached = reached.join(seen.select(*keys, "node", F.col(name).alias("_at")), [*keys, "node", "_at"], "left_anti")
-        frontier = cut(reached, "reach")
+            reached = reached.join(seen.select(*keys, "node", "_at"), [*keys, "node", "_at"], "left_anti")
+        reached.write.option("compression", "zstd").parquet(f"{path}/distance={distance}")
+        seen = spark.read.schema(kind).parquet(path)
+        frontier = seen.filter(F.col("distance") == distance).drop("distance")
         if frontier.isEmpty():
-            break
-        layer = frontier.select(*keys, "node", F.col("_at").alias(name), F.lit(depth).alias("distance"))
-        seen = layer if seen is None else seen.unionByName(layer)
-    if seen is None:
-        return frontier.select(*keys, "node", F.col("_at").alias(name), F.lit(0).alias("distance"))
-    return seen
+            return seen
 
 
 def ancestors(edges: DataFrame, start: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -88,8 +115,8 @@ def descendants(edges: DataFrame, start: DataFrame, keys: list[str] | None = Non
 def levels(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Execution level per node: 1 for a root, else one more than the highest level among its parents.
 
-    Nodes are peeled off: a node gets its level when its last open parent has got one, so every edge is
-    followed once over all rounds. A cycle leaves nodes without a level and raises an error.
+    Nodes are peeled off: a node gets its level when its last open parent has got one. Each round reads all edges and
+    follows those of the nodes that it peels. A cycle leaves nodes without a level and raises an error.
     """
     keys = keys or []
     links = cut(edges.select(*keys, "parent", "child").distinct(), "edges")

@@ -450,3 +450,28 @@ def test_null_pixels_are_no_data(spark):
     pixels = spark.createDataFrame([("s", 1, r, c, None if r < 2 and c < 2 else 1.0) for r in range(2) for c in range(3)], "scene string, band int, row int, col int, value double")
     found = raster.segments(pixels).collect()
     assert [(r.seed_row, r.seed_col, r.n_pixels) for r in found] == [(0, 2, 2)]
+
+
+def test_reach_over_shared_nodes(spark, rows):
+    """Many nodes under few, several ways of unlike length, and a cycle, against a walk from each node."""
+    edges = [(f"a{i}", f"b{i % 40}") for i in range(400)] + [(f"a{i}", f"c{i % 7}") for i in range(0, 400, 3)]
+    edges += [(f"b{i}", f"c{i % 7}") for i in range(40)] + [(f"c{i}", f"d{i % 2}") for i in range(7)] + [("d0", "e"), ("e", "f"), ("f", "d0"), ("d1", "d0")]
+    up = collections.defaultdict(set)
+    for a, b in edges:
+        up[a].add(b)
+
+    def walk(node):
+        found, layer, far = {}, {node}, 0
+        while layer:
+            far += 1
+            layer = {b for a in layer for b in up[a]} - set(found)
+            found.update(dict.fromkeys(layer, far))
+        return found
+
+    df = spark.createDataFrame([(k, *e) for k in (1, 2) for e in edges], "g int, child string, parent string")
+    starts = [f"a{i}" for i in range(400)] + ["c3", "e", "nobody"]
+    start = spark.createDataFrame([(1, n) for n in starts] + [(2, "b1")], "g int, node string")
+    want = sorted(((1, n, m, d) for n in starts for m, d in walk(n).items()), key=repr)
+    want = sorted([*want, *((2, "b1", m, d) for m, d in walk("b1").items())], key=repr)
+    assert rows(graph.ancestors(df, start, ["g"]).select("g", "node", "ancestor", "distance")) == want
+    assert graph.ancestors(df, start.filter("node = 'nobody'"), ["g"]).collect() == []
