@@ -27,10 +27,21 @@ def mean(df: DataFrame, value: str | Column, name: str = "mean") -> DataFrame:
     return df.agg(F.avg(value).alias(name))
 
 
+def is_active(not_queue: str | None = None) -> Column:
+    """Whether a task instance is running or queued, outside a queue if one is named."""
+    running = F.col("state").isin("running", "queued")
+    return running & (F.col("queue") != not_queue) if not_queue is not None else running
+
+
 def active(df: DataFrame, not_queue: str | None = None) -> DataFrame:
     """Task instances that are running or queued, outside a queue if one is named."""
-    out = df.filter(F.col("state").isin("running", "queued"))
-    return out.filter(F.col("queue") != not_queue) if not_queue is not None else out
+    return df.filter(is_active(not_queue))
+
+
+def scale_targets(df: DataFrame, kinds: list[tuple[str, Column, int]]) -> DataFrame:
+    """(kind, target): for each (kind, condition, rows a worker), the workers needed, in one pass over the rows."""
+    targets = [F.struct(F.lit(kind).alias("kind"), F.ceil(F.count_if(on) / F.lit(per_worker)).cast("long").alias("target")) for kind, on, per_worker in kinds]
+    return df.agg(F.array(*targets).alias("targets")).select(F.inline("targets"))
 
 
 def scale_target(df: DataFrame, per_worker: int, name: str = "target") -> DataFrame:

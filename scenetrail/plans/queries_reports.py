@@ -79,14 +79,8 @@ def filter_state(spark, sf):
     """,
 )
 def scale_target(spark, sf):
-    rows = _instances(spark, sf)
-    kinds = (
-        ("workers", reports.active(rows), 16),
-        ("workers outside queue", reports.active(rows, "5-LOW"), 16),
-        ("triggerers", rows, 1000),
-    )
-    parts = [reports.scale_target(df, n).select(F.lit(kind).alias("kind"), "target") for kind, df, n in kinds]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kinds = [("workers", reports.is_active(), 16), ("workers outside queue", reports.is_active("5-LOW"), 16), ("triggerers", F.lit(True), 1000)]
+    return reports.scale_targets(_instances(spark, sf), kinds)
 
 
 @query(
