@@ -138,7 +138,10 @@ def _split(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, row, at (from 0), line, the edges of the lines next to it in its paragraph, and the blank lines of the text."""
+    """doc_id, row, at (from 0), line, the edges of the lines next to it, top and end of its paragraph; blank lines give none.
+
+    Lines are dealt to their paragraphs before they become rows, so the work is linear in the lines of a text.
+    """
     split = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.split("text", "\n").alias("lines"))
 
     def near(line: Column, i: Column) -> Column:
@@ -149,19 +152,29 @@ def _lines(docs: DataFrame) -> DataFrame:
             F.when(F.rlike(after, F.lit(_LETTERS)), F.concat_ws(" ", F.left(after, F.lit(_EDGE)), F.left(F.get("lines", i + 2), F.lit(_EDGE)))).alias("after"),
         )
 
-    blank = F.transform("lines", lambda line, i: F.when(~F.rlike(line, F.lit(_LETTERS)), i))
-    arrays = split.select("doc_id", "row", F.array_compact(blank).alias("blank"), F.size("lines").alias("n"), F.transform("lines", near).alias("near"))
-    return arrays.select("doc_id", "row", "blank", "n", F.posexplode("near").alias("at", "_l")).select("doc_id", "row", "blank", "n", "at", "_l.*")
+    blank = F.array_compact(F.transform("lines", lambda line, i: F.when(~F.rlike(line, F.lit(_LETTERS)), i)))
+    # A generated row holds its arrays; a projection might work them out again for each paragraph.
+    parts = F.struct(blank.alias("blank"), F.size("lines").alias("n"), F.transform("lines", near).alias("near"))
+    held = split.filter("lines IS NOT NULL").select("doc_id", "row", F.inline(F.array(parts)))
+    borders = F.arrays_zip(F.concat(F.array(F.lit(-1)), "blank").alias("before"), F.concat("blank", F.array("n")).alias("after"))
+    between = F.filter(borders, lambda b: b["after"] - b["before"] > 1)
+    paragraphs = F.transform(
+        between,
+        lambda b: F.struct(
+            (b["before"] + 1).alias("begin"), b["after"].alias("end"), F.slice("near", b["before"] + 2, b["after"] - b["before"] - 1).alias("near")
+        ),
+    )
+    dealt = held.select("doc_id", "row", F.inline(paragraphs))
+    found = dealt.select("doc_id", "row", "begin", "end", F.posexplode("near").alias("pos", "_l"))
+    return found.select("doc_id", "row", (F.col("begin") + F.col("pos")).alias("at"), (F.col("begin") + 1).alias("top"), "end", "_l.*")
 
 
 def _units(lines: DataFrame, anchors: Column) -> DataFrame:
     """doc_id, row, top (of the paragraph), first, last, whole, grams: lines with an anchor, and their part of a longer paragraph."""
     found = lines.filter(F.arrays_overlap(F.split(F.lower("line"), "[^a-z0-9]+"), anchors)).withColumn("words", _split(F.col("line")))
-    top = F.coalesce(F.array_max(F.filter("blank", lambda b: b < F.col("at"))) + 1, F.lit(0)) + 1
-    end = F.coalesce(F.array_min(F.filter("blank", lambda b: b > F.col("at"))), F.col("n"))
     before, after = (F.coalesce(_split(F.col(c)), F.array().cast("array<string>")) for c in ("before", "after"))
     wide = F.concat(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2), F.col("words"), F.slice(after, 1, 2))
-    found = found.select("doc_id", "row", (F.col("at") + 1).alias("number"), top.alias("top"), end.alias("end"), "words", wide.alias("wide"))
+    found = found.select("doc_id", "row", (F.col("at") + 1).alias("number"), "top", "end", "words", wide.alias("wide"))
     line = F.struct(F.col("number").alias("first"), F.col("number").alias("last"), F.lit(False).alias("whole"), _ngrams(F.col("words")).alias("grams"))
     part = F.struct(F.col("top").alias("first"), F.col("end").alias("last"), F.lit(True).alias("whole"), _ngrams(F.col("wide")).alias("grams"))
     units = F.when(F.col("top") < F.col("end"), F.array(line, part)).otherwise(F.array(line))

@@ -398,3 +398,19 @@ def test_licences_wrapped(spark):
     found = sorted((r.doc_id, r.paragraph, r.last_line, r.family, r.confirmed) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert [f for f in found if f[0] < 9] == expected
     assert [f for f in found if f[0] == 9] == [(9, 1, n + 1, "mit", True), (9, n + 1, n + 1, "bsd", True), (9, n + 3, n + 3, "mit", True), (9, n + 3, 2 * n + 3, "mit", True)]
+
+
+def test_licences_of_a_text_of_many_lines(spark):
+    """The time follows the lines of a text and not their square; each notice is found in its place."""
+    import time
+
+    notice = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."
+    block = [notice, "", "plain words of another kind", ""]
+    took = {}
+    for n in (2_000, 25_000):
+        df = spark.createDataFrame([(1, "\n".join(block * n))], "doc_id long, text string")
+        begin = time.time()
+        found = licences.scan(df).filter("confirmed").select("paragraph", "last_line").collect()
+        took[n] = time.time() - begin
+        assert sorted(r.paragraph for r in found) == [4 * k + 1 for k in range(n)]
+    assert took[25_000] < 40
