@@ -2,8 +2,8 @@
 
 Each task reduces a block of documents of bounded size to its distinct pre-tokens, each with the documents that hold
 it and how often. Pre-tokens that are vocabulary entries are counted from a table of the vocabulary's size; for all
-others, the blocks' frequencies meet by pre-token, its pieces are counted once for the whole corpus and joined to them,
-and the products are summed for each document.
+others, the blocks' frequencies meet by pre-token (and by range of blocks, in a corpus of many), its pieces are counted
+once there and joined to them, and the products are summed for each document.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from scenetrail.llm.common import query, small_batches, table
 
 BLOCK_BYTES = 32 << 20  # texts of one block
+RANGE_BITS = 12  # pieces of a pre-token are counted once for each 4096 tasks whose texts hold it
 LIMIT = 1024
 _PLAIN_END = 0x530  # below this code point the classes here and in the tokenizer library are known to agree
 
@@ -169,7 +170,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
 
     # A block gives a row for each of its pre-tokens, and one without a pre-token with its ids, sizes and known counts.
     blocks = docs.select("doc_id", "text").mapInArrow(split, "block long, token string, postings binary")
-    met = blocks.repartition(F.coalesce("token", F.col("block").cast("string"))).sortWithinPartitions("token")
+    # A frequent pre-token meets its postings in ranges of blocks, so that none of its tasks grows with the corpus.
+    met = blocks.repartition(F.coalesce("token", F.col("block").cast("string")), F.shiftright("block", 32 + RANGE_BITS)).sortWithinPartitions("token")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of each pre-token, joined to its postings and summed by document, a part of each block at a time."""
