@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import time
 import re
 from collections import Counter
 
@@ -334,6 +336,57 @@ def test_html_text_containers(page, expected):
     assert html_text.main_text("<body>" + page.format(LONG) + "</body>") == expected.format(LONG)
 
 
+PARAGRAPHS = "".join(f"<p>{LONG} {i}</p>" for i in range(4))
+TEXT = "\n".join(f"{LONG} {i}" for i in range(4))
+LINKS = "<div class=topbar><a href=a>Home</a> <a href=b>News</a></div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (LINKS + "<div class=content>{0}</div><div class=legal>Copyright 2024 Somebody</div>", "{1}"),
+        (LINKS + "<div class=t><h1>T</h1></div><div class=content>{0}</div><div class=legal>Copyright 2024 Somebody</div>", "T\n{1}"),
+        ("<div class=content>{0}</div><p>Copyright</p>", "{1}"),
+        ("<div class=content>{0}</div><h3>More stories</h3>", "{1}"),
+        ("<div class=content>{0}<div class=user-comments><p>{0}</p></div></div>", "{1}"),
+        ("<article>{0}<div class=reader-reactions><p>Mine, and a long one it is.</p></div></article>", "{1}"),
+        ("<article><div class=ad-box-300>Buy</div>{0}<div class=advert-slot>Buy</div><div class=google-ad>Buy</div></article>", "{1}"),
+        ("<article class='post comments-open'>{0}</article>", "{1}"),
+        ("<main><article><h1>T</h1>{0}{0}</article><div class=voices><p>A long voice of a reader, on everything.</p></div></main>", "T\n{1}\n{1}"),
+        ("<article><p>Alpha <script>x()</script> beta <svg><text>z</text></svg> gamma</p>{0}</article>", "Alpha beta gamma\n{1}"),
+        ("<article><p>Alpha <math><mi>x</mi></math> and <label>beta</label> gamma</p>{0}</article>", "Alpha x and beta gamma\n{1}"),
+        ("<article><h1>T</h1><div class=by>By <a href=x>Jane Doe</a></div>{0}<div class=end>The end.</div></article>", "T\nBy Jane Doe\n{1}\nThe end."),
+        ("<div id=c><div>{1}</div><div>{1}</div><div>Short end.</div></div>", None),
+    ],
+)
+def test_html_text_by_ratio(page, expected):
+    """Unlisted names: regions go by links, ratio and place, and what stands in a line does not end it."""
+    expected = (TEXT.replace("\n", " ") + "\n") * 2 + "Short end." if expected is None else expected.format(PARAGRAPHS, TEXT)
+    assert html_text.main_text("<body>" + page.format(PARAGRAPHS, TEXT) + "</body>") == expected
+
+
+@pytest.mark.parametrize("piece", ["<font>", "<div>x", "</b>", "<form>", "<p><td><form>", "<li>x", "<div class=ad>x", "<head><noscript><font>", "<section><h1>x", "<table><tr><td>x"])
+def test_html_text_unclosed(piece):
+    """50,000 tags that are never closed, or never opened, take time in proportion."""
+    began = time.process_time()
+    html_text.main_text(piece * 50_000)
+    assert time.process_time() - began < 20
+
+
+def test_html_text_clusters():
+    """The smoothed ratios against a plain version, and what is in a cluster by definition."""
+    rows = random.Random(5)
+    for n in (1, 2, 3, 40):
+        blocks = [html_text.Block("x" * rows.randint(1, 300), rows.randint(0, 4), 0, 0, "", 0, 0) for _ in range(n)]
+        ratio = [len(b.text) / max(b.tags, 1) for b in blocks]
+        kernel = {d: math.exp(-d * d / 2) for d in range(-2, 3)}
+        mean = [sum(kernel[d] * ratio[i + d] for d in kernel if 0 <= i + d < n) / sum(kernel[d] for d in kernel if 0 <= i + d < n) for i in range(n)]
+        assert np.allclose(html_text.smoothed(np.array(ratio)), mean)
+        middle = sum(mean) / n
+        threshold = min(middle, math.sqrt(sum((m - middle) ** 2 for m in mean) / n))
+        assert [w > 0 for w in html_text.cluster_weights(blocks)] == [m >= threshold for m in mean]
+
+
 def _order(row):
     return (row[0] is None, row[0] if row[0] is not None else 0)
 
