@@ -90,6 +90,14 @@ class LineSets:
         self.first = np.searchsorted(self.owner, np.arange(len(first) + 1))
         self.size = np.diff(self.first)
 
+    def only(self, keep: np.ndarray) -> LineSets:
+        """Some of the sets, without their places in the texts."""
+        out = object.__new__(LineSets)
+        out.token, out.size = self.token[np.repeat(keep, self.size)], self.size[keep]
+        out.first = np.concatenate([np.zeros(1, np.int64), np.cumsum(out.size)])
+        out.owner = np.repeat(np.arange(len(out.size)), out.size)
+        return out
+
     def sums(self, seed: int) -> np.ndarray:
         """A 64-bit hash of each set."""
         if not len(self.token):
@@ -185,10 +193,12 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
                     elif place <= before:  # the same place is a document given twice
                         given[key] = place
                         sent[i] = True
-                token, length = sets.prefixes(rank, similarity)
-                stars = np.stack([sets.least(s) for s in _STAR_SEEDS], axis=1).view(np.int64)
+                new = sets.only(fresh)
+                token, lengths = new.prefixes(rank, similarity)
+                stars = np.stack([new.least(s) for s in _STAR_SEEDS], axis=1).view(np.int64)
+                length, bits = np.zeros(len(fresh), np.int64), np.zeros((2, len(fresh)), np.int64)
+                length[fresh], bits[:, fresh] = lengths, new.parity(2).T.view(np.int64)
                 old = ~fresh
-                take = np.repeat(fresh, length)
                 doc = pa.array(sets.doc)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -199,9 +209,9 @@ def _lines(docs: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
                         pa.array(sent),
                         pa.array(k1, mask=~sent),
                         pa.array(k2, mask=~sent),
-                        *(pa.array(word, mask=old) for word in np.ascontiguousarray(sets.parity(2).T).view(np.int64)),
-                        list_column(stars[fresh].reshape(-1), np.where(fresh, 2, 0), pa.int64()),
-                        list_column(token[take], np.where(fresh, length, 0), pa.int32()),
+                        *(pa.array(word, mask=old) for word in bits),
+                        list_column(stars.reshape(-1), np.where(fresh, 2, 0), pa.int64()),
+                        list_column(token, length, pa.int32()),
                     ],
                     schema.names,
                 )
@@ -219,19 +229,21 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             raw, ends = text_bytes(batch.column(0))
             for _, _, part, borders in pieces(raw, ends):
                 sets = LineSets(part, borders)
-                k1, k2 = (sets.sums(s).view(np.int64) for s in _KEY_SEEDS)
-                fresh = may_have(bits, k1)
-                for i in np.flatnonzero(fresh).tolist():
-                    key = (int(k1[i]), int(k2[i]))
+                k1 = sets.sums(_KEY_SEEDS[0]).view(np.int64)
+                asked = may_have(bits, k1)
+                k1, sets = k1[asked], sets.only(asked)
+                k2 = sets.sums(_KEY_SEEDS[1]).view(np.int64)
+                fresh = np.ones(len(k1), bool)
+                for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
                     fresh[i] = key not in given
                     given.add(key)
-                take = np.repeat(fresh, sets.size)
+                sets = sets.only(fresh)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(k1[fresh]),
                         pa.array(k2[fresh]),
-                        list_column(sets.token[take].view(np.int64), sets.size[fresh], pa.int64()),
-                        list_column(sets.parity(WIDE)[fresh].view(np.int64).reshape(-1), np.full(int(fresh.sum()), WIDE), pa.int64()),
+                        list_column(sets.token.view(np.int64), sets.size, pa.int64()),
+                        list_column(sets.parity(WIDE).view(np.int64).reshape(-1), np.full(len(sets.size), WIDE), pa.int64()),
                     ],
                     ["k1", "k2", "tokens", "wide"],
                 )
