@@ -3,8 +3,8 @@
 import hashlib
 import math
 import random
-import time
 import re
+import time
 from collections import Counter
 
 import numpy as np
