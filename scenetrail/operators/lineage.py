@@ -11,29 +11,47 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scenetrail.functions.names import artifact_fqn, recorded_at, recorded_path, step_id
+from scenetrail.operators.graph import ancestors, degrees
 from scenetrail.operators.ordered import number_in_key
 from scenetrail.session import cut
 
 
 LEVELS_PER_ROUND = 4
-_INPUTS = "array<map<string, variant>>"
+_TEXTS = T.ArrayType(T.StringType())
+
+
+def _document_type(levels: int) -> T.MapType:
+    """Type of an object of artifacts, typed for so many levels; the inputs of the last one stay JSON texts."""
+    inputs = T.ArrayType(_document_type(levels - 1)) if levels > 1 else _TEXTS
+    script = T.StructType([T.StructField("script", T.StringType())])
+    node = [T.StructField("filename", T.StringType()), T.StructField("metadata", script), T.StructField("input", inputs)]
+    return T.MapType(T.StringType(), T.StructType(node))
+
+
+_DOCUMENT = _document_type(LEVELS_PER_ROUND)
+
+
+def _json_text(docs: DataFrame, doc: str) -> Column:
+    return F.col(doc) if docs.schema[doc].dataType == T.StringType() else F.to_json(F.col(doc))
 
 
 def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id", doc: str = "doc") -> DataFrame:
-    """All node occurrences of the documents.
+    """All node occurrences of the documents, which are JSON texts, or variants.
 
     The result has doc_id, artifact, fqn, script, step_id (null for a raw artifact), recorded, depth,
     the parent's artifact and step, and the position: the path of places from the root, so that positions sort in document
-    order, outer before inner. Only the keys of one object are taken in the order of their names, as a variant holds them. The children of a node with an empty script are not visited.
+    order, outer before inner. The keys of an object keep their order in the text; a variant has them in the order of their
+    names. The children of a node with an empty script are not visited. Null and broken documents give no rows.
 
-    A round unnests several levels of every document in place, without a shuffle, and writes the nodes
-    it found. Documents that go deeper pass their remaining inputs on to the next round; the loop ends
-    when none does, so no depth is too great.
+    A round parses several levels of every document into maps, which keep the order of keys, and unnests them in place,
+    without a shuffle. Inputs below these levels stay texts; documents that go deeper pass theirs on to the next round. The
+    loop ends when none does, so no depth is too great, and a text is parsed once for each round that it reaches.
     """
     nothing = F.lit(None).cast("string")
-    top = _entries(F.variant_get(F.col(doc), "$", "map<string, variant>"), F.lit(0), nothing, nothing, F.array().cast("array<int>"))
+    top = _entries(F.from_json(_json_text(docs, doc), _DOCUMENT), F.lit(0), nothing, nothing, F.array().cast("array<int>"))
     todo = docs.select(F.col(doc_id).alias("doc_id"), _unnest(top, LEVELS_PER_ROUND).alias("_nodes"))
     found: list[DataFrame] = []
     while True:
@@ -44,7 +62,8 @@ def flatten_provenance(docs: DataFrame, fqn_prefix: str, doc_id: str = "doc_id",
         rest = nodes.filter(F.col("inputs").isNotNull())
         if rest.select("depth").isEmpty():
             return _named(reduce(DataFrame.unionByName, found), fqn_prefix)
-        below = _children(F.col("inputs"), F.col("depth") + 1, F.col("artifact"), F.col("script"), F.col("position"))
+        typed = F.transform("inputs", lambda text: F.from_json(text, _DOCUMENT))
+        below = _children(typed, F.col("depth") + 1, F.col("artifact"), F.col("script"), F.col("position"))
         todo = rest.select("doc_id", _unnest(below, LEVELS_PER_ROUND).alias("_nodes"))
 
 
@@ -67,16 +86,14 @@ def _named(nodes: DataFrame, fqn_prefix: str) -> DataFrame:
 
 
 def _entries(level: Column, depth: Column, parent: Column, parent_script: Column, place: Column) -> Column:
-    """The keys of a document as an array of nodes; a node without a script has no inputs."""
+    """The keys of an object as an array of nodes."""
 
     def node(entry: Column, i: Column) -> Column:
-        script = F.coalesce(F.variant_get(entry["value"], "$.metadata.script", "string"), F.lit(""))
-        inputs = F.when(script != "", F.variant_get(entry["value"], "$.input", _INPUTS))
         return F.struct(
             entry["key"].alias("artifact"),
-            script.alias("script"),
-            F.variant_get(entry["value"], "$.filename", "string").alias("recorded"),
-            F.coalesce(inputs, F.array().cast(_INPUTS)).alias("inputs"),
+            F.coalesce(entry["value"]["metadata"]["script"], F.lit("")).alias("script"),
+            entry["value"]["filename"].alias("recorded"),
+            entry["value"]["input"].alias("inputs"),
             depth.alias("depth"),
             parent.alias("parent_artifact"),
             parent_script.alias("parent_script"),
@@ -88,22 +105,91 @@ def _entries(level: Column, depth: Column, parent: Column, parent_script: Column
 
 def _children(inputs: Column, depth: Column, parent: Column, parent_script: Column, place: Column) -> Column:
     below = lambda item, i: _entries(item, depth, parent, parent_script, F.concat(place, F.array(i)))
-    return F.flatten(F.transform(inputs, below))
+    return F.flatten(F.array_compact(F.transform(inputs, below)))
 
 
 def _unnest(level: Column, levels: int) -> Column:
-    """Nodes of this and the next levels as one array; those of the last level keep their inputs."""
+    """Nodes of this and the next levels as one array; those of the last level keep their inputs, as JSON texts."""
     if levels == 1:
-        return F.transform(level, lambda n: n.withField("inputs", F.when(F.size(n["inputs"]) > 0, n["inputs"])))
+        entered = lambda n: F.when((n["script"] != "") & (F.size(n["inputs"]) > 0), n["inputs"])
+        return F.transform(level, lambda n: n.withField("inputs", entered(n)))
 
     def with_descendants(n: Column) -> Column:
-        own = F.array(n.withField("inputs", F.lit(None).cast(_INPUTS)))
+        own = F.array(n.withField("inputs", F.lit(None).cast(_TEXTS)))
         below = _children(n["inputs"], n["depth"] + 1, n["artifact"], n["script"], n["position"])
-        return F.concat(own, _unnest(below, levels - 1))
+        entered = F.when(n["script"] != "", _unnest(below, levels - 1))
+        return F.coalesce(F.concat(own, entered), own)
 
     return F.flatten(F.transform(level, with_descendants))
 
 
+_OBJECT = "map<string, string>"
+_NODE = "filename string, metadata struct<script string>, input array<string>"
+
+
+def _subtrees(objects: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Each key of the objects with its body and the digest that names the subtree."""
+    named = objects.select(*keep, F.explode(F.from_json(text, _OBJECT)).alias("artifact", "body"))
+    body = F.coalesce("body", F.lit("null"))
+    return named.withColumn("subtree", F.unhex(F.sha2(F.concat("artifact", F.lit("\0"), body), 256)))
+
+
+def _distinct_subtrees(found: DataFrame) -> DataFrame:
+    return found.groupBy("subtree").agg(F.any_value("artifact").alias("artifact"), F.any_value("body").alias("body"))
+
+
+def shared_provenance(docs: DataFrame, doc: str = "doc") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents (JSON texts or variants) as one graph in which each different subtree is a node once.
+
+    Returns roots (subtree, n: how many documents' keys are it), nodes (subtree, artifact, script, recorded) and links
+    (parent, child, n: how often the child is among the parent's inputs). Subtrees are the same if their texts are, whichever
+    document or depth they stand in. A round parses the subtrees that no earlier round met, each once, so the work follows
+    the different subtrees and not their occurrences; its number of rounds is at most the depth.
+    """
+    top = cut(_subtrees(docs.select(_json_text(docs, doc).alias("_text")), "_text"), "subtrees")
+    roots = cut(top.groupBy("subtree").agg(F.count("*").alias("n")), "roots")
+    fresh = cut(_distinct_subtrees(top), "fresh")
+    nodes: list[DataFrame] = []
+    links: list[DataFrame] = []
+    while True:
+        parsed = fresh.select("subtree", "artifact", F.from_json("body", _NODE).alias("_n")).select(
+            "subtree",
+            "artifact",
+            F.coalesce("_n.metadata.script", F.lit("")).alias("script"),
+            F.col("_n.filename").alias("recorded"),
+            F.col("_n.input").alias("_inputs"),
+        )
+        nodes.append(cut(parsed.drop("_inputs"), "nodes"))
+        inputs = parsed.filter("script <> ''").select(F.col("subtree").alias("parent"), F.explode("_inputs").alias("_text"))
+        below = cut(_subtrees(inputs, "_text", "parent"), "subtrees")
+        links.append(cut(below.groupBy("parent", F.col("subtree").alias("child")).agg(F.count("*").alias("n")), "links"))
+        met = reduce(DataFrame.unionByName, nodes).select("subtree")
+        fresh = cut(_distinct_subtrees(below.drop("parent")).join(met, "subtree", "left_anti"), "fresh")
+        if fresh.select("subtree").isEmpty():
+            return roots, reduce(DataFrame.unionByName, nodes), reduce(DataFrame.unionByName, links)
+
+
+def shared_occurrences(roots: DataFrame, nodes: DataFrame, links: DataFrame, fqn_prefix: str) -> DataFrame:
+    """How often each node of the shared graph stands at each depth: what the plain unnesting would repeat, as counts."""
+    links = cut(links, "links")
+    at = [roots.withColumn("depth", F.lit(0))]
+    while not at[-1].isEmpty():
+        above = at[-1].select(F.col("subtree").alias("parent"), F.col("n").alias("_times"))
+        below = above.join(links, "parent").groupBy(F.col("child").alias("subtree")).agg(F.sum(F.col("_times") * F.col("n")).alias("n"))
+        at.append(cut(below.withColumn("depth", F.lit(len(at))), "occurrences"))
+    counted = reduce(DataFrame.unionByName, at).join(nodes, "subtree")
+    return counted.select(
+        "depth",
+        "subtree",
+        "artifact",
+        artifact_fqn(fqn_prefix, "artifact").alias("fqn"),
+        "script",
+        F.when(F.col("script") != "", step_id("script", "artifact")).alias("step_id"),
+        "recorded",
+        F.col("n").alias("occurrences"),
+    )
+
+
 def provenance_edges(nodes: DataFrame) -> DataFrame:
     """Edge occurrences (doc_id, parent_input, child_output): an output and one artifact it was made from."""
     return nodes.filter(F.col("parent_artifact").isNotNull()).select(
@@ -122,14 +208,15 @@ def step_members(nodes: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataF
     """Outputs, inputs and raw inputs of each step: (keys, step_id, role, fqn, occurrences).
 
     Steps are told apart inside ``keys``; pass none to merge the steps of all documents. Outputs and
-    inputs are sets, raw inputs a list, so for role ``raw`` the occurrences count.
+    inputs are sets, raw inputs a list, so for role ``raw`` the occurrences count. Of an input object with several keys the
+    first is the input; the others are only artifacts and steps of their own.
     """
     own = F.when(
         F.col("step_id").isNotNull(),
         F.struct(F.col("step_id").alias("step_id"), F.lit("output").alias("role")),
     )
     used = F.when(
-        F.col("parent_step").isNotNull(),
+        F.col("parent_step").isNotNull() & (F.element_at("position", -1) == 0),
         F.struct(
             F.col("parent_step").alias("step_id"),
             F.when(F.col("step_id").isNull(), F.lit("raw")).otherwise(F.lit("input")).alias("role"),
@@ -240,6 +327,53 @@ def declared_groups(declared: DataFrame) -> DataFrame:
     )
 
 
+_HUB = "\0"  # starts the name of a hub, which no artifact's name can
+
+
+def declared_hubs(declared: DataFrame) -> DataFrame:
+    """The edges of ``declared_edges`` in factors: (parent, child) from inlets to the hub of their group, from it to outlets.
+
+    A group has as many edges here as it has inlets and outlets, not their product. Every edge of the product is a way of two
+    edges over a hub, so degrees and reach are the same; groups without one side lead nowhere and are left out. Null keys
+    make no group, as in the join.
+    """
+    side = declared.select("dag", "key", "direction", "fqn").filter("direction IN ('inlet', 'outlet')").distinct()
+    whole = side.groupBy("dag", "key").agg(F.count_distinct("direction").alias("_n")).filter("_n = 2").drop("_n")
+    hub = F.concat(F.lit(_HUB), "dag", F.lit(_HUB), "key")
+    inward = F.col("direction") == "inlet"
+    return side.join(whole, ["dag", "key"], "left_semi").select(
+        F.when(inward, F.col("fqn")).otherwise(hub).alias("parent"), F.when(inward, hub).otherwise(F.col("fqn")).alias("child")
+    )
+
+
+def _is_hub(name: str) -> Column:
+    return F.startswith(name, F.lit(_HUB))
+
+
+def hub_degrees(hubs: DataFrame) -> DataFrame:
+    """(fqn, n_in, n_out): declared edges that end and start at each artifact, counted without forming them."""
+    sizes = degrees(hubs).filter(_is_hub("node"))
+    ends = hubs.select(
+        F.when(_is_hub("child"), F.col("child")).otherwise(F.col("parent")).alias("node"),
+        F.when(_is_hub("child"), F.col("parent")).otherwise(F.col("child")).alias("fqn"),
+        _is_hub("child").alias("_out"),
+    )
+    return (
+        ends.join(sizes, "node")
+        .groupBy("fqn")
+        .agg(
+            F.coalesce(F.sum(F.when(~F.col("_out"), F.col("n_in"))), F.lit(0)).alias("n_in"),
+            F.coalesce(F.sum(F.when(F.col("_out"), F.col("n_out"))), F.lit(0)).alias("n_out"),
+        )
+    )
+
+
+def hub_ancestors(hubs: DataFrame, start: DataFrame) -> DataFrame:
+    """(node, ancestor, distance) as ``ancestors`` finds it over the declared edges, walked over the hubs."""
+    reach = ancestors(hubs, start).filter(~_is_hub("ancestor"))
+    return reach.withColumn("distance", (F.col("distance") / 2).cast("int"))
+
+
 def orphans(proven: DataFrame, declared: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of either side that the other lacks, with ``only_in``. One shuffle of distinct keys."""
     both = (

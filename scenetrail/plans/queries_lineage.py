@@ -36,8 +36,7 @@ def history_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _nodes(spark, sf) -> DataFrame:
-    docs = history_documents(spark, sf).select("doc_id", F.parse_json("body").alias("doc"))
-    return lineage.flatten_provenance(docs, PREFIX)
+    return lineage.flatten_provenance(history_documents(spark, sf), PREFIX, doc="body")
 
 
 def _step(script: str, path: str) -> str:
@@ -100,6 +99,128 @@ def prov_nodes(spark, sf):
     )
 
 
+@query(
+    "q_prov_shared",
+    f"""
+    SELECT depth, artifact, fqn, script, step_id, recorded, count(*) AS occurrences FROM ({_NODES}) x
+    GROUP BY 1, 2, 3, 4, 5, 6
+    """,
+    _V,
+)
+def prov_shared(spark, sf):
+    shared = lineage.shared_provenance(history_documents(spark, sf), "body")
+    counted = lineage.shared_occurrences(*shared, PREFIX)
+    return counted.groupBy("depth", "artifact", "fqn", "script", "step_id", "recorded").agg(
+        F.sum("occurrences").alias("occurrences")
+    )
+
+
+DEEP = 8
+
+
+def _deep_documents(spark, sf) -> DataFrame:
+    """A chain of nine artifacts for each order; every second step also reads a raw file of the customer."""
+
+    def text(path, script, inputs):
+        return F.concat(
+            F.lit('{"'), path, F.lit('": {"filename": "'), path, F.lit(" 2025-01-01 00:00:00\", \"metadata\": {\"script\": \""),
+            F.lit(script), F.lit('"}, "input": ['), F.concat_ws(", ", *inputs), F.lit("]}}"),
+        )
+
+    raw = text(F.concat(F.lit("customer_"), "o_custkey", F.lit(".meta")), "", [])
+    doc = None
+    for k in reversed(range(DEEP + 1)):
+        path = F.concat(F.lit("cgmsre_t21kpq_"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit(f"_n{k}.img"))
+        inputs = ([raw] if k % 2 and k < DEEP else []) + ([doc] if k < DEEP else [])
+        doc = text(path, f"Step_{k}.py" if k < DEEP else "", inputs)
+    return table(spark, sf, "orders").select("o_orderkey", doc.alias("body"))
+
+
+@query(
+    "q_prov_deep",
+    f"""
+    WITH c AS (SELECT o_orderkey, 'customer_' || o_custkey || '.meta' AS raw, cast(k AS int) AS k,
+                      'cgmsre_t21kpq_' || lpad(cast(o_orderkey AS varchar), 8, '0') || '_n' AS stem
+               FROM orders, range({DEEP + 1}) r(k)),
+    n AS (SELECT o_orderkey, k AS depth, stem || k || '.img' AS artifact,
+                 CASE WHEN k < {DEEP} THEN 'Step_' || k || '.py' ELSE '' END AS script,
+                 CASE WHEN k > 0 THEN stem || (k - 1) || '.img' END AS parent_artifact FROM c
+          UNION ALL SELECT o_orderkey, k + 1, raw, '', stem || k || '.img' FROM c WHERE k % 2 = 1 AND k < {DEEP})
+    SELECT *, CASE WHEN script <> '' THEN 'step-' || depth || '_n' || depth || '_img' END AS step_id,
+           artifact || ' 2025-01-01 00:00:00' AS recorded, count(*) AS n FROM n GROUP BY ALL
+    """,
+)
+def prov_deep(spark, sf):
+    nodes = lineage.flatten_provenance(_deep_documents(spark, sf), PREFIX, "o_orderkey", "body")
+    return nodes.groupBy(
+        F.col("doc_id").alias("o_orderkey"), "depth", "artifact", "script", "parent_artifact", "step_id", "recorded"
+    ).agg(F.count("*").alias("n"))
+
+
+def _supplier_documents(spark, sf) -> DataFrame:
+    """A document for each supplier in each of two folders: (folder, doc, body).
+
+    The top artifact has one input object for each order line, with two keys whose names sort against their order.
+    """
+
+    def entry(path, script):
+        return F.concat(
+            F.lit('"'), path, F.lit('": {"filename": "'), path, F.lit(' 2025-01-01 00:00:00", "metadata": {"script": "'),
+            script, F.lit('"}, "input": []}'),
+        )
+
+    def path(start, number, end):
+        return F.concat(F.lit(start + "gmsre_t21kpq_"), F.lpad(F.col(number).cast("string"), 8, "0"), F.lit("_"), end)
+
+    end = F.concat(F.lit("abam"), "l_linenumber", F.lit(".img"))
+    first = entry(path("z", "l_partkey", end), F.when(F.col("l_returnflag") == "R", "").otherwise("Make_Ref.py"))
+    second = entry(path("a", "l_orderkey", end), F.when(F.col("l_linenumber") % 2 == 0, "make_ref.py").otherwise(""))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"]
+    item = F.struct(*order, F.concat(F.lit("{"), first, F.lit(", "), second, F.lit("}")).alias("item"))
+    items = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.array_sort(F.collect_list(item))["item"].alias("items"))
+    top = path("c", "l_suppkey", F.lit("ad7m4.img"))
+    scripts = F.create_map(F.lit("a"), F.lit("Make_Top.py"), F.lit("b"), F.lit("make_top.py"))
+    body = F.concat(
+        F.lit('{"'), top, F.lit('": {"filename": "'), top, F.lit(' 2025-01-01 00:00:00", "metadata": {"script": "'),
+        scripts[F.col("folder")], F.lit('"}, "input": ['), F.array_join("items", ", "), F.lit("]}}"),
+    )
+    folders = items.withColumn("folder", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    return folders.select("folder", F.col("l_suppkey").alias("doc"), body.alias("body"))
+
+
+@query(
+    "q_prov_files",
+    """
+    WITH made AS (
+      SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_returnflag, '0Make_Ref.py' AS script, 'z' || l_partkey AS made
+      FROM lineitem WHERE l_returnflag <> 'R'
+      UNION ALL SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_returnflag, '1make_ref.py', 'a' || l_orderkey
+      FROM lineitem WHERE l_linenumber % 2 = 0),
+    steps AS (
+      SELECT l_suppkey AS doc, 'make-ref_abam' || l_linenumber || '_img' AS step_id,
+             substr(min(lpad(cast(l_orderkey AS varchar), 12, '0') || lpad(cast(l_partkey AS varchar), 12, '0')
+                        || l_returnflag || script), 27) AS script,
+             count(DISTINCT made) AS n_outputs, 0 AS n_inputs, 0 AS n_raw_inputs, 0 AS n_raw_distinct
+      FROM made GROUP BY l_suppkey, l_linenumber
+      UNION ALL
+      SELECT l_suppkey, 'make-top_ad7m4_img', NULL, 1,
+             count(DISTINCT l_partkey || '-' || l_linenumber) FILTER (l_returnflag <> 'R'),
+             count(*) FILTER (l_returnflag = 'R'), count(DISTINCT l_partkey || '-' || l_linenumber) FILTER (l_returnflag = 'R')
+      FROM lineitem GROUP BY l_suppkey)
+    SELECT folder, doc, step_id, coalesce(script, top) AS script, n_outputs, n_inputs, n_raw_inputs, n_raw_distinct
+    FROM steps, (VALUES ('a', 'Make_Top.py'), ('b', 'make_top.py')) f(folder, top)
+    """,
+)
+def prov_files(spark, sf):
+    path = scratch_path(spark, "history")
+    docs = _supplier_documents(spark, sf)
+    docs.repartition("folder", "doc").write.partitionBy("folder", "doc").text(path)
+    nodes = lineage.flatten_provenance(documents.read_provenance(spark, path), PREFIX, doc="body")
+    steps = lineage.build_steps(nodes, lineage.step_members(nodes))
+    place = lambda name: F.regexp_extract("doc_id", f"/{name}=([^/]*)/", 1)
+    return steps.withColumns({"folder": place("folder"), "doc": place("doc").cast("long")}).drop("doc_id")
+
+
 @query(
     "q_prov_edges",
     """
@@ -212,7 +333,7 @@ def all_inputs(spark, sf):
     _V,
 )
 def step_levels(spark, sf):
-    docs = history_documents(spark, sf).select("doc_id", F.parse_json("body").alias("doc"))
+    docs = history_documents(spark, sf).select("doc_id", F.col("body").alias("doc"))
     return flows.lineage_tables(docs, PREFIX)["levels"]
 
 
@@ -406,6 +527,41 @@ def declared_groups(spark, sf):
     return lineage.declared_groups(view(spark, sf, "declared"))
 
 
+_DECLARED = """
+    SELECT DISTINCT i.dag, i.key, i.fqn AS from_fqn, o.fqn AS to_fqn FROM declared i JOIN declared o
+    ON i.dag = o.dag AND i.key = o.key WHERE i.direction = 'inlet' AND o.direction = 'outlet'
+"""
+
+
+@query(
+    "q_declared_hubs",
+    f"""
+    SELECT fqn, cast(sum(i) AS bigint) AS n_in, cast(sum(o) AS bigint) AS n_out FROM (
+      SELECT from_fqn AS fqn, 0 AS i, 1 AS o FROM ({_DECLARED}) a
+      UNION ALL SELECT to_fqn, 1, 0 FROM ({_DECLARED}) b) e GROUP BY 1
+    """,
+    ("declared",),
+)
+def declared_hubs(spark, sf):
+    return lineage.hub_degrees(lineage.declared_hubs(view(spark, sf, "declared")))
+
+
+@query(
+    "q_declared_reach",
+    f"""
+    , d AS (SELECT DISTINCT from_fqn, to_fqn FROM ({_DECLARED}) x),
+    walk(node, ancestor, distance) AS (
+      SELECT to_fqn, from_fqn, 1 FROM d
+      UNION SELECT w.node, d.from_fqn, w.distance + 1 FROM walk w JOIN d ON d.to_fqn = w.ancestor WHERE w.distance < 50)
+    SELECT node, ancestor, min(distance) AS distance FROM walk GROUP BY 1, 2
+    """,
+    ("declared",),
+)
+def declared_reach(spark, sf):
+    start = table(spark, sf, "lineitem").select(line_nodes().alias("node"))
+    return lineage.hub_ancestors(lineage.declared_hubs(view(spark, sf, "declared")), start)
+
+
 _PROVEN = """
     SELECT 'dag-' || cast(l_orderkey AS varchar) AS dag, 'outlet' AS direction, 'lines/' || cast(l_orderkey AS varchar)
            || '-' || cast(l_partkey AS varchar) || '-' || cast(l_suppkey AS varchar) AS fqn FROM lineitem
