@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scenetrail.operators.graph import components
 from scenetrail.session import cut
@@ -52,57 +56,114 @@ def mosaic(tiles: DataFrame, keys: tuple[str, ...] = ("row", "col")) -> DataFram
 
 
 _ROW_SHIFT = 31  # a place is packed as row * 2**31 + col, so rows and columns stay below 2**31
-_STRIP = 4096
+_SIDE = 512  # rows and columns of the squares that are labelled by themselves
+_KEYS = ["scene", "band"]
+_FORWARD = ((0, 1), (1, -1), (1, 0), (1, 1))  # to the four neighbours after a pixel
 
 
 def _place(row: Column, col: Column) -> Column:
     return F.shiftleft(row.cast("long"), _ROW_SHIFT) + col
 
 
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of the set of each of n things, of which a[i] and b[i] belong together: union-find in rounds."""
+    root = np.arange(n)
+    while True:
+        left, right = root[a], root[b]
+        apart = left != right
+        if not apart.any():
+            return root
+        a, b, left, right = a[apart], b[apart], left[apart], right[apart]
+        np.minimum.at(root, np.maximum(left, right), np.minimum(left, right))
+        while True:
+            above = root[root]
+            if (above == root).all():
+                break
+            root = above
+
+
+def _label_square(square: pa.Table) -> pa.Table:
+    """Regions inside one square, and its pixels that have neighbours in another one (n is null there).
+
+    Values stay in Arrow, which tells NaN from null.
+    """
+    rows, cols = (square[name].to_numpy().astype(np.int64) for name in ("row", "col"))
+    order = np.lexsort((cols, rows))
+    rows, cols, values = rows[order], cols[order], square["value"].combine_chunks().take(pa.array(order))
+    code = values.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    r, c = rows % _SIDE, cols % _SIDE
+    grid = np.full((_SIDE + 1, _SIDE + 2), -1, np.int64)  # with an empty margin, for neighbours outside
+    grid[r, c + 1] = np.arange(len(rows))
+    pairs = []
+    for down, right in _FORWARD:
+        other = grid[r + down, c + 1 + right]
+        here = np.flatnonzero(other >= 0)
+        here = here[code[here] == code[other[here]]]
+        pairs.append((here, other[here]))
+    root = _roots(len(rows), np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs]))
+
+    first, of = np.unique(root, return_inverse=True)
+    edge = np.flatnonzero((r == 0) | (r == _SIDE - 1) | (c == 0) | (c == _SIDE - 1))
+    n_pixels = np.concatenate([np.bincount(of), np.zeros(len(edge), np.int64)])
+    bounds = [rows[first], rows[first].copy(), cols[first].copy(), cols[first].copy()]  # a region starts in its first row
+    np.maximum.at(bounds[1], of, rows)
+    np.minimum.at(bounds[2], of, cols)
+    np.maximum.at(bounds[3], of, cols)
+    bounds = [np.concatenate([b, at[edge]]) for b, at in zip(bounds, (rows, rows, cols, cols))]
+    seeds = ((rows << _ROW_SHIFT) + cols)[np.concatenate([first, root[edge]])]
+    scene, band = (pa.repeat(square[name][0], len(seeds)) for name in _KEYS)
+    value = values.take(pa.array(np.concatenate([first, edge])))
+    counts = pa.array(n_pixels, mask=np.arange(len(seeds)) >= len(first))
+    names = [*_KEYS, "seed", "value", "n", "min_row", "max_row", "min_col", "max_col"]
+    return pa.table([scene, band, pa.array(seeds), value, counts, *map(pa.array, bounds)], names=names)
+
+
 def segments(pixels: DataFrame) -> DataFrame:
     """8-connected regions of equal value, one row each.
 
     ``pixels`` is (scene, band, row, col, value) with each place once. A region is named by its first
-    pixel in row and column order. Pixels next to each other in a row are first merged to runs, inside
-    strips of fixed width; runs that touch are the edges of a graph, and its components are the regions.
-    A region of any size stays spread out. A null value is no data and belongs to no region.
+    pixel in row and column order. A null value is no data and belongs to no region; rows and columns below 0 or from
+    2**31 on are an error.
+
+    Squares of fixed size are labelled by union-find, each as one Arrow group that its area bounds. Only pixels on the border
+    of a square meet their neighbours in other squares; the regions that touch there are the edges of a graph, and its
+    components are the regions of the scene. A region of any size stays spread out.
     """
-    keys = ["scene", "band"]
-    pixels = pixels.filter(F.col("value").isNotNull())
-    strip = W.partitionBy(*keys, "row", F.floor(F.col("col") / _STRIP)).orderBy("col")
-    follows = (F.lag("col").over(strip) == F.col("col") - 1) & F.lag("value").over(strip).eqNullSafe(F.col("value"))
-    marked = pixels.select(*keys, "row", "col", "value").withColumn("_start", F.when(~F.coalesce(follows, F.lit(False)), F.col("col")))
-    so_far = strip.rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = cut(
-        marked.withColumn("run", _place(F.col("row"), F.last("_start", ignorenulls=True).over(so_far))).drop("_start"),
-        "runs",
-    )
-    # Each pixel names the places below it, and the one to its right where a strip ends.
-    below = [F.struct(F.lit(1).alias("dr"), F.lit(c).alias("dc")) for c in (-1, 0, 1)]
-    right = F.when(F.col("col") % _STRIP == _STRIP - 1, F.struct(F.lit(0).alias("dr"), F.lit(1).alias("dc")))
-    reach = placed.select(*keys, "row", "col", "value", "run", F.inline(F.array_compact(F.array(*below, right)))).select(
-        *keys,
-        "value",
-        _place(F.col("row") + F.col("dr"), F.col("col") + F.col("dc")).alias("place"),
-        F.col("run").alias("parent"),
+    inside = F.col("row").between(0, (1 << _ROW_SHIFT) - 1) & F.col("col").between(0, (1 << _ROW_SHIFT) - 1)
+    outside = F.raise_error(F.concat(F.lit("a pixel is out of range: "), F.concat_ws(", ", "row", "col")))
+    row = F.when(inside, F.col("row").cast("long")).otherwise(outside.cast("long"))
+    value = F.col("value")
+    if isinstance(pixels.schema["value"].dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(value == 0, F.abs(value)).otherwise(value)  # both zeros are one value
+    known = pixels.filter(F.col("value").isNotNull()).select(
+        *_KEYS, row.alias("row"), F.col("col").cast("long").alias("col"), value.alias("value")
     )
-    there = placed.select(*keys, "value", _place(F.col("row"), F.col("col")).alias("place"), F.col("run").alias("child"))
-    edges = reach.join(there, [*keys, "place", "value"]).select(*keys, "parent", "child").distinct()
-    runs = placed.groupBy(*keys, "run", "row", "value").agg(
-        F.count("*").alias("n"), F.min("col").alias("c0"), F.max("col").alias("c1")
+    kinds = [pixels.schema[c] for c in _KEYS] + [T.StructField("seed", T.LongType()), pixels.schema["value"]]
+    kinds += [T.StructField(c, T.LongType()) for c in ("n", "min_row", "max_row", "min_col", "max_col")]
+    square = [F.floor(F.col(c) / _SIDE) for c in ("row", "col")]
+    labelled = cut(known.groupBy(*_KEYS, *square).applyInArrow(_label_square, T.StructType(kinds)), "squares")
+
+    border = labelled.filter("n IS NULL").select(*_KEYS, "value", "seed", F.col("min_row").alias("row"), F.col("min_col").alias("col"))
+    near = [F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i, j in _FORWARD]
+    beyond = border.select("*", F.inline(F.array(*near))).select(
+        *_KEYS, "value", F.col("seed").alias("parent"), "row", "col", (F.col("row") + F.col("dr")).alias("to_row"), (F.col("col") + F.col("dc")).alias("to_col")
     )
-    labels = components(edges, keys).withColumnRenamed("node", "run")
+    crosses = reduce(Column.__or__, [F.floor(F.col(c) / _SIDE) != F.floor(F.col(f"to_{c}") / _SIDE) for c in ("row", "col")])
+    beyond = beyond.filter(crosses).select(*_KEYS, "value", "parent", _place(F.col("to_row"), F.col("to_col")).alias("place"))
+    there = border.select(*_KEYS, "value", F.col("seed").alias("child"), _place(F.col("row"), F.col("col")).alias("place"))
+    edges = beyond.join(there, [*_KEYS, "place", "value"]).select(*_KEYS, "parent", "child").distinct()
+    regions = labelled.filter("n IS NOT NULL")
     return (
-        runs.join(labels, [*keys, "run"], "left")
-        .groupBy(*keys, F.coalesce("component", "run").alias("seed"), "value")
+        regions.join(components(edges, _KEYS).withColumnRenamed("node", "seed"), [*_KEYS, "seed"], "left")
+        .groupBy(*_KEYS, F.coalesce("component", "seed").alias("first"), "value")
         .agg(
             F.sum("n").alias("n_pixels"),
-            F.min("row").alias("min_row"),
-            F.max("row").alias("max_row"),
-            F.min("c0").alias("min_col"),
-            F.max("c1").alias("max_col"),
+            F.min("min_row").alias("min_row"),
+            F.max("max_row").alias("max_row"),
+            F.min("min_col").alias("min_col"),
+            F.max("max_col").alias("max_col"),
         )
-        .withColumn("seed_row", F.shiftright("seed", _ROW_SHIFT))
-        .withColumn("seed_col", F.col("seed") - F.shiftleft("seed_row", _ROW_SHIFT))
-        .drop("seed")
+        .withColumn("seed_row", F.shiftright("first", _ROW_SHIFT))
+        .withColumn("seed_col", F.col("first") - F.shiftleft("seed_row", _ROW_SHIFT))
+        .drop("first")
     )

@@ -389,7 +389,7 @@ def test_raster(spark, rows):
 
 def test_segments_against_flood_fill(spark):
     rng = random.Random(11)
-    grid = {(r, c): rng.choice((1, 1, 2)) for r in range(30) for c in list(range(12)) + list(range(4085, 4105)) if rng.random() < 0.9}
+    grid = {(r, c): rng.choice((1, 1, 2)) for r in [*range(15), *range(505, 519)] for c in list(range(12)) + list(range(500, 520)) if rng.random() < 0.9}
     df = spark.createDataFrame([("s", 1, r, c, v) for (r, c), v in grid.items()], "scene string, band int, row int, col int, value int")
     got = {(r.seed_row, r.seed_col): (r.value, r.n_pixels, r.min_row, r.max_row, r.min_col, r.max_col) for r in raster.segments(df).collect()}
     want, seen = {}, set()
@@ -497,6 +497,26 @@ def test_module_failure_without_a_name(spark):
     assert spark.range(1).select(text.module_failures(F.lit(log)).alias("m")).first().m == ["gdal", ""]
 
 
+def test_one_region_over_many_squares(spark, rows):
+    """A frame with a spiral in it: the squares know parts only; and the same places in another scene and band."""
+    side, step = 1100, 60
+    frame = {(r, c) for k in range(0, side // 2, step) for r in (k, side - 1 - k) for c in range(k, side - k)}
+    frame |= {(r, c) for k in range(0, side // 2, step) for c in (k, side - 1 - k) for r in range(k, side - k)}
+    bridge = {(r, side // 2) for r in range(side)}
+    df = spark.createDataFrame([(r, c) for r, c in frame | bridge], "row int, col int").selectExpr("explode(array('s', 't')) AS scene", "1S AS band", "row", "col", "CASE WHEN scene = 't' THEN double('NaN') WHEN col % 2 = 0 THEN 0D ELSE -0D END AS value")
+    got = raster.segments(df).select("scene", "seed_row", "seed_col", "n_pixels", "max_row", "max_col")
+    n = len(frame | bridge)
+    assert rows(got) == [("s", 0, 0, n, side - 1, side - 1), ("t", 0, 0, n, side - 1, side - 1)]
+
+
+def test_places_out_of_range_are_an_error(spark):
+    one = "scene string, band int, row long, col long, value string"
+    assert raster.segments(spark.createDataFrame([], one)).collect() == []
+    for place in ((-1, 0), (0, -1), (1 << 31, 0)):
+        with pytest.raises(Exception, match="out of range"):
+            raster.segments(spark.createDataFrame([("s", 1, *place, "a")], one)).collect()
+
+
 def test_null_pixels_are_no_data(spark):
     pixels = spark.createDataFrame([("s", 1, r, c, None if r < 2 and c < 2 else 1.0) for r in range(2) for c in range(3)], "scene string, band int, row int, col int, value double")
     found = raster.segments(pixels).collect()
