@@ -6,8 +6,6 @@ writes its result to the shared folder, so a lost executor costs at most one rou
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,36 +113,33 @@ def descendants(edges: DataFrame, start: DataFrame, keys: list[str] | None = Non
 def levels(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Execution level per node: 1 for a root, else one more than the highest level among its parents.
 
-    Nodes are peeled off: a node gets its level when its last open parent has got one. Each round reads all edges and
-    follows those of the nodes that it peels. A cycle leaves nodes without a level and raises an error.
+    Only edges to nodes that are parents themselves can hold a level back, so the rounds run over these alone. Round d keeps
+    the ones whose parents have a level of at least d: their parents are children in the round before. A node's level is
+    one more than the number of rounds that have it as a child; all rounds are one table. The edges become fewer in each
+    round, or there is a cycle among them, which is an error. All other nodes get their levels by one join at the end. A
+    chain takes a round for each edge.
     """
     keys = keys or []
+    spark = edges.sparkSession
+    path = scratch_path(spark, "levels")
     links = cut(edges.select(*keys, "parent", "child").distinct(), "edges")
-    open_nodes = cut(degrees(links, keys).select(*keys, "node", F.col("n_in").alias("_open")), "open")
-    done: list[DataFrame] = []
-    level = 0
-    while True:
-        level += 1
-        ready = open_nodes.filter(F.col("_open") == 0).select(*keys, "node")
-        if ready.isEmpty():
-            break
-        done.append(ready.withColumn("level", F.lit(level)))
-        closed = (
-            links.join(ready.withColumnRenamed("node", "parent"), [*keys, "parent"], "left_semi")
-            .groupBy(*keys, F.col("child").alias("node"))
-            .agg(F.count("*").alias("_closed"))
-        )
-        open_nodes = cut(
-            open_nodes.filter(F.col("_open") > 0)
-            .join(closed, [*keys, "node"], "left")
-            .select(*keys, "node", (F.col("_open") - F.coalesce("_closed", F.lit(0))).alias("_open")),
-            "open",
-        )
-    if not open_nodes.isEmpty():
-        raise ValueError("the graph has a cycle")
-    if not done:
-        return open_nodes.select(*keys, "node", F.lit(0).alias("level"))
-    return reduce(DataFrame.unionByName, done)
+    inner = links.join(links.select(*keys, F.col("parent").alias("child")).distinct(), [*keys, "child"], "left_semi")
+    kind = T.StructType([*links.schema, T.StructField("round", T.IntegerType())])
+    at, left = 1, None
+    while left is None or left > 0:
+        inner.select(*keys, "parent", "child").write.option("compression", "zstd").parquet(f"{path}/round={at}")
+        rounds = spark.read.schema(kind).parquet(path)
+        last = rounds.filter(F.col("round") == at).drop("round")
+        before, left = left, last.count()
+        if left and left == before:
+            raise ValueError("the graph has a cycle")
+        at += 1
+        fed = last.select(*keys, F.col("child").alias("parent")).distinct()
+        inner = last.join(fed, [*keys, "parent"], "left_semi")
+    held = rounds.groupBy(*keys, F.col("child").alias("parent")).agg((F.max("round") + 1).alias("level"))
+    level = F.coalesce("level", F.lit(1))
+    ends = F.array(F.struct(F.col("parent").alias("node"), level.alias("level")), F.struct(F.col("child").alias("node"), (level + 1).alias("level")))
+    return links.join(held, [*keys, "parent"], "left").select(*keys, F.inline(ends)).groupBy(*keys, "node").agg(F.max("level").alias("level"))
 
 
 def components(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:

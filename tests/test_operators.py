@@ -523,6 +523,23 @@ def test_null_pixels_are_no_data(spark):
     assert [(r.seed_row, r.seed_col, r.n_pixels) for r in found] == [(0, 2, 2)]
 
 
+def test_levels_against_the_longest_ways(spark, rows):
+    """Short and long ways to one node, keys told apart, a chain of 40, repeated edges, and cycles behind a root."""
+    rng = random.Random(5)
+    edges = {(1, f"n{a:02}", f"n{b:02}") for a, b in (sorted(rng.sample(range(30), 2)) for _ in range(80))}
+    edges |= {(2, f"n{i:02}", f"n{i + 1:02}") for i in range(40)} | {(2, "n00", "n40"), (2, "x", "n40")}
+    want = {}
+    for g, a, b in sorted(edges):
+        want.setdefault((g, a), 1)
+        want[g, b] = max(want.get((g, b), 1), want[g, a] + 1)
+    df = spark.createDataFrame([*edges, *edges], "g int, parent string, child string")
+    assert rows(graph.levels(df, ["g"]).select("g", "node", "level")) == sorted((*k, v) for k, v in want.items())
+    assert graph.levels(df.limit(0)).collect() == []
+    for loop in ([("a", "b"), ("b", "c"), ("c", "b"), ("c", "d")], [("a", "a")]):
+        with pytest.raises(ValueError, match="cycle"):
+            graph.levels(spark.createDataFrame(loop, "parent string, child string"))
+
+
 def test_reach_over_shared_nodes(spark, rows):
     """Many nodes under few, several ways of unlike length, and a cycle, against a walk from each node."""
     edges = [(f"a{i}", f"b{i % 40}") for i in range(400)] + [(f"a{i}", f"c{i % 7}") for i in range(0, 400, 3)]
