@@ -3,10 +3,16 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from scenetrail.operators import lineage
+from scenetrail.plans import registry
+from scenetrail.session import cluster
 from scenetrail.sources import documents
 
+SF = "/root/testdata/sf0.001"
+
 
 def _chain(n, doc=None):
     for i in reversed(range(n)):
@@ -15,6 +21,53 @@ def _chain(n, doc=None):
     return doc
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["q_prov_nodes", "q_prov_edges", "q_step_members", "q_step_deps", "q_fan_in", "q_steps", "q_roots", "q_all_inputs"])
+def test_grouping_by_document_shuffles_only_the_flat_rows(spark, name):
+    plan = _plan(registry.all_queries()[name](spark, SF))
+    assert plan.count("hashpartitioning") == 1 and plan.count("from_json") == 1
+    assert plan.count("FileScan parquet") == 1 and "lineitem.parquet" in plan
+
+
+def test_rounds_meet_at_every_depth(spark):
+    deep = {n: json.dumps(_chain(n)) for n in (1, 9, 10, 11, 20, 21, 33)}
+    escaped = {100 + n: text.replace('"input"', '"\\u0069nput"') for n, text in deep.items()}
+    quoted = {200 + n: text.replace('"', "'") for n, text in deep.items()}
+    docs = spark.createDataFrame(list((deep | escaped | quoted).items()), "doc_id int, body string")
+    nodes = lineage.flatten_provenance(cluster(docs, "doc_id", 2), "s", doc="body")
+    got = nodes.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("depth").alias("d")).collect()
+    assert {r.doc_id: (r.n, r.d) for r in got} == {i: (i % 100, i % 100 - 1) for i in docs.toPandas()["doc_id"]}
+
+
+def test_documents_of_one_id_count_together(spark, rows):
+    docs = spark.createDataFrame([(i // 2, json.dumps(_chain(2))) for i in range(400)], "doc_id int, body string")
+    members = lineage.step_members(lineage.flatten_provenance(cluster(docs, "doc_id", 10), "s", doc="body"), firsts=True)
+    assert members.count() == 600 and {r.occurrences for r in members.collect()} == {2}
+    assert lineage.step_dependencies(members).count() == 200
+
+
+def test_dependencies_with_several_producers_and_consumers(spark, rows):
+    made = [(1, s, "output", "f") for s in "ab"] + [(1, s, "input", "f") for s in "acd"] + [(1, "d", "raw", "f"), (2, "z", "output", "f"), (1, "e", "input", "g")]
+    members = spark.createDataFrame(made, "doc_id int, step_id string, role string, fqn string")
+    want = [(1, u, d) for u in "ab" for d in "acd" if u != d]
+    assert rows(lineage.step_dependencies(members)) == want
+    other = members.withColumnRenamed("doc_id", "run")
+    assert rows(lineage.step_dependencies(other, ("run",))) == want
+
+
+def test_steps_from_members_alone(spark, rows):
+    one = "{\"t.img\": {\"metadata\": {\"script\": \"%s\"}, \"input\": [{\"r.meta\": {}}, {\"r.meta\": {}}, {\"u.img\": {\"metadata\": {\"script\": \"u.py\"}}}]}}"
+    docs = spark.createDataFrame([(1, one % "t.py"), (2, one % "T.py"), (2, one % "t.py")], "doc_id int, doc string")
+    nodes = lineage.flatten_provenance(docs, "s")
+    for keys in (("doc_id",), ()):
+        joined = lineage.build_steps(nodes, lineage.step_members(nodes, keys), keys)
+        alone = lineage.build_steps(nodes, lineage.step_members(nodes, keys, firsts=True), keys)
+        assert joined.columns == alone.columns and rows(joined) == rows(alone)
+
+
 def test_stored_documents_are_compressed(spark, tmp_path):
     path = str(tmp_path / "docs")
     body = json.dumps(_chain(5))
