@@ -77,7 +77,11 @@ def windowed_counts(events: DataFrame, ts: str, value: str, width: str = "5 minu
 _SEEN = "job_id string, first_us long, last_us long, final_us long, final_state string, last_seen timestamp"
 _OUTCOME = "job_id string, submitted_us long, outcome string"
 _OUTCOME_COLUMNS = ["job_id", "submitted_us", "outcome"]
-_STATE = "submitted_us long, last_us long, final_us long, final_state string, done boolean"
+_STATE = (
+    "job_ids array<string>, submitted_us array<long>, last_us array<long>, final_us array<long>, final_states array<string>, "
+    "done array<boolean>"
+)
+JOB_BUCKETS = 1024
 _SECOND = 1_000_000
 
 
@@ -100,49 +104,68 @@ def _reduce_polls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _merge(old: tuple | None, new: tuple) -> tuple:
+    """A job as (submitted, last, final time, final state, done) with one more reduced poll row."""
+    if old is None:
+        return new
+    finals = [f for f in (old[2:4], new[2:4]) if f[0] is not None]
+    return (min(old[0], new[0]), max(old[1], new[1]), *min(finals, default=(None, None)), old[4])
+
+
 def _track(limit_us: int) -> Callable:
     def follow(key: tuple, polls: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
-        submitted, last, final_us, final_state, done = state.get if state.exists else (None, None, None, None, False)
-        if state.hasTimedOut and done:
-            state.remove()
-            return
+        jobs = {name: tuple(rest) for name, *rest in zip(*state.get)} if state.exists else {}
+        polled = set()
         for pdf in () if state.hasTimedOut else polls:
-            rows = pdf[["first_us", "last_us", "final_us", "final_state"]].itertuples(index=False, name=None)
-            for first, newest, ended, name in rows:
-                submitted = int(first) if submitted is None else min(submitted, int(first))
-                last = int(newest) if last is None else max(last, int(newest))
-                if isinstance(name, str) and (final_us is None or (int(ended), name) < (final_us, final_state)):
-                    final_us, final_state = int(ended), name
-        if not done:
-            # Ages count in whole seconds, as in the table form of this operator.
-            in_time = final_us is not None and (final_us - submitted) // _SECOND <= limit_us // _SECOND
-            due = final_us if in_time else submitted + limit_us + _SECOND - 1
-            done = due < watermark * 1000  # polls up to then can no longer arrive
-            if done:
-                outcome = final_state if in_time else "TIMEOUT"
-                yield pd.DataFrame([(key[0], submitted, outcome)], columns=_OUTCOME_COLUMNS)
-        if done:
+            for job, first, newest, ended, name in zip(*(pdf[c] for c in ("job_id", "first_us", "last_us", "final_us", "final_state"))):
+                final = (int(ended), name) if isinstance(name, str) else (None, None)
+                jobs[job] = _merge(jobs.get(job), (int(first), int(newest), *final, False))
+                polled.add(job)
+        outcomes, dues = [], []
+        for job, (submitted, last, final_us, final_state, done) in list(jobs.items()):
+            if done and job not in polled and (last + limit_us) // 1000 < watermark:
+                del jobs[job]
+                continue
+            if not done:
+                # Ages count in whole seconds, as in the table form of this operator.
+                in_time = final_us is not None and (final_us - submitted) // _SECOND <= limit_us // _SECOND
+                due = final_us if in_time else submitted + limit_us + _SECOND - 1
+                done = due < watermark * 1000  # polls up to then can no longer arrive
+                if done:
+                    outcomes.append((job, submitted, final_state if in_time else "TIMEOUT"))
+                    jobs[job] = (submitted, last, final_us, final_state, True)
             # An ended job is remembered until it is silent for its limit, so that later polls do not start it anew.
-            due = last + limit_us
-        state.update((submitted, last, final_us, final_state, done))
-        state.setTimeoutTimestamp(max(due // 1000, watermark + 1))
+            dues.append((last + limit_us if done else due) // 1000)
+        if outcomes:
+            yield pd.DataFrame(outcomes, columns=_OUTCOME_COLUMNS)
+        if not jobs:
+            if state.exists:
+                state.remove()
+            return
+        state.update((list(jobs), *(list(column) for column in zip(*jobs.values()))))
+        state.setTimeoutTimestamp(max(min(dues), watermark + 1))
 
     return follow
 
 
-def job_tracker(status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS, late: str = "10 minutes") -> DataFrame:
+def job_tracker(
+    status: DataFrame, limit_seconds: int = JOB_LIMIT_SECONDS, late: str = "10 minutes", buckets: int = JOB_BUCKETS
+) -> DataFrame:
     """Outcome of each job of a status stream (job_id, observed_at, state).
 
     A job ends with its earliest final state within the limit, else with ``TIMEOUT``. The outcome is given once
     the watermark has passed the time of that state or of the limit, so it does not depend on the order in which polls
-    arrive. Polls are reduced per job before the shuffle, and the state of a job is one small row.
+    arrive. Polls are reduced per job before the shuffle. Jobs are followed in hash buckets, one call of Python and one row
+    of state for each bucket that has polls or is due, and some 60 bytes in it for each job that is not yet forgotten; for
+    more than some ten million open jobs, take more buckets.
     """
     tracked = (
         status.select("job_id", F.unix_micros("observed_at").alias("observed_us"), "state")
         .mapInPandas(_reduce_polls, _SEEN)
+        .withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)))
         .withWatermark("last_seen", late)
-        .groupBy("job_id")
+        .groupBy("bucket")
         .applyInPandasWithState(
             _track(limit_seconds * _SECOND), _OUTCOME, _STATE, "append", GroupStateTimeout.EventTimeTimeout
         )

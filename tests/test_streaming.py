@@ -67,3 +67,19 @@ def test_updates_reach_the_consumer(spark):
     stream = trackers.watch_files(spark, f"{path}/*", SCHEMA, files_per_batch=1)
     trackers.on_dataset_update(stream, lambda batch, n: seen.append((n, batch.count())))
     assert sorted(n for _, n in seen) == [3, 3, 4]
+
+
+def test_jobs_of_one_bucket_keep_apart(spark):
+    """Hundreds of jobs share a row of state: as many outcomes as with a bucket each, also for jobs that come again."""
+    early = [(f"j{i}", 1 + i, "PENDING") for i in range(300)]
+    late = [(f"j{i}", 600 + i, "FAILED" if i % 2 else "COMPLETED") for i in range(0, 300, 3)]
+    again = [(f"j{i}", 9000 + i, "COMPLETED") for i in range(0, 300, 5)]
+    path = _feed(spark, [early, late, again, [("z", 99000, "RUNNING")]])
+    found = []
+    for buckets in (1, 7, 1024):
+        stream = trackers.watch_files(spark, f"{path}/*", SCHEMA, files_per_batch=1)
+        out = trackers.run_available(trackers.job_tracker(stream, buckets=buckets), scratch_path(spark, "tracked"))
+        found.append(sorted((r.job_id, int(r.submitted_at.timestamp()), r.outcome) for r in out.collect()))
+    ended = {f"j{i}": "FAILED" if i % 2 else "COMPLETED" for i in range(0, 300, 3)}
+    first = [(f"j{i}", 1 + i, ended.get(f"j{i}", "TIMEOUT")) for i in range(300)]
+    assert found[0] == found[1] == found[2] and set(first) <= set(found[0])
