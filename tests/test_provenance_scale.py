@@ -37,14 +37,14 @@ def test_rounds_meet_at_every_depth(spark):
     escaped = {100 + n: text.replace('"input"', '"\\u0069nput"') for n, text in deep.items()}
     quoted = {200 + n: text.replace('"', "'") for n, text in deep.items()}
     docs = spark.createDataFrame(list((deep | escaped | quoted).items()), "doc_id int, body string")
-    nodes = lineage.flatten_provenance(cluster(docs, "doc_id", 2), "s", doc="body")
+    nodes = lineage.flatten_provenance(cluster(docs, "doc_id", per_task=2), "s", doc="body")
     got = nodes.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("depth").alias("d")).collect()
     assert {r.doc_id: (r.n, r.d) for r in got} == {i: (i % 100, i % 100 - 1) for i in docs.toPandas()["doc_id"]}
 
 
 def test_documents_of_one_id_count_together(spark, rows):
     docs = spark.createDataFrame([(i // 2, json.dumps(_chain(2))) for i in range(400)], "doc_id int, body string")
-    members = lineage.step_members(lineage.flatten_provenance(cluster(docs, "doc_id", 10), "s", doc="body"), firsts=True)
+    members = lineage.step_members(lineage.flatten_provenance(cluster(docs, "doc_id", per_task=10), "s", doc="body"), firsts=True)
     assert members.count() == 600 and {r.occurrences for r in members.collect()} == {2}
     assert lineage.step_dependencies(members).count() == 200
 
