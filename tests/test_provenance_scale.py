@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from scenetrail.operators import lineage
+from scenetrail.operators import graph, lineage
 from scenetrail.plans import registry
 from scenetrail.session import cluster
 from scenetrail.sources import documents
@@ -75,3 +75,18 @@ def test_stored_documents_are_compressed(spark, tmp_path):
     stored = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path))
     assert stored * 5 < 2000 * len(body)
     assert documents.read_documents(spark, path).filter("doc IS NOT NULL").count() == 2000
+
+
+def test_levels_in_groups_are_those_of_levels(spark, rows):
+    made = [(g, f"n{a}", f"n{b}") for g in range(40) for a in range(12) for b in range(a + 1, 12) if (a * 7 + b * 5 + g) % 4 == 0]
+    made += [(99, f"c{i}", f"c{i + 1}") for i in range(12)] + made[:50] + [(98, "n1", "n0")]
+    edges = spark.createDataFrame(made, "doc_id int, parent string, child string")
+    assert rows(graph.levels_in_groups(edges, ["doc_id"])) == rows(graph.levels(edges, ["doc_id"]))
+    assert graph.levels_in_groups(edges.limit(0), ["doc_id"]).count() == 0
+    with pytest.raises(Exception, match="cycle"):
+        graph.levels_in_groups(spark.createDataFrame([(1, "a", "b"), (1, "b", "a"), (2, "a", "b")], edges.schema), ["doc_id"]).collect()
+
+
+def test_levels_of_documents_shuffle_only_the_flat_rows(spark):
+    plan = _plan(registry.all_queries()["q_step_levels"](spark, SF))
+    assert plan.count("hashpartitioning") == 1 and "SortMergeJoin" not in plan and "levels-" not in plan
