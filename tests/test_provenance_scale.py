@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from scenetrail.operators import graph, lineage
 from scenetrail.plans import registry
-from scenetrail.session import cluster
+from scenetrail.session import cluster, cut
 from scenetrail.sources import documents
 
 SF = "/root/testdata/sf0.001"
@@ -90,3 +90,12 @@ def test_levels_in_groups_are_those_of_levels(spark, rows):
 def test_levels_of_documents_shuffle_only_the_flat_rows(spark):
     plan = _plan(registry.all_queries()["q_step_levels"](spark, SF))
     assert plan.count("hashpartitioning") == 1 and "SortMergeJoin" not in plan and "levels-" not in plan
+
+
+def test_shared_subtrees_are_parsed_and_stored_once_a_level(spark, monkeypatch, rows):
+    stored = []
+    monkeypatch.setattr(lineage, "cut", lambda df, label="cut": stored.append(df) or cut(df, label))
+    docs = spark.createDataFrame([(1, json.dumps(_chain(4))), (2, json.dumps(_chain(4)))], "doc_id int, body string")
+    roots, nodes, links = lineage.shared_provenance(docs, "body")
+    assert [(r.n) for r in roots.collect()] == [2] and (nodes.count(), links.count()) == (4, 3)
+    assert len(stored) == 4 and all(df.filter("n > 0").count() == 1 for df in stored)
