@@ -1,6 +1,7 @@
 """Edges are made distinct as numbers, and shuffles have partitions by the room that rows take."""
 
 from scenetrail import session
+from scenetrail.operators import graph
 from scenetrail.plans.derived import VIEWS, table, view
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +34,31 @@ def test_partitions_follow_the_room_of_rows(spark, tmp_path):
         assert session.configure(spark, str(tmp_path)).conf.get("spark.sql.shuffle.partitions") == str(session.ROOM * 8)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_reach_with_repeated_edges_and_ways_back_to_the_start(spark, rows):
+    up = [(f"a{i}", f"b{i % 3}") for i in range(40)] * 2 + [("b0", "c"), ("b1", "a1"), ("b2", "d"), ("d", "a5"), ("c", "c")]
+    df = spark.createDataFrame(up, "child string, parent string")
+    starts = [f"a{i}" for i in range(40)]
+    want = set()
+    for node in starts:
+        layer, far, seen = {node}, 0, set()
+        while layer:
+            far += 1
+            layer = {b for a, b in up if a in layer} - seen
+            seen |= layer
+            want |= {(node, b, far) for b in layer}
+    got = rows(graph.ancestors(df, spark.createDataFrame([(n,) for n in starts], "node string")))
+    assert got == sorted(want)
+    once = df.filter("child <> parent AND parent NOT LIKE 'a%'").selectExpr("parent", "child")
+    assert rows(graph.levels(once)) == rows(graph.levels(once.distinct()))
+
+
+def test_rounds_of_a_closure_read_only_the_edges_above(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(graph, "cut", lambda df, label="cut": stored.append(session.cut(df, label)) or stored[-1])
+    lines = spark.range(400).selectExpr("'l' || id AS child", "'o' || id % 20 AS parent")
+    orders = spark.range(20).selectExpr("'o' || id AS child", "'c' || id % 4 AS parent")
+    reach = graph.ancestors(lines.unionByName(orders), lines.selectExpr("child AS node"))
+    assert reach.count() == 800
+    assert [df.count() for df in stored][:2] == [420, 20]
