@@ -128,14 +128,14 @@ def levels(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
     Only edges to nodes that are parents themselves can hold a level back, so the rounds run over these alone. Round d keeps
     the ones whose parents have a level of at least d: their parents are children in the round before. A node's level is
-    one more than the number of rounds that have it as a child; all rounds are one table. The edges become fewer in each
-    round, or there is a cycle among them, which is an error. All other nodes get their levels by one join at the end. A
+    one more than the number of rounds that have it as a child; all rounds are one table. Edges that come twice change no level
+    and are not made distinct. The edges become fewer in each round, or there is a cycle among them, which is an error. All other nodes get their levels by one join at the end. A
     chain takes a round for each edge.
     """
     keys = keys or []
     spark = edges.sparkSession
     path = scratch_path(spark, "levels")
-    links = cut(edges.select(*keys, "parent", "child").distinct(), "edges")
+    links = cut(edges.select(*keys, "parent", "child"), "edges")
     inner = links.join(links.select(*keys, F.col("parent").alias("child")).distinct(), [*keys, "child"], "left_semi")
     kind = T.StructType([*links.schema, T.StructField("round", T.IntegerType())])
     at, left = 1, None
