@@ -1,7 +1,7 @@
 """Edges are made distinct as numbers, and shuffles have partitions by the room that rows take."""
 
 from scenetrail import session
-from scenetrail.operators import graph
+from scenetrail.operators import graph, lineage
 from scenetrail.plans.derived import VIEWS, table, view
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,13 @@ def test_rounds_of_a_closure_read_only_the_edges_above(spark, monkeypatch):
     reach = graph.ancestors(lines.unionByName(orders), lines.selectExpr("child AS node"))
     assert reach.count() == 800
     assert [df.count() for df in stored][:2] == [420, 20]
+
+
+def test_sides_of_a_group_are_made_distinct_once(spark, rows):
+    declared = view(spark, SF, "declared")
+    hubs = lineage.declared_hubs(declared.unionByName(declared.limit(50)))
+    plan = hubs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(dag") == 3 and "Expand" not in plan and plan.count("hashpartitioning(dag#") == plan.count("hashpartitioning(")
+    assert sum("fqn" in line and "hashpartitioning" in line for line in plan.splitlines()) == 1
+    assert rows(hubs) == rows(lineage.declared_hubs(declared))
+    assert "hashpartitioning(dag" not in lineage.hub_degrees(hubs)._jdf.queryExecution().executedPlan().toString()
