@@ -170,28 +170,40 @@ def items_dry_run(spark, sf):
 
 @query("q_archive", "SELECT doc_id, md5(text) AS digest, strlen(text) AS size FROM documents")
 def archive(spark, sf):
-    packed = table(spark, sf, "documents").select("doc_id", "text").mapInPandas(_pack, "path string, content binary")
+    packed = table(spark, sf, "documents").select("doc_id", "text").mapInArrow(_pack, "path string, content binary")
     return documents.archive_members(packed).select(
         F.col("member").cast("long").alias("doc_id"), F.md5("content").alias("digest"), "size"
     )
 
 
+_ARCHIVE_BYTES = 4 * 1024 * 1024
+
+
 def _pack(batches):
-    """Documents of a batch as one archive, a member each."""
+    """Documents as archives, a member each; an archive ends when its texts come to 4 MB."""
     import io
     import tarfile
 
-    import pandas as pd
-
-    for i, batch in enumerate(batches):
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w:gz") as tar:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                data = text.encode()
-                info = tarfile.TarInfo(str(doc_id))
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-        yield pd.DataFrame({"path": [f"{i}.tar.gz"], "content": [buffer.getvalue()]})
+    import pyarrow as pa
+
+    i = 0
+    for batch in batches:
+        entries, last = zip(batch.column("doc_id"), batch.column("text")), batch.num_rows - 1
+        buffer, tar, held = None, None, 0
+        for at, (doc_id, text) in enumerate(entries):
+            if tar is None:
+                buffer, held = io.BytesIO(), 0
+                tar = tarfile.open(fileobj=buffer, mode="w:gz")
+            data = text.as_buffer()
+            info = tarfile.TarInfo(str(doc_id))
+            info.size = data.size
+            tar.addfile(info, pa.BufferReader(data))
+            tar.members = []  # which would keep the headers of all members
+            held += data.size
+            if held >= _ARCHIVE_BYTES or at == last:
+                tar.close()
+                yield pa.RecordBatch.from_pydict({"path": [f"{i}.tar.gz"], "content": [buffer.getvalue()]})
+                tar, i = None, i + 1
 
 
 @query(

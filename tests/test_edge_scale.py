@@ -1,8 +1,12 @@
 """Edges are made distinct as numbers, and shuffles have partitions by the room that rows take."""
 
+import pyarrow as pa
+
 from scenetrail import session
 from scenetrail.operators import graph, lineage
+from scenetrail.plans import queries_reports
 from scenetrail.plans.derived import VIEWS, table, view
+from scenetrail.sources import documents
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +76,15 @@ def test_sides_of_a_group_are_made_distinct_once(spark, rows):
     assert sum("fqn" in line and "hashpartitioning" in line for line in plan.splitlines()) == 1
     assert rows(hubs) == rows(lineage.declared_hubs(declared))
     assert "hashpartitioning(dag" not in lineage.hub_degrees(hubs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_archives_and_their_members_come_in_bounded_batches():
+    texts = [f"{i:07}" * 20_000 for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(100)), "text": texts})
+    packed = list(queries_reports._pack([batch, batch.slice(7, 1), batch.slice(0, 0)]))
+    assert [a.num_rows for a in packed] == [1] * 5
+    members = list(documents._members(packed))
+    assert max(m.nbytes for m in members) < 5 << 20
+    got = [(r["archive"], r["member"], r["size"], r["content"]) for m in members for r in m.to_pylist()]
+    assert [(int(m), s, c.decode()) for _, m, s, c in got] == [(i, len(t), t) for i, t in [*enumerate(texts), (7, texts[7])]]
+    assert [m.num_rows for m in documents._members([])] == [0]
