@@ -83,6 +83,8 @@ def test_levels_in_groups_are_those_of_levels(spark, rows):
     edges = spark.createDataFrame(made, "doc_id int, parent string, child string")
     assert rows(graph.levels_in_groups(edges, ["doc_id"])) == rows(graph.levels(edges, ["doc_id"]))
     assert graph.levels_in_groups(edges.limit(0), ["doc_id"]).count() == 0
+    lacking = spark.createDataFrame([(1, None, "b"), (1, "a", "c"), (1, "c", "d")], edges.schema)
+    assert rows(graph.levels_in_groups(lacking, ["doc_id"])) == rows(graph.levels(lacking, ["doc_id"]))
     with pytest.raises(Exception, match="cycle"):
         graph.levels_in_groups(spark.createDataFrame([(1, "a", "b"), (1, "b", "a"), (2, "a", "b")], edges.schema), ["doc_id"]).collect()
 
