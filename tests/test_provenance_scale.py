@@ -42,6 +42,39 @@ def test_rounds_meet_at_every_depth(spark):
     assert {r.doc_id: (r.n, r.d) for r in got} == {i: (i % 100, i % 100 - 1) for i in docs.toPandas()["doc_id"]}
 
 
+ODD = [
+    '{"a.img": {"metadata": {"script": "s.py"}, "input": [{"b": {}, "b": {"filename": "x"}}, null, {}]}} rest',
+    "{'a.img': {'metadata': {'script': 's.py'}, 'input': [{'b': null}]}}",
+    '{"a.img": {"filename": 1.50, "metadata": {"script": {"k": 1.0}}, "input": [{"b": {"metadata": [], "input": "c"}}]}}',
+    '{"a.img": {"metadata": {"script": []}, "input": [{"b": {"metadata": {"script": ""}, "input": [{"c": {}}]}}]}}',
+    '{"a\\ud800": {"filename": "x"}}',
+    '{"a.img": {"metadata": {"script": "s.py"}, "input": [{"b": {}}',
+    "[{}]", "", None,
+]
+
+
+def test_plain_documents_are_unnested_at_once_and_give_what_the_rounds_give(spark, rows):
+    whole = [json.dumps(_chain(n)) for n in (1, 9, 33)]
+    whole += ['{"a": {"metadata": {"script": "s.py"}, "input": [{"z": {"filename": "é"}, "b": {}, "b": {"metadata": {"script": null}}}, null]}, "": null}', "{}", "null"]
+    plain = spark.createDataFrame([(t,) for t in whole + ODD], "body string").select("body", lineage._plain_nodes("body").alias("n"))
+    assert {r.body for r in plain.filter("n IS NULL").collect()} == set(ODD)
+    docs = spark.createDataFrame(list(enumerate(whole + ODD)), "doc_id int, body string")
+    at_once = rows(lineage.flatten_provenance(docs, "s", doc="body", at_once=True))
+    assert rows(lineage.flatten_provenance(docs, "s", doc="body")) == at_once and len(at_once) > 50
+
+
+@pytest.mark.parametrize("name", ["q_step_ids", "q_steps_merged", "q_recorded", "q_versions", "q_fqn_collisions", "q_artifacts"])
+def test_what_does_not_group_by_document_is_unnested_at_once(spark, name):
+    assert _plan(registry.all_queries()[name](spark, SF)).count("_plain_nodes(") == 1
+
+
+def test_documents_of_many_short_branches_are_not_looked_through_again(spark):
+    wide = {"a": {"metadata": {"script": "s"}, "input": [{"b": {"input": []}}] * 30}}
+    texts = [json.dumps(wide), json.dumps(wide, separators=(",", ":")), json.dumps(_chain(10)), json.dumps(_chain(11))]
+    deep = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").filter(lineage._may_go_deeper(F.col("t")))
+    assert [r.i for r in deep.sort("i").collect()] == [3]
+
+
 def test_documents_of_one_id_count_together(spark, rows):
     docs = spark.createDataFrame([(i // 2, json.dumps(_chain(2))) for i in range(400)], "doc_id int, body string")
     members = lineage.step_members(lineage.flatten_provenance(cluster(docs, "doc_id", per_task=10), "s", doc="body"), firsts=True)
