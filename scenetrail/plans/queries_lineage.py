@@ -133,7 +133,8 @@ def _deep_documents(spark, sf) -> DataFrame:
         path = F.concat(F.lit("cgmsre_t21kpq_"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit(f"_n{k}.img"))
         inputs = ([raw] if k % 2 and k < DEEP else []) + ([doc] if k < DEEP else [])
         doc = text(path, f"Step_{k}.py" if k < DEEP else "", inputs)
-    return table(spark, sf, "orders").select("o_orderkey", doc.alias("body"))
+    orders = cluster(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    return orders.select("o_orderkey", doc.alias("body"))
 
 
 @query(

@@ -68,6 +68,11 @@ def test_what_does_not_group_by_document_is_unnested_at_once(spark, name):
     assert _plan(registry.all_queries()[name](spark, SF)).count("_plain_nodes(") == 1
 
 
+def test_deep_documents_are_shuffled_as_flat_rows_only(spark):
+    plan = _plan(registry.all_queries()["q_prov_deep"](spark, SF))
+    assert plan.count("hashpartitioning") == 1 and plan.count("from_json") == 1
+
+
 def test_documents_of_many_short_branches_are_not_looked_through_again(spark):
     wide = {"a": {"metadata": {"script": "s"}, "input": [{"b": {"input": []}}] * 30}}
     texts = [json.dumps(wide), json.dumps(wide, separators=(",", ":")), json.dumps(_chain(10)), json.dumps(_chain(11))]
