@@ -16,8 +16,8 @@ PREFIX = "store.scenes.public"
 START_MARK = "qv-sentinel2angles"
 
 
-def history_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The ``history`` view as nested documents (doc_id, product, body), one JSON text per row, clustered by the id."""
+def history_documents(spark: SparkSession, sf: str, clustered: bool = True) -> DataFrame:
+    """The ``history`` view as nested documents (doc_id, product, body), one JSON text per row, clustered by the id or as they lie."""
 
     def node(path, script, stamp, *inputs):
         return F.concat(
@@ -32,13 +32,18 @@ def history_documents(spark: SparkSession, sf: str) -> DataFrame:
     top = node(
         F.col("product"), F.col("product_script"), later, ref, node(F.col("angle"), angles, later, raw), raw
     )
-    return cluster(view(spark, sf, "history", spread_scans=True), "doc_id").select("doc_id", "product", top.alias("body"))
+    flat = view(spark, sf, "history", spread_scans=True)
+    return (cluster(flat, "doc_id") if clustered else flat).select("doc_id", "product", top.alias("body"))
 
 
 def _nodes(spark, sf, at_once: bool = False) -> DataFrame:
     return lineage.flatten_provenance(history_documents(spark, sf), PREFIX, doc="body", at_once=at_once)
 
 
+def _nodes_with(spark, sf, *columns: str) -> DataFrame:
+    return lineage.flatten_provenance(history_documents(spark, sf, clustered=False), PREFIX, doc="body", columns=columns)
+
+
 def _step(script: str, path: str) -> str:
     code = f"replace(replace(substr({path}, 24), '/', '_'), '.', '_')"
     return (
@@ -235,7 +240,7 @@ def prov_files(spark, sf):
     _V,
 )
 def prov_edges(spark, sf):
-    edges = lineage.provenance_edges(_nodes(spark, sf))
+    edges = lineage.provenance_edges(_nodes_with(spark, sf, "artifact", "parent_artifact"))
     return edges.groupBy("doc_id", "parent_input", "child_output").agg(F.count("*").alias("n"))
 
 

@@ -137,14 +137,15 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def cluster(rows: DataFrame, *keys: str, per_task: int = 50_000) -> DataFrame:
+def cluster(rows: DataFrame, *keys: str, per_task: int = 50_000, rows_known: int | None = None) -> DataFrame:
     """Repartition rows by keys, before work that multiplies them or groups them often, so that this shuffles no more.
 
     The number of tasks follows from the number of rows, because the size of the files tells nothing of what is made of them.
-    All rows of the same keys go to one task.
+    All rows of the same keys go to one task. The number of rows is counted unless it is given.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(rows.count() / per_task))), *keys)
+    n = rows.count() if rows_known is None else rows_known
+    return rows.repartition(min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(n / per_task))), *keys)
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -68,6 +68,28 @@ def test_what_does_not_group_by_document_is_unnested_at_once(spark, name):
     assert _plan(registry.all_queries()[name](spark, SF)).count("_plain_nodes(") == 1
 
 
+COLUMNS = ("depth", "artifact", "fqn", "script", "step_id", "recorded", "parent_artifact", "parent_step", "position", "place")
+
+
+@pytest.mark.parametrize("levels", [3, 33])
+@pytest.mark.parametrize("columns", [COLUMNS, ("artifact", "parent_artifact"), ("parent_step", "place"), ("recorded", "depth")])
+def test_nodes_brought_together_are_those_of_the_rounds(spark, rows, levels, columns):
+    deep = [json.dumps(_chain(n)) for n in (1, levels)]
+    odd = [t.replace('"', "'") for t in deep] + [t.replace('"input"', '"\\u0069nput"') for t in deep] + ODD
+    plain = ['{"a": {"metadata": {"script": "s.py"}, "input": [{"z": {"filename": "é"}, "b": {}, "b": {"metadata": {"script": null}}}, null]}, "": null}', "{}", "null"]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(deep + odd + plain)], "doc_id int, body string")
+    every = lineage.flatten_provenance(docs, "s", doc="body").withColumn("place", F.element_at("position", -1))
+    got = lineage.flatten_provenance(docs, "s", doc="body", columns=columns)
+    assert got.columns == ["doc_id", *columns] and rows(got) == rows(every.select("doc_id", *columns)) and got.count() > 10
+    assert lineage.flatten_provenance(docs.limit(0), "s", doc="body", columns=columns).count() == 0
+
+
+@pytest.mark.parametrize("name", ["q_prov_edges"])
+def test_documents_are_unnested_at_once_and_then_clustered(spark, name):
+    plan = _plan(registry.all_queries()[name](spark, SF))
+    assert plan.count("_plain_nodes(") == 1 and plan.index("Exchange hashpartitioning(doc_id") < plan.index("_plain_nodes(")
+
+
 def test_deep_documents_are_shuffled_as_flat_rows_only(spark):
     plan = _plan(registry.all_queries()["q_prov_deep"](spark, SF))
     assert plan.count("hashpartitioning") == 1 and plan.count("from_json") == 1
