@@ -328,7 +328,8 @@ def root_steps(spark, sf):
 
 @query("q_all_inputs", f"SELECT DISTINCT doc_id, step_id, fqn FROM ({_MEMBERS}) m WHERE role <> 'output'", _V)
 def all_inputs(spark, sf):
-    return lineage.all_inputs(lineage.step_members(_nodes(spark, sf)))
+    nodes = _nodes_with(spark, sf, "fqn", "step_id", "parent_step", "place")
+    return lineage.all_inputs(lineage.step_members(nodes))
 
 
 @query(
