@@ -323,7 +323,8 @@ def fan_in(spark, sf):
     _V,
 )
 def root_steps(spark, sf):
-    return lineage.root_steps(lineage.step_members(_nodes(spark, sf)), START_MARK)
+    nodes = _nodes_with(spark, sf, "fqn", "step_id", "parent_step", "place")
+    return lineage.root_steps(lineage.step_members(nodes), START_MARK)
 
 
 @query("q_all_inputs", f"SELECT DISTINCT doc_id, step_id, fqn FROM ({_MEMBERS}) m WHERE role <> 'output'", _V)

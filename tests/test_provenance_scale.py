@@ -84,7 +84,7 @@ def test_nodes_brought_together_are_those_of_the_rounds(spark, rows, levels, col
     assert lineage.flatten_provenance(docs.limit(0), "s", doc="body", columns=columns).count() == 0
 
 
-@pytest.mark.parametrize("name", ["q_prov_edges", "q_all_inputs"])
+@pytest.mark.parametrize("name", ["q_prov_edges", "q_all_inputs", "q_roots"])
 def test_documents_are_unnested_at_once_and_then_clustered(spark, name):
     plan = _plan(registry.all_queries()[name](spark, SF))
     assert plan.count("_plain_nodes(") == 1 and plan.index("Exchange hashpartitioning(doc_id") < plan.index("_plain_nodes(")
