@@ -68,6 +68,23 @@ def test_rounds_of_a_closure_read_only_the_edges_above(spark, monkeypatch):
     assert [df.count() for df in stored][:2] == [420, 20]
 
 
+def test_a_walk_shuffles_its_edges_once(spark, monkeypatch, rows):
+    buckets, ends = [], []
+    monkeypatch.setattr(graph, "cut_in_buckets", lambda df, keys, label: buckets.append(session.cut_in_buckets(df, keys, label)) or buckets[-1])
+    monkeypatch.setattr(graph, "cut", lambda df, label="cut": ends.append(session.cut(df, label)) or ends[-1])
+    edges = spark.range(4, 400).selectExpr("cast(id % 3 AS int) AS g", "'n' || id div 4 AS parent", "'n' || id AS child")
+    for keys in ([], ["g"]):
+        reach = graph.descendants(edges, edges.selectExpr("g", "parent AS node").limit(9), keys)
+        assert len(ends) == len(buckets) == 1  # no further round of parting, so no look for ways back
+        frontier = spark.createDataFrame([(0, "n1")], "g int, _at string").hint("merge").join(buckets[-1].hint("merge"), [*keys, "_at"])
+        assert frontier._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        want = {(*(r[k] for k in keys), r.parent, r.child) for r in edges.collect()}
+        direct = {tuple(r)[:-1] for r in reach.filter("distance = 1").collect()}
+        assert direct and direct <= want
+        buckets.clear(), ends.clear()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("scenetrail_")]
+
+
 def test_sides_of_a_group_are_made_distinct_once(spark, rows):
     declared = view(spark, SF, "declared")
     hubs = lineage.declared_hubs(declared.unionByName(declared.limit(50)))
