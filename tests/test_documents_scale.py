@@ -2,10 +2,14 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from scenetrail import session
 from scenetrail.operators import lineage
+from scenetrail.plans import registry
+
+SF = "/root/testdata/sf0.001"
 
 
 def _node(name, *inputs, script="s.py"):
@@ -26,3 +30,18 @@ def test_links_of_the_shared_graph_are_shuffled_once(spark, monkeypatch, rows):
     assert rows(got) == rows(plain)
     assert stored[0].columns == ["parent", "child", "n"] and len(stored) == 5
     assert [_plan(df).count("Exchange hashpartitioning") for df in stored[1:]] == [1, 1, 1, 1]  # the counts of a round, not the links
+
+
+@pytest.mark.parametrize("name", ["q_step_members"])
+def test_names_are_worked_out_once_for_a_document(spark, name):
+    plan = _plan(registry.all_queries()[name](spark, SF))
+    assert plan.count("_plain_nodes(") == 1 and plan.count("lower(") == 1 and plan.count("from_json") == 1
+    assert plan.index("lower(") < plan.index("Exchange hashpartitioning(doc_id") < plan.index("_plain_nodes(")
+
+
+def test_nodes_need_not_come_together(spark, rows):
+    texts = [json.dumps(_node("a", _node("b", _node("c"), _node("b", _node("c"))), _node("c"))), "{'x.img': {'metadata': {'script': 's.py'}, 'input': [{'y.img': {}}]}}"]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts * 2)], "doc_id int, doc string")
+    columns = ("artifact", "parent_artifact", "parent_step", "fqn", "recorded", "position")
+    apart = lineage.flatten_provenance(docs, "s", columns=columns, together=False)
+    assert "hashpartitioning" not in _plan(apart) and rows(apart) == rows(lineage.flatten_provenance(docs, "s").select("doc_id", *columns))
