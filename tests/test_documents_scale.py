@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scenetrail import session
 from scenetrail.operators import lineage
-from scenetrail.plans import registry
+from scenetrail.plans import flows, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +32,7 @@ def test_links_of_the_shared_graph_are_shuffled_once(spark, monkeypatch, rows):
     assert [_plan(df).count("Exchange hashpartitioning") for df in stored[1:]] == [1, 1, 1, 1]  # the counts of a round, not the links
 
 
-@pytest.mark.parametrize("name", ["q_step_members"])
+@pytest.mark.parametrize("name", ["q_step_members", "q_steps", "q_step_deps", "q_fan_in", "q_step_levels"])
 def test_names_are_worked_out_once_for_a_document(spark, name):
     plan = _plan(registry.all_queries()[name](spark, SF))
     assert plan.count("_plain_nodes(") == 1 and plan.count("lower(") == 1 and plan.count("from_json") == 1
@@ -45,3 +45,25 @@ def test_nodes_need_not_come_together(spark, rows):
     columns = ("artifact", "parent_artifact", "parent_step", "fqn", "recorded", "position")
     apart = lineage.flatten_provenance(docs, "s", columns=columns, together=False)
     assert "hashpartitioning" not in _plan(apart) and rows(apart) == rows(lineage.flatten_provenance(docs, "s").select("doc_id", *columns))
+
+
+@pytest.mark.parametrize("name", ["q_steps_merged", "q_fqn_collisions"])
+def test_documents_that_need_not_come_together_are_not_shuffled(spark, name):
+    plan = _plan(registry.all_queries()[name](spark, SF))
+    assert plan.count("_plain_nodes(") == 1 and "hashpartitioning(doc_id" not in plan and plan.count("lower(") <= 1
+
+
+def test_each_path_is_named_once(spark):
+    plan = _plan(registry.all_queries()["q_fqn_collisions"](spark, SF))
+    assert plan.count("hashpartitioning(artifact") == 1 and plan.index("store.scenes.public") < plan.index("hashpartitioning(artifact")
+    assert "store.scenes.public" not in plan[plan.index("hashpartitioning(artifact") :]
+
+
+def test_only_the_lineage_tables_asked_for(spark, rows):
+    a, b, c, d = ("n" * 23 + x for x in "abcd")
+    docs = spark.createDataFrame([(1, json.dumps(_node(a, _node(b, _node(c)), _node(d))))], "doc_id int, doc string")
+    every, some = flows.lineage_tables(docs, "s"), flows.lineage_tables(docs, "s", ("deps", "levels"))
+    assert list(every) == list(flows.LINEAGE_TABLES) and list(some) == ["deps", "levels"]
+    assert all(rows(some[t]) == rows(every[t]) and some[t].count() for t in some)
+    assert rows(every["nodes"]) == rows(lineage.flatten_provenance(docs, "s").select(every["nodes"].columns))
+    assert every["steps"].count() == 2
