@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scenetrail import session
 from scenetrail.operators import lineage
 from scenetrail.plans import flows, registry
+from scenetrail.sources import documents
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +68,13 @@ def test_only_the_lineage_tables_asked_for(spark, rows):
     assert all(rows(some[t]) == rows(every[t]) and some[t].count() for t in some)
     assert rows(every["nodes"]) == rows(lineage.flatten_provenance(docs, "s").select(every["nodes"].columns))
     assert every["steps"].count() == 2
+
+
+def test_files_of_long_documents_are_read_in_one_arrow_pass(spark, monkeypatch):
+    read, made, counted = documents.read_provenance, [], []
+    monkeypatch.setattr(documents, "read_provenance", lambda *a: made.append(read(*a)) or made[-1])
+    monkeypatch.setattr(lineage, "cluster", lambda *a, **k: counted.append(k["rows_known"]) or session.cluster(*a, **k))
+    plan = _plan(registry.all_queries()["q_prov_files"](spark, SF))
+    assert plan.count("_plain_nodes(") == 1 and plan.count("FileScan text") == 1 and plan.count("hashpartitioning") == 1
+    n, size = made[0].agg(F.count("*"), F.sum(F.octet_length("body"))).first()
+    assert counted == [size // lineage.DOCUMENT_BYTES] and counted[0] > 10 * n  # long documents are dealt to more tasks
